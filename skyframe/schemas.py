@@ -65,13 +65,10 @@ DELAY = T.StructType(
     ]
 )
 
-# One flight leg inside a stored legs document.
-LEG = (
-    "icao24 string, callsign string, firstSeen bigint, lastSeen bigint, "
-    "estDepartureAirport string, estArrivalAirport string, "
-    "estDepartureAirportHorizDistance bigint, estArrivalAirportHorizDistance bigint"
-)
+# A stored flight-leg document: one call with its query and the legs it returned.
 LEGS_DOCUMENT = (
-    "endpoint string, query_params struct<airport:string,begin:bigint,`end`:bigint>, "
-    f"flight_count bigint, flights array<struct<{', '.join(p.strip().replace(' ', ':', 1) for p in LEG.split(','))}>>"
+    "endpoint string, query_params struct<airport:string,`begin`:bigint,`end`:bigint>, flight_count bigint, "
+    "flights array<struct<icao24:string,callsign:string,firstSeen:bigint,lastSeen:bigint,"
+    "estDepartureAirport:string,estArrivalAirport:string,"
+    "estDepartureAirportHorizDistance:bigint,estArrivalAirportHorizDistance:bigint>>"
 )
