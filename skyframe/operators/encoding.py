@@ -169,14 +169,14 @@ class TargetMeanEncoder(Estimator, _Columns, HasLabelCol, DefaultParamsReadable,
         return fold_of(df.columns, self.getOrDefault("seed"), FOLDS, self.getOrDefault("foldKey"))
 
     def _model(self, counts: DataFrame) -> TargetMeanEncoderModel:
-        totals = counts.groupBy("column").agg(F.sum("n").alias("N"), F.sum("s").alias("S"))
+        totals = counts.groupBy("column").agg(F.sum("n").alias("all_n"), F.sum("s").alias("all_s"))
         table = (
             counts.groupBy("column", "category")
             .agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
             .join(totals, "column")
-            .select("column", "category", smoothed_mean(*map(F.col, "nsNS")).alias("encoding"))
+            .select("column", "category", smoothed_mean(F.col("n"), F.col("s"), F.col("all_n"), F.col("all_s")).alias("encoding"))
         )
-        n, s = totals.select("N", "S").first()
+        n, s = totals.select("all_n", "all_s").first()
         model = TargetMeanEncoderModel()._set(
             inputCols=self.getInputCols(), outputCols=self.getOutputCols(), overall=s / n
         )
@@ -190,9 +190,13 @@ class TargetMeanEncoder(Estimator, _Columns, HasLabelCol, DefaultParamsReadable,
         counts = self._counts(df)
         per_category = counts.groupBy("column", "category").agg(F.sum("n").alias("cn"), F.sum("s").alias("cs"))
         per_fold = counts.groupBy("column", "fold").agg(F.sum("n").alias("fn"), F.sum("s").alias("fs"))
-        totals = counts.groupBy("column").agg(F.sum("n").alias("N"), F.sum("s").alias("S"))
+        totals = counts.groupBy("column").agg(F.sum("n").alias("all_n"), F.sum("s").alias("all_s"))
         others = smoothed_mean(
-            F.col("cn") - F.col("n"), F.col("cs") - F.col("s"), F.col("N") - F.col("fn"), F.col("S") - F.col("fs")
+            F.col("cn") - F.col("n"),
+            F.col("cs") - F.col("s"),
+            F.col("all_n") - F.col("fn"),
+            F.col("all_s") - F.col("fs"),
+       
         )
         c = counts.withColumn("category", F.coalesce("category", F.lit("\0")))
         pc = per_category.withColumn("category", F.coalesce("category", F.lit("\0")))
