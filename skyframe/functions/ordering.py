@@ -29,9 +29,10 @@ def value_cells(c: Column) -> tuple[Column, Column]:
     block = (exponent + 1100) * SPLITS + F.floor(scaled)
     cell = F.floor((scaled - F.floor(scaled)) * SPLITS)
     sign = F.signum(x)
-    return (
-        F.when(x == 0, F.lit(0)).otherwise((sign * block)).cast("long"),
-        F.when(x == 0, F.lit(0)).otherwise((sign * cell)).cast("long"),
+    # Never null: Spark then adds no null checks to the joins on them, and the frames
+    # derived from one shuffle stay recognisably the same, so it is run once.
+    return tuple(
+        F.coalesce(F.when(x != 0, sign * part).cast("long"), F.lit(0)) for part in (block, cell)
     )
 
 

@@ -7,6 +7,7 @@ import math
 import random
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -61,7 +62,7 @@ GRIDS = {
 }
 
 DEEPEST_TREE = 30
-TREE_BINS = 512
+TREE_BINS = 256
 PREDICTION_COLUMNS = ["predicted_class", "predicted_label", "probability_delayed"]
 
 
@@ -133,21 +134,22 @@ def predict_batch(model: Model, records: DataFrame) -> DataFrame:
     return scored.select(*records.columns, *PREDICTION_COLUMNS)
 
 
-def select_model(
-    train: DataFrame,
-    val: DataFrame,
-    overrides: dict[str, dict] | None = None,
-    seed: int = K.SEED,
-    fold_key: Sequence[str] = (),
-) -> tuple[str, dict[str, dict[str, float]], dict[str, PipelineModel]]:
-    """Fit every candidate, score it on the validation set, pick the highest ROC-AUC (first on a tie)."""
-    results, models = {}, {}
-    for name in DEFAULTS:
-        models[name] = fit(name, train, seed, fold_key, **(overrides or {}).get(name, {}))
-        row = metrics.classification_metrics(predict_batch(models[name], val)).first()
-        results[name] = {"roc_auc": row["roc_auc"], "f1": row["f1"]}
-    best = max(results, key=lambda n: results[n]["roc_auc"])
-    return best, results, models
+def fit_candidates(
+    train: DataFrame, overrides: dict[str, dict] | None = None, seed: int = K.SEED, fold_key: Sequence[str] = ()
+) -> dict[str, PipelineModel]:
+    return {n: fit(n, train, seed, fold_key, **(overrides or {}).get(n, {})) for n in DEFAULTS}
+
+
+def select_model(candidates: dict[str, PipelineModel], val: DataFrame) -> tuple[str, dict[str, dict[str, float]]]:
+    """Score every fitted candidate on the validation set and pick the highest ROC-AUC (first on a tie).
+
+    All candidates are scored as one frame, so the ranks are computed in one pass.
+    """
+    scored = [predict_batch(m, val).withColumn("_model", F.lit(n)) for n, m in candidates.items()]
+    rows = metrics.classification_metrics(reduce(DataFrame.unionByName, scored), within=["_model"]).collect()
+    measured = {r["_model"]: {"roc_auc": r["roc_auc"], "f1": r["f1"]} for r in rows}
+    results = {n: measured[n] for n in candidates}
+    return max(results, key=lambda n: results[n]["roc_auc"]), results
 
 
 def draw_params(name: str, draws: int = K.SEARCH_DRAWS, seed: int = K.SEED) -> list[dict]:
@@ -297,7 +299,7 @@ def train_delay_model(
     """The whole training run: split, select, tune, refit, judge on test, save, record."""
     split = materialise(stratified_split(flights, seed=seed, key=key), "split")
     train, val, test = [split.where(F.col("split") == s).drop("split") for s in ("train", "val", "test")]
-    best, selection, _ = select_model(train, val, overrides, seed, key)
+    best, selection = select_model(fit_candidates(train, overrides, seed, key), val)
     params, _ = random_search(best, train, draws=draws, seed=seed, key=key)[0]
     model = refit(best, params, train, val, seed, key)
     scored = predict_batch(model, test)

@@ -10,8 +10,10 @@ or shuffled, and the same rows are chosen on every run.
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -58,13 +60,14 @@ class _Search:
 
     def __init__(self, stratum, target: int):
         self.stratum, self.target = stratum, target
-        self.prefix, self.before, self.rows = "", 0, None
+        self.prefix, self.before, self.rows = "", 0, 0
         self.key, self.take, self.copies = None, None, None
 
     def matches(self) -> Column:
         return F.col("_stratum").eqNullSafe(F.lit(self.stratum)) & F.col("_key").startswith(self.prefix)
 
-    def step(self, counts: dict) -> None:
+    def narrow(self, counts: dict) -> None:
+        """Step into the counted prefix that holds the target; finished when it is a single key."""
         seen = self.before
         for prefix in sorted(p for s, p in counts if s == self.stratum and p.startswith(self.prefix)):
             n, low, high = counts[self.stratum, prefix]
@@ -77,41 +80,66 @@ class _Search:
         raise ValueError("fewer rows than asked for")
 
 
-def _locate(keyed: DataFrame, searches: list[_Search]) -> None:
-    """Narrow every search until its key is known. Each round counts at most 4,096 prefixes per search."""
-    while True:
-        todo = [s for s in searches if s.key is None]
-        if not todo:
-            return
-        wanted = reduce(lambda a, b: a | b, [s.matches() for s in todo])
-        # A bucket of a few rows is finished by counting its keys; a large one by more digits.
-        done = all(s.rows is not None and s.rows <= SMALL_BUCKET for s in todo)
-        length = F.when(F.lit(False), 0)
-        for s in todo:
-            length = length.when(s.matches(), len(s.prefix) + DIGITS)
-        prefix = F.col("_key") if done else F.substr(F.col("_key"), F.lit(1), length)
-        rows = (
-            keyed.where(wanted)
-            .groupBy("_stratum", prefix.alias("p"))
-            .agg(F.count("*").alias("n"), F.min("_key").alias("lo"), F.max("_key").alias("hi"))
-            .collect()
-        )
-        counts = {(r["_stratum"], r["p"]): (r["n"], r["lo"], r["hi"]) for r in rows}
+def _count_prefixes(keyed: DataFrame, prefix: Column) -> dict:
+    """{(stratum, prefix): (rows, lowest key, highest key)}; at most 4,096 prefixes per stratum and cut."""
+    most = MAX_STRATA * 16**DIGITS
+    rows = (
+        keyed.groupBy("_stratum", prefix.alias("p"))
+        .agg(F.count("*").alias("n"), F.min("_key").alias("lo"), F.max("_key").alias("hi"))
+        .limit(most + 1)
+        .collect()
+    )
+    if len(rows) > most:
+        raise ValueError(f"more than {MAX_STRATA} classes to stratify on")
+    return {(r["_stratum"], r["p"]): (r["n"], r["lo"], r["hi"]) for r in rows}
+
+
+def _locate(keyed: DataFrame, searches: list[_Search], counts: dict) -> None:
+    """Narrow every search until its key is known."""
+    for s in searches:
+        s.narrow(counts)
+    while todo := [s for s in searches if s.key is None]:
+        # Few rows left are finished by counting their keys; many by three more digits.
+        if all(s.rows <= SMALL_BUCKET for s in todo):
+            prefix = F.col("_key")
+        else:
+            length = F.when(F.lit(False), 0)
+            for s in todo:
+                length = length.when(s.matches(), len(s.prefix) + DIGITS)
+            prefix = F.substr(F.col("_key"), F.lit(1), length)
+        left = keyed.where(reduce(lambda a, b: a | b, [s.matches() for s in todo]))
+        counts = _count_prefixes(left, prefix)
         for s in todo:
-            s.step(counts)
+            s.narrow(counts)
 
 
-def _assign(df: DataFrame, stratum: Column, key: Column, plan: dict, names: Sequence[str], column: str) -> DataFrame:
-    """Label rows by ``plan``: {stratum: [rows per name, in key order]}; leftovers get the last name."""
+def _assign(
+    df: DataFrame,
+    stratum: Column,
+    key: Column,
+    plan_of: Callable[[dict], dict | None],
+    names: Sequence[str],
+    column: str,
+) -> DataFrame:
+    """Label rows with ``names`` in key order, leftovers with the last one.
+
+    ``plan_of`` turns {stratum: rows} into {stratum: [rows per name]}; the rows are
+    known from the first round of counting. Without a plan every row gets the first name.
+    """
     keyed = df.select(stratum.alias("_stratum"), key.alias("_key"))
+    counts = _count_prefixes(keyed, F.substring("_key", 1, DIGITS))
+    sizes = Counter()
+    for (s, _), (n, _, _) in counts.items():
+        sizes[s] += n
+    plan = plan_of(dict(sizes))
+    if plan is None:
+        return df.withColumn(column, F.lit(names[0]))
     searches = {}
-    for s, sizes in plan.items():
-        upto = 0
-        for i, size in enumerate(sizes):
-            upto += size
-            if size:
+    for s, parts in plan.items():
+        for i, upto in enumerate(itertools.accumulate(parts)):
+            if parts[i]:
                 searches[s, i] = _Search(s, upto)
-    _locate(keyed, list(searches.values()))
+    _locate(keyed, list(searches.values()), counts)
 
     labelled = df.withColumn("_stratum", stratum).withColumn("_key", key)
     label = F.when(F.lit(False), names[-1])
@@ -149,13 +177,6 @@ def _assign(df: DataFrame, stratum: Column, key: Column, plan: dict, names: Sequ
     return reduce(DataFrame.unionByName, parts, rest)
 
 
-def _strata(df: DataFrame, stratum: Column) -> dict:
-    rows = df.groupBy(stratum.alias("s")).agg(F.count("*").alias("n")).limit(MAX_STRATA + 1).collect()
-    if len(rows) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} classes to stratify on")
-    return {r["s"]: r["n"] for r in rows}
-
-
 def stratified_split(
     df: DataFrame,
     target: str = K.TARGET,
@@ -165,43 +186,51 @@ def stratified_split(
     test: float = K.TEST_SHARE,
 ) -> DataFrame:
     """Add ``split`` (train, val, test) with exact sizes and class shares kept."""
-    counts = _strata(df, F.col(target))
-    n = sum(counts.values())
-    n_train, n_val, n_test = split_sizes(n, val, test)
-    rest = largest_remainder(counts, n - n_test)
-    train = largest_remainder(rest, n_train)
-    plan = {c: [counts[c] - rest[c], rest[c] - train[c]] for c in sorted(counts)}
-    return _assign(df, F.col(target), row_key(df.columns, seed, key), plan, ("test", "val", "train"), "split")
+
+    def plan(counts: dict) -> dict:
+        n = sum(counts.values())
+        n_train, _, n_test = split_sizes(n, val, test)
+        rest = largest_remainder(counts, n - n_test)
+        train = largest_remainder(rest, n_train)
+        return {c: [counts[c] - rest[c], rest[c] - train[c]] for c in counts}
+
+    names = ("test", "val", "train")
+    return _assign(df, F.col(target), row_key(df.columns, seed, key), plan, names, "split")
+
+
+def _chosen(df: DataFrame, stratum: Column, key: Column, size: int) -> DataFrame:
+    def plan(counts: dict) -> dict | None:
+        if sum(counts.values()) <= size:
+            return None
+        return {c: [k] for c, k in largest_remainder(counts, size).items()}
+
+    return _assign(df, stratum, key, plan, ("in", "out"), "_part").where("_part = 'in'").drop("_part")
 
 
 def stratified_sample(
     df: DataFrame, size: int = K.SEARCH_SAMPLE, target: str = K.TARGET, seed: int = K.SEED, key: Sequence[str] = ()
 ) -> DataFrame:
     """Exactly ``size`` rows with class shares kept; a smaller frame is returned whole."""
-    counts = _strata(df, F.col(target))
-    if sum(counts.values()) <= size:
-        return df
-    plan = {c: [k] for c, k in largest_remainder(counts, size).items()}
-    chosen = _assign(df, F.col(target), row_key(df.columns, seed, key), plan, ("in", "out"), "_chosen")
-    return chosen.where("_chosen = 'in'").drop("_chosen")
+    return _chosen(df, F.col(target), row_key(df.columns, seed, key), size)
 
 
-def stratified_folds(df: DataFrame, folds: int, target: str = K.TARGET, seed: int = K.SEED, key: Sequence[str] = ()) -> DataFrame:
+def sample_n(df: DataFrame, n: int, seed: int = K.SEED, key: Sequence[str] = ()) -> DataFrame:
+    """Exactly ``n`` rows without replacement, the same ones on every run."""
+    return _chosen(df, F.lit("all"), row_key(df.columns, seed, key), n)
+
+
+def stratified_folds(
+    df: DataFrame, folds: int, target: str = K.TARGET, seed: int = K.SEED, key: Sequence[str] = ()
+) -> DataFrame:
     """Add ``fold`` 0..folds-1, class shares kept in each."""
+
+    def plan(counts: dict) -> dict:
+        return {c: [n // folds + (i < n % folds) for i in range(folds - 1)] for c, n in counts.items()}
+
     names = [str(i) for i in range(folds)]
-    counts = _strata(df, F.col(target))
-    plan = {c: [n // folds + (i < n % folds) for i in range(folds - 1)] for c, n in counts.items()}
     labelled = _assign(df, F.col(target), row_key(df.columns, seed, key), plan, names, "fold")
     return labelled.withColumn("fold", F.col("fold").cast("int"))
 
 
-def sample_n(df: DataFrame, n: int, seed: int = K.SEED, key: Sequence[str] = ()) -> DataFrame:
-    """Exactly ``n`` rows without replacement, the same ones on every run."""
-    if df.count() <= n:
-        return df
-    chosen = _assign(df, F.lit("all"), row_key(df.columns, seed, key), {"all": [n]}, ("in", "out"), "_chosen")
-    return chosen.where("_chosen = 'in'").drop("_chosen")
-
-
 def train_plus_val(train: DataFrame, val: DataFrame) -> DataFrame:
     return train.unionByName(val)

@@ -17,7 +17,6 @@ def bbox_trim(docs: DataFrame) -> DataFrame:
 
     A payload whose ``ac`` is not a list is left as it is and both counts are null.
     """
-    listed = F.expr("schema_of_variant(_doc['ac']) LIKE 'ARRAY%'")
     kept = F.filter(
         "_ac",
         lambda a: in_box(
@@ -30,9 +29,9 @@ def bbox_trim(docs: DataFrame) -> DataFrame:
     )
     return (
         docs.withColumn(
-            "_doc", F.when(F.ltrim("payload").startswith("{"), F.from_json("payload", "map<string,variant>"))
+            "_doc", F.when(F.col("payload").rlike(r"^\s*\{"), F.from_json("payload", "map<string,variant>"))
         )
-        .withColumn("_ac", F.when(listed, F.try_variant_get(F.col("_doc")["ac"], "$", "array<variant>")))
+        .withColumn("_ac", F.try_variant_get(F.col("_doc")["ac"], "$", "array<variant>"))
         .withColumn("_kept", kept)
         .withColumn("ac_total", F.when(F.col("_ac").isNotNull(), F.size("_ac")))
         .withColumn("ac_kept", F.when(F.col("_ac").isNotNull(), F.size("_kept")))
@@ -125,19 +124,23 @@ def unify_positions(docs: DataFrame, **keyed_options: bool) -> DataFrame:
     )
 
 
-def freshest_snapshot(docs: DataFrame) -> DataFrame:
-    """Documents of the newest call of the freshest source; on a tie the positional feed wins.
-
-    Only ``source`` and ``fetched_at`` are scanned to find the winner; payloads are
-    read for the winning call alone.
-    """
+def newest_call(docs: DataFrame) -> DataFrame:
+    """One row: the source and time of the freshest call; on a tie the positional feed wins."""
     newest = docs.groupBy("source").agg(F.max("fetched_at").alias("fetched_at"))
-    winner = (
+    return (
         newest.where(F.col("fetched_at").isNotNull())
         .orderBy(F.desc("fetched_at"), F.col("source") != K.POSITIONAL_SOURCE)
         .limit(1)
     )
-    keys = ["source", "fetched_at"]
+
+
+def freshest_snapshot(docs: DataFrame) -> DataFrame:
+    """Documents of the freshest call.
+
+    Only ``source`` and ``fetched_at`` are scanned to find it; payloads are read for
+    that call alone, from its own partition when the documents are landed ones.
+    """
+    winner, keys = newest_call(docs), ["source", "fetched_at"]
     if "fetched_date" in docs.columns:
         winner = winner.withColumn("fetched_date", F.to_date("fetched_at"))
         keys.append("fetched_date")

@@ -45,7 +45,7 @@ def landed(spark, docs: DataFrame) -> str:
     path = new_folder(spark, "landing")
     for source in (K.POSITIONAL_SOURCE, K.KEYED_SOURCE):
         mine = docs.where(F.col("source") == source).select("payload", "fetched_at")
-        snapshots.land_snapshots(mine, path, source, RUN)
+        snapshots.land_snapshots(mine, path, source, RUN, rebalance=True)
     return path
 
 
@@ -191,9 +191,10 @@ CURRENT_SQL = f"""
 
 @query(CURRENT_SQL)
 def current_aircraft(spark, sf_dir):
-    """Which aircraft are where right now: guard, newest snapshot, mapping, live-map shape."""
-    docs = snapshots.accepted(snapshots.parse_guard(documents(spark, sf_dir)))
-    return live.current_aircraft(unify.unify_positions(unify.freshest_snapshot(docs)))
+    """Which aircraft are where right now: newest call, guard, mapping, live-map shape."""
+    docs = raw_documents(unify.freshest_snapshot(view(spark, sf_dir, "obs")))
+    stored = snapshots.accepted(snapshots.parse_guard(docs))
+    return live.current_aircraft(unify.unify_positions(stored))
 
 
 ONE_PER_CALL = "SELECT *, row_number() OVER (PARTITION BY source, fetched_at, icao24 ORDER BY id DESC) AS rn FROM obs"
@@ -218,9 +219,8 @@ def refresh_positions(spark, sf_dir):
     """
 )
 def read_positions(spark, sf_dir):
-    docs = raw_documents(one_per_call(spark, sf_dir))
-    newest = unify.unify_positions(unify.freshest_snapshot(docs))
-    table.publish_positions(newest, "q_map1")
+    docs = raw_documents(unify.freshest_snapshot(one_per_call(spark, sf_dir)))
+    table.publish_positions(unify.unify_positions(docs), "q_map1")
     return live.current_aircraft(table.read_positions(spark, "q_map1"))
 
 

@@ -240,8 +240,8 @@ def fit_boosting(spark, sf_dir):
 
 @query()
 def select_model(spark, sf_dir):
-    train, val = part(spark, sf_dir, "train"), part(spark, sf_dir, "val")
-    best, results, _ = models.select_model(train, val, FIT_PARAMS, fold_key=KEY)
+    candidates = {n: _model(spark, sf_dir, n) for n in models.DEFAULTS}
+    best, results = models.select_model(candidates, part(spark, sf_dir, "val"))
     rows = [(n, r["roc_auc"], r["f1"], n == best) for n, r in results.items()]
     return spark.createDataFrame(rows, "model string, roc_auc double, f1 double, selected boolean")
 

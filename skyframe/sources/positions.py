@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skyframe import constants as K
 from skyframe import schemas
 from skyframe.operators.live import duplicate_keys
-from skyframe.operators.unify import freshest_snapshot, snapshot_faults, unify_positions
+from skyframe.operators.unify import newest_call, snapshot_faults, unify_positions
 from skyframe.session import new_folder
 
 
@@ -48,10 +48,13 @@ def publish_positions(rows: DataFrame, table: str, root: str | None = None) -> s
 
 def refresh_positions(docs: DataFrame, table: str, root: str | None = None, **keyed_options: bool) -> str:
     """Replace the table from the freshest landed snapshot."""
-    newest = freshest_snapshot(docs)
-    faults = snapshot_faults(newest).first()
-    if faults["documents"] == 0:
+    call = newest_call(docs).first()
+    if call is None:
         raise RefreshRefused("no snapshot has been landed")
+    newest = docs.where((F.col("source") == call["source"]) & (F.col("fetched_at") == F.lit(call["fetched_at"])))
+    if "fetched_date" in docs.columns:
+        newest = newest.where(F.col("fetched_date") == F.to_date(F.lit(call["fetched_at"])))
+    faults = snapshot_faults(newest).first()
     if faults["no_list"] or faults["bad_vectors"]:
         raise RefreshRefused(
             f"{faults['no_list']} documents without states, {faults['bad_vectors']} with short vectors"

@@ -15,19 +15,23 @@ from skyframe.functions.columns import instant
 Transform = Callable[[DataFrame], DataFrame]
 
 
-def payload_reason(payload: str = "payload") -> Column:
-    """Why a payload is not stored; null when it is."""
-    parsed = F.try_parse_json(F.col(payload))
-    kind = F.schema_of_variant(parsed)
-    return (
-        F.when(parsed.isNull(), "invalid_json")
-        .when((kind == "VOID") | F.to_json(parsed).isin("[]", "{}"), "empty")
-        .when(~(kind.startswith("ARRAY") | kind.startswith("OBJECT")), "unexpected_type")
-    )
+# A payload that holds nothing, and one that opens a list or an object.
+EMPTY = r"^\s*(null|\[\s*\]|\{\s*\})\s*$"
+LIST, CONTAINER = r"^\s*\[", r"^\s*[\[{]"
 
 
 def parse_guard(raw: DataFrame) -> DataFrame:
-    return raw.withColumn("reason", payload_reason())
+    """Add ``reason``, why a payload is not stored; null when it is.
+
+    The text is parsed once to see that it is JSON; the other checks look at its edges.
+    """
+    payload = F.col("payload")
+    return raw.withColumn(
+        "reason",
+        F.when(F.try_parse_json(payload).isNull(), "invalid_json")
+        .when(payload.rlike(EMPTY), "empty")
+        .when(~payload.rlike(CONTAINER), "unexpected_type"),
+    )
 
 
 def accepted(guarded: DataFrame) -> DataFrame:
@@ -40,9 +44,9 @@ def rejected(guarded: DataFrame) -> DataFrame:
 
 def one_document_per_row(docs: DataFrame) -> DataFrame:
     """A list payload holds several documents of one call; each becomes a row."""
-    items = F.when(
-        F.ltrim("payload").startswith("["), F.from_json("payload", "array<string>")
-    ).otherwise(F.array("payload"))
+    items = F.when(F.col("payload").rlike(LIST), F.from_json("payload", "array<string>")).otherwise(
+        F.array("payload")
+    )
     rest = [c for c in docs.columns if c != "payload"]
     return docs.select(*rest, F.explode(items).alias("payload")).where(F.col("payload").isNotNull())
 
@@ -77,11 +81,14 @@ def land_snapshots(
     run_id: str,
     transform: Transform | None = None,
     key: Sequence[str] = (),
+    rebalance: bool = False,
 ) -> DataFrame:
     """Append payloads to the landing folder; rows whose ``key`` is already stored are skipped.
 
     ``raw`` has a ``payload`` text column, optionally ``fetched_at`` and key columns.
-    Returns the landed rows of this source.
+    ``rebalance`` suits a backfill whose tasks each hold many days: days are brought
+    together first, and Spark splits the heavy ones, so the folder gets few, even
+    files. Returns the landed rows of this source.
     """
     spark = raw.sparkSession
     docs = prepare(raw, source, run_id, transform)
@@ -90,6 +97,8 @@ def land_snapshots(
         if _has_data(spark, f"{path}/source={source}"):
             stored = spark.read.parquet(path).where(F.col("source") == source).select(*key)
             docs = docs.join(stored, list(key), "left_anti")
+    if rebalance:
+        docs = docs.hint("rebalance", "fetched_date")
     docs.write.mode("append").partitionBy("source", "fetched_date").parquet(path)
     return read_snapshots(spark, path, source)
 
