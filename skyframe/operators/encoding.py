@@ -275,7 +275,10 @@ class _TableReader(MLReader):
 
 
 class CrossFitPipeline(Pipeline):
-    """A Pipeline whose cross-fitting stages encode the training rows out of fold."""
+    """A Pipeline whose cross-fitting stages encode the training rows out of fold.
+
+    ``fit`` expects a classifier as the last stage; ``fitTransform`` takes any stages.
+    """
 
     def fitTransform(self, df: DataFrame) -> tuple[PipelineModel, DataFrame]:
         fitted = []
@@ -292,8 +295,12 @@ class CrossFitPipeline(Pipeline):
     def _fit(self, df: DataFrame) -> PipelineModel:
         *head, last = self.getStages()
         prepared, df = CrossFitPipeline(stages=head).fitTransform(df)
-        if isinstance(last, Estimator):
-            last = last.fit(df)
+        # The classifier reads its two columns many times; they are prepared once.
+        used = df.select(last.getFeaturesCol(), last.getLabelCol()).persist()
+        try:
+            last = last.fit(used)
+        finally:
+            used.unpersist()
         return PipelineModel([*prepared.stages, last])
 
 

@@ -117,7 +117,7 @@ def test_weekend(spark):
 
 
 def test_unseen_categories(spark, flights):
-    _, fitted = None, encoding.CrossFitPipeline(stages=encoding.one_hot_stages(["Airline"])).fit(flights)
+    fitted, _ = encoding.CrossFitPipeline(stages=encoding.one_hot_stages(["Airline"])).fitTransform(flights)
     row = fitted.transform(records(spark, {"Airline": "??"})).first()
     assert row["Airline_onehot"].size == 5 and row["Airline_onehot"].numNonzeros() == 0
     coder = encoding.OrdinalEncoder(inputCols=["Airline", "AirportFrom"], outputCols=["a", "f"]).fit(flights)
