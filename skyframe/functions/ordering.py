@@ -36,48 +36,52 @@ def value_cells(c: Column) -> tuple[Column, Column]:
     )
 
 
-def running_totals(
-    df: DataFrame,
-    by: str,
-    totals: Sequence[str],
-    within: Sequence[str] = (),
-    descending: bool = False,
+def cell_offsets(
+    cells: DataFrame, totals: Sequence[str], within: Sequence[str] = (), descending: bool = False
 ) -> DataFrame:
-    """Add ``<total>_upto`` to a frame that has one row per (within, by), in order of ``by``."""
-    within = list(within)
+    """Add ``<total>_before``, what all earlier cells hold, to a frame with one row per cell."""
     direction = F.desc if descending else F.asc
-    block, cell = value_cells(F.col(by))
-    rows = df.withColumn("_block", block).withColumn("_cell", cell)
-
-    cells = rows.groupBy(*within, "_block", "_cell").agg(*[F.sum(t).alias(t) for t in totals])
-    blocks = cells.groupBy(*within, "_block").agg(*[F.sum(t).alias(t) for t in totals])
 
-    def before(frame: DataFrame, keys: list[str], order: str, prefix: str) -> DataFrame:
-        w = (
-            Window.partitionBy(*keys)
-            .orderBy(direction(order))
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
+    def before(frame: DataFrame, keys: Sequence[str], order: str, prefix: str) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, -1)
         return frame.select(
-            *within,
-            *[k for k in ("_block", "_cell") if k in frame.columns],
+            *[c for c in frame.columns if prefix == "_c_" or c not in totals],
             *[F.coalesce(F.sum(t).over(w), F.lit(0)).alias(prefix + t) for t in totals],
         )
 
     # At most a few thousand blocks exist for any one order of magnitude, whatever the row count.
-    offsets = before(cells, [*within, "_block"], "_cell", "_c_").join(
+    blocks = cells.groupBy(*within, "_block").agg(*[F.sum(t).alias(t) for t in totals])
+    placed = before(cells, [*within, "_block"], "_cell", "_c_").join(
         before(blocks, within, "_block", "_b_"), [*within, "_block"]
     )
+    return placed.select(
+        *cells.columns, *[(F.col("_c_" + t) + F.col("_b_" + t)).alias(t + "_before") for t in totals]
+    )
+
+
+def with_cells(df: DataFrame, by: str) -> DataFrame:
+    block, cell = value_cells(F.col(by))
+    return df.withColumn("_block", block).withColumn("_cell", cell)
+
+
+def running_totals(
+    df: DataFrame,
+    by: str,
+    totals: Sequence[str],
+    within: Sequence[str] = (),
+    descending: bool = False,
+) -> DataFrame:
+    """Add ``<total>_upto`` to a frame that has one row per (within, by), in order of ``by``."""
+    keys = [*within, "_block", "_cell"]
+    rows = with_cells(df, by)
+    cells = rows.groupBy(*keys).agg(*[F.sum(t).alias(t) for t in totals])
+    offsets = cell_offsets(cells, totals, within, descending).drop(*totals)
     inside = (
-        Window.partitionBy(*within, "_block", "_cell")
-        .orderBy(direction(by))
+        Window.partitionBy(*keys)
+        .orderBy(F.desc(by) if descending else F.asc(by))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    local = rows
-    for t in totals:
-        local = local.withColumn("_r_" + t, F.sum(t).over(inside))
-    joined = local.join(offsets, [*within, "_block", "_cell"])
-    return joined.select(
-        *[F.col(c) for c in df.columns],
-        *[(F.col("_r_" + t) + F.col("_c_" + t) + F.col("_b_" + t)).alias(t + "_upto") for t in totals],
+    local = rows.withColumns({"_r_" + t: F.sum(t).over(inside) for t in totals})
+    return local.join(offsets, keys).select(
+        *df.columns, *[(F.col("_r_" + t) + F.col(t + "_before")).alias(t + "_upto") for t in totals]
     )

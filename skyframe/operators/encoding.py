@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from skyframe import constants as K
 from skyframe.functions.columns import day_bucket, is_weekend
-from skyframe.operators.split import row_key
+from skyframe.operators.split import content_md5
 from skyframe.session import materialise
 
 FOLDS = 5
@@ -113,7 +113,7 @@ class OrdinalEncoderModel(Model, _Columns, DefaultParamsReadable, DefaultParamsW
 
 def fold_of(columns: Sequence[str], seed: int = K.SEED, folds: int = FOLDS, key: Sequence[str] = ()) -> Column:
     """Fold number from the row's content: the same on every run and every retry."""
-    return (F.conv(F.substring(row_key(columns, seed, key), 1, 8), 16, 10).cast("long") % folds).cast("int")
+    return (F.conv(F.substring(content_md5(columns, seed, key), 1, 8), 16, 10).cast("long") % folds).cast("int")
 
 
 def smoothed_mean(n: Column, s: Column, all_n: Column, all_s: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from skyframe import constants as K
 from skyframe.functions.columns import class_label
-from skyframe.functions.ordering import running_totals
+from skyframe.functions.ordering import cell_offsets, with_cells
 from skyframe.sources.flights import null_counts_row
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -86,39 +86,59 @@ def shape_dtypes(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("rows")).select("rows", described.alias("c")).select("rows", "c.*")
 
 
-def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value) pairs with how often each occurs, repeats merged before the shuffle."""
-    cast = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    return (
-        cast.unpivot([], list(columns), "column", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count("*").alias("n"))
-    )
-
-
 def exact_quantiles(df: DataFrame, columns: Sequence[str], at: Sequence[float] = QUARTILES) -> DataFrame:
     """Linearly interpolated quantiles, one row per column and a field ``q0, q1, ..`` per level.
 
-    The values next to each rank are read off running counts over the sorted distinct
-    values, so no task ever holds a whole column.
+    A first pass counts rows per value cell, which tells the few cells that hold the
+    wanted ranks. Only the values of those cells are then counted and ordered, so
+    neither pass shuffles the columns themselves.
     """
-    counted = _long(df, columns)
-    ranked = running_totals(counted, "value", ["n"], within=["column"])
-    sizes = counted.groupBy("column").agg(F.sum("n").alias("_size"))
-    placed = ranked.join(sizes, "column")
-    picks = []
-    for i, q in enumerate(at):
-        h = (F.col("_size") - 1) * F.lit(float(q))
-        for name, rank in (("lo", F.floor(h)), ("hi", F.ceil(h))):
-            holds = (F.col("n_upto") - F.col("n") <= rank) & (rank < F.col("n_upto"))
-            picks.append(F.max(F.when(holds, F.col("value"))).alias(f"_{name}{i}"))
-        picks.append(F.max(h - F.floor(h)).alias(f"_w{i}"))
-    found = placed.groupBy("column").agg(*picks)
-    return found.select(
+    values = with_cells(
+        df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+        .unpivot([], list(columns), "column", "value")
+        .where(F.col("value").isNotNull()),
+        "value",
+    )
+    keys = ["column", "_block", "_cell"]
+    cells = values.groupBy(*keys).agg(F.count("*").alias("n"))
+    sizes = cells.groupBy("column").agg(F.sum("n").alias("size"))
+    # Per level the two ranks to interpolate between, counted from 0.
+    levels = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("q")) for i, q in enumerate(at)]))
+    h = (F.col("size") - 1) * F.col("l.q")
+    ranks = sizes.select("column", levels.alias("l"), "size").select(
+        "column",
+        F.col("l.i").alias("i"),
+        (h - F.floor(h)).alias("weight"),
+        F.explode(F.array(F.struct(F.lit("lo").alias("end"), F.floor(h).alias("rank")), F.struct(F.lit("hi").alias("end"), F.ceil(h).alias("rank")))).alias("e"),
+    ).select("column", "i", "weight", "e.*")
+    # At most two ranks per level and column.
+    placed = cell_offsets(cells, ["n"], ["column"]).join(F.broadcast(ranks), "column")
+    wanted = placed.where(
+        (F.col("n_before") <= F.col("rank")) & (F.col("rank") < F.col("n_before") + F.col("n"))
+    ).drop("n")
+    few = wanted.select(*keys).distinct()
+    counted = values.join(F.broadcast(few), keys, "left_semi").groupBy(*keys, "value").agg(F.count("*").alias("n"))
+    inside = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (
+        counted.withColumn("upto", F.sum("n").over(inside))
+        .join(F.broadcast(wanted), keys)
+        .where(
+            (F.col("n_before") + F.col("upto") - F.col("n") <= F.col("rank"))
+            & (F.col("rank") < F.col("n_before") + F.col("upto"))
+        )
+    )
+    ends = found.groupBy("column").agg(
+        *[
+            F.max(F.when((F.col("i") == i) & (F.col("end") == end), F.col("value"))).alias(f"{end}{i}")
+            for i in range(len(at))
+            for end in ("lo", "hi")
+        ],
+        *[F.max(F.when(F.col("i") == i, F.col("weight"))).alias(f"w{i}") for i in range(len(at))],
+    )
+    return ends.select(
         "column",
         *[
-            (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_w{i}")).alias(f"q{i}")
+            (F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"w{i}")).alias(f"q{i}")
             for i in range(len(at))
         ],
     )

@@ -26,16 +26,20 @@ MAX_STRATA = 100
 SMALL_BUCKET = 50_000
 
 
+def content_md5(columns: Sequence[str], seed: int, key: Sequence[str] = ()) -> Column:
+    """Hex digest of the ``key`` columns, or of the whole row, and the seed."""
+    if not key:
+        return F.md5(F.concat(F.to_json(F.struct(*columns)), F.lit(f"|{seed}")))
+    return F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in key], F.lit(str(seed))))
+
+
 def row_key(columns: Sequence[str], seed: int, key: Sequence[str] = ()) -> Column:
     """Hex key of a row. Rows with equal keys are equal in every column.
 
     ``key`` names columns that order the rows; the whole row only breaks their ties.
     """
-    whole = F.md5(F.concat(F.to_json(F.struct(*columns)), F.lit(f"|{seed}")))
-    if not key:
-        return whole
-    parts = [F.col(c).cast("string") for c in key]
-    return F.concat(F.md5(F.concat_ws("|", *parts, F.lit(str(seed)))), whole)
+    whole = content_md5(columns, seed)
+    return F.concat(content_md5(columns, seed, key), whole) if key else whole
 
 
 def largest_remainder(counts: dict, total: int) -> dict:
@@ -91,7 +95,7 @@ def _count_prefixes(keyed: DataFrame, prefix: Column) -> dict:
     )
     if len(rows) > most:
         raise ValueError(f"more than {MAX_STRATA} classes to stratify on")
-    return {(r["_stratum"], r["p"]): (r["n"], r["lo"], r["hi"]) for r in rows}
+    return {(r["_stratum"], r["p"]): (r["n"], r["lo"], r["hi"]) for r in rows if r["p"] is not None}
 
 
 def _locate(keyed: DataFrame, searches: list[_Search], counts: dict) -> None:
@@ -99,16 +103,15 @@ def _locate(keyed: DataFrame, searches: list[_Search], counts: dict) -> None:
     for s in searches:
         s.narrow(counts)
     while todo := [s for s in searches if s.key is None]:
-        # Few rows left are finished by counting their keys; many by three more digits.
-        if all(s.rows <= SMALL_BUCKET for s in todo):
-            prefix = F.col("_key")
-        else:
-            length = F.when(F.lit(False), 0)
-            for s in todo:
-                length = length.when(s.matches(), len(s.prefix) + DIGITS)
-            prefix = F.substr(F.col("_key"), F.lit(1), length)
-        left = keyed.where(reduce(lambda a, b: a | b, [s.matches() for s in todo]))
-        counts = _count_prefixes(left, prefix)
+        # Few rows left are finished by counting their keys; many by three more digits. Rows
+        # away from every cut have no prefix and merge into one count per task, which
+        # spares a filter that would compute the key once per cut.
+        finish = all(s.rows <= SMALL_BUCKET for s in todo)
+        prefix = F.when(F.lit(False), F.col("_key"))
+        for s in todo:
+            longer = F.col("_key") if finish else F.substring("_key", 1, len(s.prefix) + DIGITS)
+            prefix = prefix.when(s.matches(), longer)
+        counts = _count_prefixes(keyed, prefix)
         for s in todo:
             s.narrow(counts)
 

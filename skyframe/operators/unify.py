@@ -15,28 +15,26 @@ FT_PER_MIN_IN_M_PER_S = 0.00508
 def bbox_trim(docs: DataFrame) -> DataFrame:
     """Drop aircraft outside the box from keyed payloads; adds ``ac_total`` and ``ac_kept``.
 
-    A payload whose ``ac`` is not a list is left as it is and both counts are null.
+    Aircraft are kept or dropped as raw JSON text, so every field of a kept one
+    survives. A payload whose ``ac`` is not a list is left as it is and both counts are null.
     """
-    kept = F.filter(
-        "_ac",
-        lambda a: in_box(
-            F.try_variant_get(a, "$.lat", "double"), F.try_variant_get(a, "$.lon", "double")
-        ),
-    )
-    trimmed = F.map_concat(
-        F.map_filter("_doc", lambda k, _: k != "ac"),
-        F.create_map(F.lit("ac"), F.to_variant_object("_kept")),
-    )
+
+    def degrees(aircraft: Column, field: str) -> Column:
+        return F.get_json_object(aircraft, f"$.{field}").try_cast("double")
+
+    kept = F.filter("_ac", lambda a: in_box(degrees(a, "lat"), degrees(a, "lon")))
+    # The other top-level fields keep their JSON types as variants.
+    rest = F.to_json(F.map_filter(F.from_json("payload", "map<string,variant>"), lambda k, _: k != "ac"))
+    head = F.when(rest == "{}", "{").otherwise(F.concat(F.substr(rest, F.lit(1), F.length(rest) - 1), F.lit(",")))
+    trimmed = F.concat(head, F.lit('"ac":['), F.concat_ws(",", "_kept"), F.lit("]}"))
+    listed = F.col("_ac").isNotNull()
     return (
-        docs.withColumn(
-            "_doc", F.when(F.col("payload").rlike(r"^\s*\{"), F.from_json("payload", "map<string,variant>"))
-        )
-        .withColumn("_ac", F.try_variant_get(F.col("_doc")["ac"], "$", "array<variant>"))
+        docs.withColumn("_ac", F.from_json("payload", "ac array<string>")["ac"])
         .withColumn("_kept", kept)
-        .withColumn("ac_total", F.when(F.col("_ac").isNotNull(), F.size("_ac")))
-        .withColumn("ac_kept", F.when(F.col("_ac").isNotNull(), F.size("_kept")))
-        .withColumn("payload", F.when(F.col("_ac").isNotNull(), F.to_json(trimmed)).otherwise(F.col("payload")))
-        .drop("_doc", "_ac", "_kept")
+        .withColumn("ac_total", F.when(listed, F.size("_ac")))
+        .withColumn("ac_kept", F.when(listed, F.size("_kept")))
+        .withColumn("payload", F.when(listed, trimmed).otherwise(F.col("payload")))
+        .drop("_ac", "_kept")
     )
 
 
@@ -140,12 +138,11 @@ def freshest_snapshot(docs: DataFrame) -> DataFrame:
     Only ``source`` and ``fetched_at`` are scanned to find it; payloads are read for
     that call alone, from its own partition when the documents are landed ones.
     """
-    winner, keys = newest_call(docs), ["source", "fetched_at"]
+    call = newest_call(docs).select(F.struct("source", "fetched_at")).scalar()
+    mine = (F.col("source") == call["source"]) & (F.col("fetched_at") == call["fetched_at"])
     if "fetched_date" in docs.columns:
-        winner = winner.withColumn("fetched_date", F.to_date("fetched_at"))
-        keys.append("fetched_date")
-    # One row by construction.
-    return docs.join(F.broadcast(winner), keys, "left_semi")
+        mine &= F.col("fetched_date") == F.to_date(call["fetched_at"])
+    return docs.where(mine)
 
 
 def snapshot_faults(docs: DataFrame) -> DataFrame:
