@@ -328,7 +328,8 @@ STREAM_ROW = "callsign, time_position, longitude, latitude, on_ground, true_trac
     f"""
     SELECT source, {POSITIONAL_ROW} FROM obs WHERE {POSITIONAL}
     UNION ALL SELECT source, {KEYED_ROW} FROM obs WHERE {KEYED} AND {BOX}
-    """
+    """,
+    name="stream_land",
 )
 def stream_land_feeds(spark, sf_dir):
     """Both feeds landed as streams from a drop folder; the keyed one is trimmed on the way."""
@@ -348,7 +349,7 @@ def stream_land_feeds(spark, sf_dir):
     return rows
 
 
-@query(TABLE_SQL)
+@query(TABLE_SQL, name="stream_refresh")
 def stream_refresh_table(spark, sf_dir):
     path = landed(spark, raw_documents(one_per_call(spark, sf_dir)))
     stream_refresh(

@@ -22,16 +22,18 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in instants}) if instants else df
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under its function name, with the SQL that must give the same rows."""
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its function name or ``name``, with the SQL that must give the same rows."""
 
     def register(fn: Query) -> Query:
+        key = name or fn.__name__
+
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return comparable(fn(use_utc(spark), sf_dir))
 
-        QUERIES[fn.__name__] = run
+        QUERIES[key] = run
         if sql is not None:
-            ORACLES[fn.__name__] = with_views(sql)
+            ORACLES[key] = with_views(sql)
         return run
 
     return register

@@ -279,7 +279,7 @@ def _saved(spark, sf_dir) -> str:
 
 
 @query()
-def save_load_model(spark, sf_dir):
+def load_model(spark, sf_dir):
     return models.predict_batch(store.load_model(_saved(spark, sf_dir)), part(spark, sf_dir, "test"))
 
 

@@ -53,8 +53,8 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+def new_folder(spark: SparkSession, label: str, root: str | None = None) -> str:
+    return f"{(root or shared_dir(spark)).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

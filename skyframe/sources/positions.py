@@ -9,7 +9,8 @@ from skyframe import constants as K
 from skyframe import schemas
 from skyframe.operators.live import duplicate_keys
 from skyframe.operators.unify import newest_call, snapshot_faults, unify_positions
-from skyframe.session import new_folder
+from skyframe.session import new_folder, shared_dir
+from skyframe.sources import files
 
 
 class RefreshRefused(RuntimeError):
@@ -36,11 +37,12 @@ def publish_positions(rows: DataFrame, table: str, root: str | None = None) -> s
     """
     check_table(table)
     spark = rows.sparkSession
-    path = new_folder(spark, table) if root is None else f"{root}/{new_folder(spark, table).rsplit('/', 1)[1]}"
+    path = new_folder(spark, table, root)
     with_identity(rows).write.parquet(path)
     written = spark.read.schema(schemas.POSITIONS).parquet(path)
     repeated = duplicate_keys(written).count()
     if repeated:
+        files.delete(spark, path)
         raise RefreshRefused(f"{repeated} repeated (icao24, time_position) keys")
     spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM parquet.`{path}`")
     return path
@@ -62,5 +64,15 @@ def refresh_positions(docs: DataFrame, table: str, root: str | None = None, **ke
     return publish_positions(unify_positions(newest, **keyed_options), table, root)
 
 
+def drop_old_versions(spark: SparkSession, table: str, root: str | None = None, keep: int = 3) -> list[str]:
+    """Delete all but the newest versions; keep more than one for readers that are still running."""
+    folder = root or shared_dir(spark)
+    versions = [path for _, path in files.matching(spark, f"{folder}/{check_table(table)}-*")]
+    old = versions[: -max(keep, 1)]
+    for path in old:
+        files.delete(spark, path)
+    return old
+
+
 def read_positions(spark: SparkSession, table: str = K.POSITION_TABLES[0]) -> DataFrame:
     return spark.table(check_table(table))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from skyframe import constants as K
 from skyframe import schemas
 from skyframe.functions.columns import instant
+from skyframe.sources import files
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -94,7 +95,7 @@ def land_snapshots(
     docs = prepare(raw, source, run_id, transform)
     if key:
         docs = docs.dropDuplicates(list(key))
-        if _has_data(spark, f"{path}/source={source}"):
+        if files.exists(spark, f"{path}/source={source}"):
             stored = spark.read.parquet(path).where(F.col("source") == source).select(*key)
             docs = docs.join(stored, list(key), "left_anti")
     if rebalance:
@@ -130,18 +131,10 @@ def drop_expired(
     """
     now = now or datetime.now(timezone.utc)
     keep_from = (now - timedelta(hours=hours)).date().isoformat()
-    jvm = spark._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/source=*/fetched_date=*")
-    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
     dropped = []
-    for status in files.globStatus(pattern) or []:
-        day = status.getPath().getName().split("=", 1)[1]
-        if day < keep_from and not day.startswith("__"):
-            files.delete(status.getPath(), True)
-            dropped.append(status.getPath().toString())
+    for _, folder in files.matching(spark, f"{path}/source=*/fetched_date=*"):
+        day = folder.rsplit("=", 1)[1]
+        if day[0].isdigit() and day < keep_from:
+            files.delete(spark, folder)
+            dropped.append(folder)
     return sorted(dropped)
-
-
-def _has_data(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

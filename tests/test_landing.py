@@ -149,6 +149,16 @@ def test_refresh_refuses_repeated_keys_but_not_null_ones(spark):
     assert len(set(ids)) == 2
 
 
+def test_old_versions_are_dropped(spark):
+    path, root = new_folder(spark, "t"), new_folder(spark, "versions")
+    land(spark, path, K.POSITIONAL_SOURCE, (states(VECTOR), T1))
+    docs = snapshots.read_snapshots(spark, path)
+    made = [positions.refresh_positions(docs, "q_map1", root) for _ in range(3)]
+    dropped = positions.drop_old_versions(spark, "q_map1", root, keep=2)
+    assert [d.rsplit("/", 1)[1] for d in dropped] == [made[0].rsplit("/", 1)[1]]
+    assert table_rows(spark, "q_map1") == ["p1"]
+
+
 def test_an_empty_list_empties_the_table(spark):
     path = new_folder(spark, "t")
     land(spark, path, K.POSITIONAL_SOURCE, (states(), T1))
