@@ -319,15 +319,20 @@ SCALED = [*K.NUMERIC_FEATURES, "IsWeekend"]
 
 
 def linear_preprocessing(fold_key: Sequence[str] = ()) -> list:
-    """One-hot, cross-fitted target means and scaled numbers for the linear model."""
+    """One-hot, cross-fitted target means and scaled numbers for the linear model.
+
+    The target means come last: their look-ups are then not repeated while the other
+    stages are fitted. Without a key, a row's folds follow from its features and target.
+    """
     onehot = [f"{c}_onehot" for c in K.LOW_CARD_FEATURES]
     means = [f"{c}_mean" for c in K.HIGH_CARD_FEATURES]
     scaled = [f"{c}_scaled" for c in SCALED]
+    folds = list(fold_key) or [*K.FEATURE_COLUMNS, K.TARGET]
     return [
-        TargetMeanEncoder(inputCols=K.HIGH_CARD_FEATURES, outputCols=means, foldKey=list(fold_key)),
         FeatureEngineer(),
         *one_hot_stages(),
         PopulationScaler(inputCols=SCALED, outputCols=scaled),
+        TargetMeanEncoder(inputCols=K.HIGH_CARD_FEATURES, outputCols=means, foldKey=folds),
         VectorAssembler(inputCols=[*onehot, *means, *scaled], outputCol="features"),
     ]
 

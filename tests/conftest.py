@@ -13,7 +13,7 @@ def spark():
     session = build_session(
         "tests",
         "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.sql.warehouse.dir": "/tmp/skyframe-warehouse"},
+        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false", "spark.sql.warehouse.dir": "/tmp/skyframe-warehouse"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

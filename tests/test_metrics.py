@@ -13,7 +13,7 @@ from skyframe.functions.ordering import running_totals, value_cells
 from skyframe.operators import metrics, profile
 
 finite = st.floats(allow_nan=False, allow_infinity=False)
-few = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+few = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 @few
