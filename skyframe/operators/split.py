@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from skyframe import constants as K
 
 DIGITS = 3
+ROUNDS = 3
 MAX_STRATA = 100
-SMALL_BUCKET = 50_000
+SMALL_BUCKET = 5_000
+HEAD = 32
 
 
 def content_md5(columns: Sequence[str], seed: int, key: Sequence[str] = ()) -> Column:
@@ -67,59 +69,70 @@ class _Search:
         self.prefix, self.before, self.rows = "", 0, 0
         self.key, self.take, self.copies = None, None, None
 
+    def mine(self) -> Column:
+        return F.col("_stratum").eqNullSafe(F.lit(self.stratum))
+
     def matches(self) -> Column:
-        return F.col("_stratum").eqNullSafe(F.lit(self.stratum)) & F.col("_key").startswith(self.prefix)
+        return self.mine() & F.col("_head").startswith(self.prefix)
+
+    def covers(self, whole: Column) -> Column:
+        """Rows up to and with the cut. The whole key is computed only where heads are equal."""
+        head = self.key[:HEAD]
+        return self.mine() & ((F.col("_head") < head) | ((F.col("_head") == head) & (whole <= self.key)))
+
+    def is_at(self, whole: Column) -> Column:
+        return self.mine() & (F.col("_head") == self.key[:HEAD]) & (whole == self.key)
 
-    def narrow(self, counts: dict) -> None:
-        """Step into the counted prefix that holds the target; finished when it is a single key."""
+    def narrow(self, counts: dict, finish: bool = False) -> None:
+        """Step into the counted prefix that holds the target; a whole key finishes the search."""
         seen = self.before
         for prefix in sorted(p for s, p in counts if s == self.stratum and p.startswith(self.prefix)):
-            n, low, high = counts[self.stratum, prefix]
+            n = counts[self.stratum, prefix]
             if seen + n >= self.target:
                 self.prefix, self.before, self.rows = prefix, seen, n
-                if low == high:
-                    self.key, self.take, self.copies = low, self.target - seen, n
+                if finish:
+                    self.key, self.take, self.copies = prefix, self.target - seen, n
                 return
             seen += n
         raise ValueError("fewer rows than asked for")
 
 
-def _count_prefixes(keyed: DataFrame, prefix: Column) -> dict:
-    """{(stratum, prefix): (rows, lowest key, highest key)}; at most 4,096 prefixes per stratum and cut."""
-    most = MAX_STRATA * 16**DIGITS
-    rows = (
-        keyed.groupBy("_stratum", prefix.alias("p"))
-        .agg(F.count("*").alias("n"), F.min("_key").alias("lo"), F.max("_key").alias("hi"))
-        .limit(most + 1)
-        .collect()
-    )
-    if len(rows) > most:
+def _count_prefixes(keyed: DataFrame, prefix: Column, most: int | None = None) -> dict:
+    """{(stratum, prefix): rows}, merged per task before the shuffle."""
+    counts = keyed.groupBy("_stratum", prefix.alias("p")).agg(F.count("*").alias("n"))
+    rows = (counts if most is None else counts.limit(most + 1)).collect()
+    if most is not None and len(rows) > most:
         raise ValueError(f"more than {MAX_STRATA} classes to stratify on")
-    return {(r["_stratum"], r["p"]): (r["n"], r["lo"], r["hi"]) for r in rows if r["p"] is not None}
+    return {(r["_stratum"], r["p"]): r["n"] for r in rows if r["p"] is not None}
 
 
-def _locate(keyed: DataFrame, searches: list[_Search], counts: dict) -> None:
-    """Narrow every search until its key is known."""
+def _locate(keyed: DataFrame, whole: Column, searches: list[_Search], counts: dict) -> None:
+    """Narrow every search until its key is known.
+
+    Buckets shrink by 4,096 a round. Once few rows or few distinct keys can be left, the
+    keys themselves are counted; a third of all rows under one key is then one count.
+    Rows away from every cut have no prefix and merge into one count per task, so a
+    round returns a few thousand counts per cut.
+    """
     for s in searches:
         s.narrow(counts)
-    while todo := [s for s in searches if s.key is None]:
-        # Few rows left are finished by counting their keys; many by three more digits. Rows
-        # away from every cut have no prefix and merge into one count per task, which
-        # spares a filter that would compute the key once per cut.
-        finish = all(s.rows <= SMALL_BUCKET for s in todo)
-        prefix = F.when(F.lit(False), F.col("_key"))
-        for s in todo:
-            longer = F.col("_key") if finish else F.substring("_key", 1, len(s.prefix) + DIGITS)
+    done = False
+    while searches and not done:
+        done = all(s.rows <= SMALL_BUCKET or len(s.prefix) >= ROUNDS * DIGITS for s in searches)
+        prefix = F.when(F.lit(False), F.col("_head"))
+        for s in searches:
+            longer = whole if done else F.substring("_head", 1, len(s.prefix) + DIGITS)
             prefix = prefix.when(s.matches(), longer)
         counts = _count_prefixes(keyed, prefix)
-        for s in todo:
-            s.narrow(counts)
+        for s in searches:
+            s.narrow(counts, done)
 
 
 def _assign(
     df: DataFrame,
     stratum: Column,
-    key: Column,
+    seed: int,
+    key: Sequence[str],
     plan_of: Callable[[dict], dict | None],
     names: Sequence[str],
     column: str,
@@ -129,10 +142,11 @@ def _assign(
     ``plan_of`` turns {stratum: rows} into {stratum: [rows per name]}; the rows are
     known from the first round of counting. Without a plan every row gets the first name.
     """
-    keyed = df.select(stratum.alias("_stratum"), key.alias("_key"))
-    counts = _count_prefixes(keyed, F.substring("_key", 1, DIGITS))
+    whole = row_key(df.columns, seed, key)
+    keyed = df.withColumn("_stratum", stratum).withColumn("_head", content_md5(df.columns, seed, key))
+    counts = _count_prefixes(keyed, F.substring("_head", 1, DIGITS), MAX_STRATA * 16**DIGITS)
     sizes = Counter()
-    for (s, _), (n, _, _) in counts.items():
+    for (s, _), n in counts.items():
         sizes[s] += n
     plan = plan_of(dict(sizes))
     if plan is None:
@@ -142,40 +156,36 @@ def _assign(
         for i, upto in enumerate(itertools.accumulate(parts)):
             if parts[i]:
                 searches[s, i] = _Search(s, upto)
-    _locate(keyed, list(searches.values()), counts)
+    _locate(keyed, whole, list(searches.values()), counts)
 
-    labelled = df.withColumn("_stratum", stratum).withColumn("_key", key)
     label = F.when(F.lit(False), names[-1])
     shared = {}
     for (s, i), cut in searches.items():
-        mine = F.col("_stratum").eqNullSafe(F.lit(s))
-        label = label.when(mine & (F.col("_key") <= cut.key), names[i])
+        label = label.when(cut.covers(whole), names[i])
         if cut.take < cut.copies:
             shared[s, cut.key] = cut
-    labelled = labelled.withColumn(column, label.otherwise(names[-1]))
+    labelled = keyed.withColumn(column, label.otherwise(names[-1]))
     if not shared:
-        return labelled.drop("_stratum", "_key")
+        return labelled.drop("_stratum", "_head")
 
     # Copies of one identical row fall on both sides of a cut. They are told apart by
     # number: the row is repeated over a distributed range and each number gets its label.
     parts = []
-    at_cut = F.lit(False)
     for (s, k), cut in shared.items():
-        here = F.col("_stratum").eqNullSafe(F.lit(s)) & (F.col("_key") == k)
-        at_cut = at_cut | here
         number = F.when(F.lit(False), names[-1])
         for (s2, i), other in searches.items():
             if s2 == s and other.key == k:
                 number = number.when(F.col("_n") < other.take, names[i])
-        one = df.withColumn("_stratum", stratum).withColumn("_key", key).where(here).limit(1)
+        one = keyed.where(cut.is_at(whole)).limit(1)
         copies = (
             df.sparkSession.range(cut.copies)
             .withColumnRenamed("id", "_n")
-            .withColumn("_key", F.lit(k))
+            .withColumn("_head", F.lit(k[:HEAD]))
             .withColumn(column, number.otherwise(names[-1]))
         )
         # A single row by construction.
-        parts.append(copies.join(F.broadcast(one), "_key").select(*df.columns, column))
+        parts.append(copies.join(F.broadcast(one), "_head").select(*df.columns, column))
+    at_cut = reduce(lambda a, b: a | b, [cut.is_at(whole) for cut in shared.values()])
     rest = labelled.where(~at_cut).select(*df.columns, column)
     return reduce(DataFrame.unionByName, parts, rest)
 
@@ -198,28 +208,28 @@ def stratified_split(
         return {c: [counts[c] - rest[c], rest[c] - train[c]] for c in counts}
 
     names = ("test", "val", "train")
-    return _assign(df, F.col(target), row_key(df.columns, seed, key), plan, names, "split")
+    return _assign(df, F.col(target), seed, key, plan, names, "split")
 
 
-def _chosen(df: DataFrame, stratum: Column, key: Column, size: int) -> DataFrame:
+def _chosen(df: DataFrame, stratum: Column, seed: int, key: Sequence[str], size: int) -> DataFrame:
     def plan(counts: dict) -> dict | None:
         if sum(counts.values()) <= size:
             return None
         return {c: [k] for c, k in largest_remainder(counts, size).items()}
 
-    return _assign(df, stratum, key, plan, ("in", "out"), "_part").where("_part = 'in'").drop("_part")
+    return _assign(df, stratum, seed, key, plan, ("in", "out"), "_part").where("_part = 'in'").drop("_part")
 
 
 def stratified_sample(
     df: DataFrame, size: int = K.SEARCH_SAMPLE, target: str = K.TARGET, seed: int = K.SEED, key: Sequence[str] = ()
 ) -> DataFrame:
     """Exactly ``size`` rows with class shares kept; a smaller frame is returned whole."""
-    return _chosen(df, F.col(target), row_key(df.columns, seed, key), size)
+    return _chosen(df, F.col(target), seed, key, size)
 
 
 def sample_n(df: DataFrame, n: int, seed: int = K.SEED, key: Sequence[str] = ()) -> DataFrame:
     """Exactly ``n`` rows without replacement, the same ones on every run."""
-    return _chosen(df, F.lit("all"), row_key(df.columns, seed, key), n)
+    return _chosen(df, F.lit("all"), seed, key, n)
 
 
 def stratified_folds(
@@ -231,7 +241,7 @@ def stratified_folds(
         return {c: [n // folds + (i < n % folds) for i in range(folds - 1)] for c, n in counts.items()}
 
     names = [str(i) for i in range(folds)]
-    labelled = _assign(df, F.col(target), row_key(df.columns, seed, key), plan, names, "fold")
+    labelled = _assign(df, F.col(target), seed, key, plan, names, "fold")
     return labelled.withColumn("fold", F.col("fold").cast("int"))
 
 

@@ -32,7 +32,7 @@ def test_sizes():
     assert split.largest_remainder({0: 5, 1: 3, 2: 2}, 4) == {0: 2, 1: 1, 2: 1}
 
 
-@pytest.mark.parametrize("small", [50_000, 20])
+@pytest.mark.parametrize("small", [5_000, 20])
 def test_split_matches_brute_force(spark, monkeypatch, small):
     monkeypatch.setattr(split, "SMALL_BUCKET", small)
     df = unique(spark, 5003)
