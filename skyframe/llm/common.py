@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from skyframe import session
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -39,3 +41,18 @@ def batch_of(source: pa.RecordBatch, names: list[str], **more: pa.Array) -> pa.R
     """Columns of ``source`` by name, then new ones."""
     arrays = [source.column(source.schema.get_field_index(n)) for n in names]
     return pa.RecordBatch.from_arrays([*arrays, *more.values()], [*names, *more])
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """``session.materialise``, after which the shuffle files of the write go at once.
+
+    The written table cuts lineage, so nothing needs them any more. If executors are lost while
+    the write runs, its own stages are run again as usual.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        return session.materialise(df, label)
+    finally:
+        conf.set(key, before)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyframe.session import materialise
+from skyframe.llm.common import materialise
 
 SPACE = " \t\n\x0b\x0c\r"
 

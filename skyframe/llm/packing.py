@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyframe.llm.common import schema_of
-from skyframe.session import materialise
+from skyframe.llm.common import materialise, schema_of
 
 def encoder(json_path: str, ranks_path: str, pattern: str):
     """A function from a text to its ids, equal to what the ``tokenizers`` file gives.
