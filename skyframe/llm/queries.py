@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyframe.llm import decontaminate, line_dedup, near_dedup, packing, quality, repeats, token_counts
+from skyframe.llm import decontaminate, line_dedup, near_dedup, packing, quality, repeats, token_counts, warc
 from skyframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,12 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archive_and_read(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query()
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_verdicts(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
