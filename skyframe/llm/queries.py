@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyframe.llm import decontaminate, lattice_lm, line_dedup, near_dedup, packing, quality, repeats, token_counts, warc
+from skyframe.llm import decontaminate, lattice_lm, line_dedup, near_dedup, packing, pii, pii_labelled, quality, repeats, token_counts, warc
 from skyframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,23 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query()
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    field = pii.train_from(pii_labelled.default_labelled(spark))
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"), field)
+
+    def of_kind(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[of_kind(k) for k in pii.KINDS],
+        F.sha2(pii.written_spans(F.col("base")), 256).alias("base_sha256"),
+        pii.written_spans(F.concat("base", "added")).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
+
+
 @query()
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_verdicts(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))

@@ -11,8 +11,8 @@ the names of two halves h apart, the pair that prefix doubling sorts, and rounds
 * 82 bytes, around the anchors that are left: parts shared by no other anchor are done;
 * 100 bytes, the threshold: windows that occurred before are removed.
 
-Equal names are brought together by Spark's aggregations, which merge inside each task first,
-so a passage in thousands of documents is no hot group.
+Spark sorts names and places over all tasks, which may part a large group, so a passage in
+thousands of documents is no hot group.
 """
 
 from __future__ import annotations
@@ -21,11 +21,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyframe.llm.common import as_bytes, materialise, schema_of
+from skyframe.session import discard
 
 LENGTH = 100
 ANCHOR = 24
@@ -148,10 +151,11 @@ class Anchors:
         own = np.repeat(np.arange(len(sizes)), sizes)
         return own, np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + near[own]
 
-    def step_names(self) -> list[list[int]]:
+    def step_names(self) -> pa.ListArray:
         own, step = self.steps()
         names = _mix(self.names.at(self.anchor[own] - STEP * step, SHARED) * np.uint64(5) + step.astype(np.uint64))
-        return [x.tolist() for x in np.split(names.view(np.int64), np.flatnonzero(np.diff(own)) + 1)] if len(own) else []
+        offsets = np.searchsorted(own, np.arange(len(self.anchor) + 1)).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(names.view(np.int64)))
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """The anchor's number and start of every window."""
@@ -203,7 +207,7 @@ def _anchor_rows(rows: DataFrame, repeated) -> DataFrame:
                 row = pa.array(a.text)
                 place = [pa.array((x + a.shift).astype(np.int32)) for x in (a.anchor, a.low, a.high)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(row), batch.column(1).take(row), *place, pa.array(a.key), pa.array(a.contexts()), pa.array(a.step_names(), pa.list_(pa.int64()))],
+                    [batch.column(0).take(row), batch.column(1).take(row), *place, pa.array(a.key), pa.array(a.contexts()), a.step_names()],
                     ["id", "text_hash", "anchor", "low", "high", "key", "context", "steps"],
                 )
 
@@ -247,13 +251,62 @@ def _window_rows(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(find, schema_of(rows.select("id"), *more))
 
 
-def _later(rows: DataFrame, keys: list[str], start: str) -> DataFrame:
-    """Rows with ``first``: whether no row of the same keys starts earlier."""
-    place = F.struct("id", start)
-    lead = rows.groupBy(*keys).agg(F.min(place).alias("_lead"), F.count("*").alias("_n")).where("_n > 1")
-    joined = rows.join(lead.select(*[F.col(k).alias(f"_{k}") for k in keys], "_lead"), [F.col(k) == F.col(f"_{k}") for k in keys], "left")
-    first = F.col("_lead").isNull() | place.eqNullSafe(F.col("_lead"))
-    return joined.withColumn("first", first).drop("_lead", *[f"_{k}" for k in keys])
+def _firsts(rows: DataFrame, keys: list[str], start: str, label: str, only_first: tuple[str, ...] = ()) -> DataFrame:
+    """``rows``, written, with ``first``: whether no row of the same keys starts earlier. The keys are gone.
+
+    Spark sorts rows by keys and place over all tasks. Where a task begins inside a group, as it
+    may inside a large one, its first row is put right by the last keys of the task before.
+    Columns in ``only_first`` are null on other rows.
+    """
+    by = [*keys, "id", start]
+    kept = [c for c in rows.columns if c not in keys]
+    edge = [f"edge_{k}" for k in keys]
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, last, held = TaskContext.get().partitionId(), None, None
+
+        def out(batch: pa.RecordBatch, new: np.ndarray, begins: bool, ends: bool) -> pa.RecordBatch:
+            at_edge = np.zeros(len(new), bool)
+            at_edge[0], at_edge[-1] = begins, ends or (begins and len(new) == 1)
+            first = pa.array(new)
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
+            columns = [pc.if_else(first, x, pa.scalar(None, x.type)) if c in only_first else x for c, x in zip(kept, columns, strict=True)]
+            keyed = [pc.if_else(pa.array(at_edge), batch.column(batch.schema.get_field_index(k)), pa.scalar(None, pa.int64())) for k in keys]
+            place = np.where(at_edge, np.arange(len(new)) + (0 if begins else 1), -1)
+            return pa.RecordBatch.from_arrays(
+                [*columns, first, pa.array(np.full(len(new), task, np.int32)), pa.array(place.astype(np.int32)), *keyed],
+                [*kept, "first", "task", "edge", *edge],
+            )
+
+        begins = True
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values = [batch.column(batch.schema.get_field_index(k)).to_numpy() for k in keys]
+            new = np.ones(batch.num_rows, bool)
+            new[1:] = np.logical_or.reduce([v[1:] != v[:-1] for v in values])
+            if last is not None:
+                new[0] = any(v[0] != x for v, x in zip(values, last, strict=True))
+            last = [v[-1] for v in values]
+            if held is not None:
+                yield out(*held, begins, False)
+                begins = False
+            held = batch, new
+        if held is not None:
+            yield out(*held, begins, True)
+
+    more = [("first", T.BooleanType()), ("task", T.IntegerType()), ("edge", T.IntegerType()), *[(e, T.LongType()) for e in edge]]
+    ordered = rows.repartitionByRange(*by).sortWithinPartitions(*by)
+    marked = materialise(ordered.mapInArrow(mark, schema_of(rows.select(*kept), *more)), label)
+    # Two rows per task at most: where it begins (edge 0) and where it ends.
+    begun, wrong, before = set(), [], None
+    for r in sorted(marked.where("edge >= 0").select("task", "edge", *edge).collect(), key=lambda r: (r["task"], r["edge"])):
+        if r["task"] not in begun and before == tuple(r[e] for e in edge):
+            wrong.append(r["task"])
+        begun.add(r["task"])
+        before = tuple(r[e] for e in edge)
+    inside = F.col("edge").eqNullSafe(0) & F.col("task").isin(wrong)
+    return marked.withColumn("first", F.col("first") & ~inside).select(*kept, "first")
 
 
 def _same_text(keys: DataFrame):
@@ -261,25 +314,30 @@ def _same_text(keys: DataFrame):
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, text_hash, low, end``: bytes to remove, one row per stretch; stretches may overlap."""
+    """``id, text_hash, span``: bytes to remove, as first byte times 2^32 plus the byte after the last; spans may overlap."""
     rows = _keyed(docs, id_col, text_col)
     anchors = materialise(_anchor_rows(rows, _repeated_filter(rows)), "anchors")
-    judged = materialise(_later(anchors, ["key", "context"], "low"), "anchor-contexts")
-    whole = judged.where(~F.col("first")).select("id", "text_hash", "low", (F.col("high") + LENGTH).alias("end"))
-    steps = judged.where("first").select(
-        "id", "text_hash", "anchor", F.posexplode("steps").alias("at", "name"), F.floor((F.col("anchor") - F.col("high")) / STEP).alias("nearest")
-    )
+    judged = _firsts(anchors, ["key", "context"], "low", "anchor-contexts", only_first=("steps",))
+    discard(anchors)
+    whole = judged.where(~F.col("first")).select("id", "text_hash", _span(F.col("low"), F.col("high") + LENGTH))
+    nearest = F.floor((F.col("anchor") - F.col("high")) / STEP).cast("int")
+    steps = judged.where("first").select("id", "text_hash", "anchor", F.posexplode("steps").alias("at", "name"), nearest.alias("nearest"))
     shared = steps.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
     wanted = (
         steps.join(shared, "name")
         .groupBy("id", "text_hash")
-        .agg(F.collect_set((F.col("anchor").cast("long") * 8 + F.col("nearest") + F.col("at")).cast("long")).alias("wanted"))
+        .agg(F.collect_list(F.col("anchor").cast("long") * 8 + F.col("nearest") + F.col("at")).alias("wanted"))
         .select(F.col("id").alias("_id"), F.col("text_hash").alias("_text_hash"), "wanted")
     )
     again = rows.join(wanted, _same_text(wanted)).select("id", "text_hash", "text", "wanted")
     windows = materialise(_window_rows(again), "windows")
-    late = _later(windows, ["key", "name"], "start").where(~F.col("first"))
-    return whole.unionByName(late.select("id", "text_hash", F.col("start").alias("low"), (F.col("start") + LENGTH).alias("end")))
+    late = _firsts(windows, ["key", "name"], "start", "window-names").where(~F.col("first"))
+    discard(windows)
+    return whole.unionByName(late.select("id", "text_hash", _span(F.col("start"), F.col("start") + LENGTH)))
+
+
+def _span(low, end):
+    return (F.shiftleft(low.cast("long"), 32) + end).alias("span")
 
 
 def union_of(spans: np.ndarray) -> np.ndarray:
@@ -305,7 +363,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = (
         repeated_spans(docs, id_col, text_col)
         .groupBy("id", "text_hash")
-        .agg(F.collect_set(F.struct("low", "end")).alias("spans"))
+        .agg(F.collect_list("span").alias("spans"))
         .select(F.col("id").alias("_id"), F.col("text_hash").alias("_text_hash"), "spans")
     )
     spans = materialise(spans, "spans")
@@ -321,8 +379,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     kept.append(text)
                     numbers.append((len(text), 0, 0))
                     continue
-                flat = gone[i].values.flatten()
-                cut = union_of(np.column_stack([x.to_numpy() for x in flat]).astype(np.int64))
+                packed = gone[i].values.to_numpy()
+                cut = union_of(np.column_stack([packed >> 32, packed & 0xFFFFFFFF]))
                 edges = [0, *cut.ravel().tolist(), len(text)]
                 kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
                 numbers.append((len(text), len(text) - len(kept[-1]), len(cut)))
