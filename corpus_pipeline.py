@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyframe.llm import decontaminate, line_dedup, packing, quality
+from skyframe.llm import decontaminate, line_dedup, near_dedup, packing, quality
 from skyframe.llm.common import table
 from skyframe.session import materialise
 
@@ -33,6 +33,11 @@ def line_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return cleaned.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group linked by 0.8 of their five-word shingles: that with the smallest id."""
+    return near_dedup.drop_near_duplicates(docs, shingle=5, share=80)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows of which less than one word in twenty lies in a benchmark passage."""
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -47,6 +52,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", line_removal),
+    ("near_dedup", near_duplicates),
     ("decontamination", decontamination),
     ("packing", pack_sequences),
 ]
