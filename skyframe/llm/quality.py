@@ -17,7 +17,7 @@ SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 
 #: Measures that thresholds are learnt for, and the least distance from the quartiles that counts.
-MARGINS = {"word_length": 1.0, "symbol_share": 0.02, "repeat_line_share": 0.1, "repeat_word_share": 0.1}
+MARGINS = {"word_length": 1.0, "symbol_share": 0.02, "repeat_line_share": 0.4, "repeat_word_share": 0.3}
 #: How many quartile ranges beyond the quartiles a value must lie.
 REACH = 3.0
 #: Groups with fewer documents take the thresholds of all documents.
