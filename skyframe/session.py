@@ -66,3 +66,15 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files that ``df``, as given by ``materialise``, was written to.
+
+    For tables that nothing reads any more. Needs a classic session (it goes through Hadoop's
+    file system in the JVM, which reaches every shared folder Spark does).
+    """
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
