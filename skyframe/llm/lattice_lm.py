@@ -168,7 +168,7 @@ class Lattice:
 
 def start_lattice(scores: list[tuple[bytes, float]], words_per_end: float) -> Lattice:
     weights = np.array([w for _, w in scores])
-    end = -math.log1p(3.0 * words_per_end)
+    end = -math.log1p(3.0 * max(words_per_end, 0.01))
     weights = weights - np.logaddexp.reduce(weights) + math.log1p(-math.exp(end))
     return Lattice([p for p, _ in scores], weights, end)
 

@@ -80,7 +80,7 @@ def remove_spread_lines(
     are told apart by their text; a null id comes after all others. Columns named ``n_lines`` or
     ``n_removed`` are replaced.
     """
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    carried = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     places = materialise(line_places(docs, id_col, text_col, site_col), "line-places")
     spread = spread_lines(places, min_sites)
     gone = F.col("spread") & ~F.col("id").eqNullSafe(F.col("first_id"))
@@ -91,15 +91,22 @@ def remove_spread_lines(
         flagged.groupBy("id", "text_hash")
         .agg(F.max("gone").alias("any"), F.sort_array(F.collect_set(F.struct("place", "gone"))).alias("marks"))
         .where("any")
-        .select(F.col("id").alias("_id"), F.col("text_hash").alias("_text_hash"), "marks")
+        .select(F.col("id").alias("of_id"), F.col("text_hash").alias("of_text_hash"), "marks")
     )
-    hashed = docs.select(*kept, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_hash"))
-    joined = hashed.join(marks, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text_hash")), "left")
+    # Carried columns travel in one struct, so that no name of theirs can clash.
+    rows = docs.select(
+        F.struct(*[c for c in carried if c != text_col]).alias("row"),
+        F.col(id_col).alias("id"),
+        F.col(text_col).alias("text"),
+        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"),
+    )
+    joined = rows.join(marks, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_text_hash")), "left")
     left = F.filter(
-        F.zip_with(_lines(text_col), F.col("marks"), lambda line, m: F.when(~m["gone"], line)), lambda x: x.isNotNull()
+        F.zip_with(_lines("text"), F.col("marks"), lambda line, m: F.when(~m["gone"], line)), lambda x: x.isNotNull()
     )
+    text = F.when(F.col("marks").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     return joined.select(
-        *[c if c != text_col else F.when(F.col("marks").isNull(), F.col(c)).otherwise(F.array_join(left, "\n")).alias(c) for c in kept],
-        F.size(_lines(text_col)).cast("long").alias("n_lines"),
+        *[text.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in carried],
+        F.size(_lines("text")).cast("long").alias("n_lines"),
         F.coalesce(F.size(F.filter("marks", lambda m: m["gone"])), F.lit(0)).cast("long").alias("n_removed"),
     )

@@ -106,34 +106,42 @@ TRIGGERS = frozenset(
 
 
 @lru_cache(maxsize=1 << 16)
-def shape(token: str) -> str:
+def shape(token: str) -> tuple[str, str]:
+    """The shape of a token, and a coarser one."""
     if token.isdecimal():
-        return f"d{min(len(token), 17)}"
+        return f"d{min(len(token), 17)}", "d"
     if token.isalpha():
         low = token.lower()
         if low in TRIGGERS:
-            return low
-        return ("X" if token.isupper() else "Xx" if token[0].isupper() else "x") + ("s" if len(token) < 4 else "")
-    return token
+            return low, low if low in ("at", "dot") else "x"
+        return "X" if token.isupper() else "Xx" if token[0].isupper() else "x", "x"
+    return token, token
+
+
+#: Features of each token.
+WIDTH = 10
 
 
 def features(text: str, tokens: list[tuple[int, int]]) -> list[list[str]]:
     shapes = [shape(text[a:b]) for a, b in tokens]
-    joined = [i > 0 and tokens[i - 1][1] == tokens[i][0] for i in range(len(tokens))] + [False]
-    near = ["<", "<", *shapes, ">", ">"]
+    gaps = ["" if i and tokens[i - 1][1] == tokens[i][0] else "_" for i in range(len(tokens))] + ["_"]
+    # Each neighbour is written with the gap between it and the token before.
+    fine = ["<", "<", *[g + s for g, (s, _) in zip(gaps, shapes, strict=False)], ">", ">", ">"]
+    coarse = ["<", "<", *[g + s for g, (_, s) in zip(gaps, shapes, strict=False)], ">", ">", ">"]
     out = []
-    for i, own in enumerate(shapes):
-        j = i + 2
+    for j in range(2, len(tokens) + 2):
         out.append(
             [
-                f"0:{own}",
-                f"-:{near[j - 1]}{'' if joined[i] else '_'}",
-                f"+:{near[j + 1]}{'' if joined[i + 1] else '_'}",
-                f"-0:{near[j - 1]}{'' if joined[i] else '_'}{own}",
-                f"0+:{own}{'' if joined[i + 1] else '_'}{near[j + 1]}",
-                f"--:{near[j - 2]} {near[j - 1]}",
-                f"++:{near[j + 1]} {near[j + 2]}",
-                f"j:{joined[i]}{joined[i + 1]}",
+                f"0:{fine[j]}",
+                f"-:{fine[j - 1]}",
+                f"+:{fine[j + 1]}",
+                f"-0:{fine[j - 1]} {fine[j]}",
+                f"0+:{fine[j]} {fine[j + 1]}",
+                f"--:{fine[j - 2]} {fine[j - 1]}",
+                f"++:{fine[j + 1]} {fine[j + 2]}",
+                f"c3:{coarse[j - 1]} {coarse[j]} {coarse[j + 1]}",
+                f"c+:{coarse[j]} {coarse[j + 1]} {coarse[j + 2]} {coarse[j + 3]}",
+                f"c-:{coarse[j - 2]} {coarse[j - 1]} {coarse[j]}",
             ]
         )
     return out
@@ -212,7 +220,7 @@ def train(labelled: list[tuple[str, list[Span]]], rounds: int = 300, decay: floa
     lengths = np.array([len(g) for _, g in texts])
     longest = int(lengths.max(initial=1))
     # Padding tokens use a feature of their own, which stays at zero.
-    table = np.full((len(texts), longest, 8), len(index))
+    table = np.full((len(texts), longest, WIDTH), len(index))
     gold = np.zeros((len(texts), longest), int)
     for i, (names, g) in enumerate(texts):
         table[i, : len(g)], gold[i, : len(g)] = names, g

@@ -17,7 +17,20 @@ My email is [[email|peter at mail dot example dot com]], write any time.
 Use [[email|jane (at) example (dot) org]] for questions.
 Write [[email|tom [at] example [dot] net]] please.
 Her mail was [[email|lee.w @ example.com]] in those days.
+Ask [[email|frank at corp dot example dot com]], he knows.
+It goes to [[email|nina dot berg at mail dot example dot net]] and no one else.
+Questions? [[email|help at example dot org]]
+Then [[email|omar at uni dot example dot edu]] wrote back.
+Or mail [[email|li at example dot com]] for a copy.
+She uses [[email|r dot ortiz at example dot com]] since May.
+Drop a line to [[email|desk at news dot example dot com]] please.
+The list is run by [[email|admin (at) lists (dot) example (dot) org]].
+Write to [[email|editor [at] example [dot] com]] about it.
+Old address: [[email|hans @ example.de]].
+Both [[email|first.last@example.com]] and [[email|other_one@mail7.example.com]] bounced.
 We met at the dot on the map at noon.
+He looked at the dot and at the line.
+Stay at home and look at the sky.
 Look at the red dot in the middle.
 The dot product of two vectors is a number.
 She arrived at 10 and left at 12.
@@ -33,6 +46,14 @@ Telephone [[phone|030 5550 12345]] from nine to five.
 Phone: [[phone|555.867.5309]] in the morning.
 You reach us by phone [[phone|1-800-555-0100]] free of charge.
 Please call [[phone|(415) 555 0162]] and ask.
+Ring [[phone|(617) 555-0134]] or write.
+Call [[phone|(312) 555-0177]] or [[phone|312 555 0188]] soon.
+Her phone is [[phone|0301 5557 0182]], his is not known.
+Number: [[phone|040 5551 2345]].
+Dial [[phone|415-555-0111]] and wait.
+Reception: [[phone|+33 1 55 50 12 34]].
+Reached at [[phone|+1 (974) 555-3436]] that day.
+Text [[phone|917.555.0121]] for a table.
 The server at [[ip|192.168.10.24]] does not answer.
 Ping [[ip|10.0.0.1]] from the host.
 Requests came from [[ip|203.0.113.77]], then stopped.
@@ -44,11 +65,17 @@ Section 3.2.1 and section 4.1 are new.
 See section 12.4.3.2.1 of the manual.
 Licensed under CC BY-NC 4.0.
 Under the Apache License, Version 2.0.
+From [[ip|97.51.17.173]] came the same words.
+Both [[ip|129.38.82.176]] and [[ip|170.106.47.218]] are in use.
+Gateway [[ip|10 . 20 . 30 . 1]] and nothing more.
 Card number [[card|4111 1111 1111 1111]] expires soon.
 Paid by visa [[card|4012888888881881]] on Monday.
 Credit card: [[card|5555-5555-5555-4444]].
 The card [[card|378282246310005]] was declined.
 My card no [[card|6011 0009 9013 9424]], thanks.
+Charged to [[card|4222 2222 2222 2]] last week.
+Use card [[card|3714-496353-98431]] this time.
+It was [[card|6011111111111117]] on the form.
 Order 9807915762804490 was sent.
 The total of 2849012375538201 rows was counted.
 In 1998 and 2004 the price was 250.

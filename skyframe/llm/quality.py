@@ -120,21 +120,28 @@ def fences(measured: DataFrame, by: Sequence[str]) -> tuple[DataFrame, DataFrame
     return groups, whole.where(F.col("_n") > 0).select(*ends(whole, "all"))
 
 
-def quality_verdicts(docs: DataFrame, text_col: str = "text", by: Sequence[str] = ("lang", "source")) -> DataFrame:
-    """``docs`` with its measures, ``base_failed`` and ``kept``.
+ADDED = ["n_words", "word_chars", "n_lines", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+
+
+def quality_verdicts(
+    docs: DataFrame, text_col: str = "text", by: Sequence[str] = ("lang", "source"), carry: Sequence[str] | None = None
+) -> DataFrame:
+    """The ``carry`` columns of ``docs`` (all by default) with measures, ``base_failed`` and ``kept``.
 
     A row is kept if it passes the base rules and none of its shares lies far outside the
     quartiles of its group, or of all rows where the group is small. Null group values form a
     group of their own. A null or empty text fails the base rules, and so do all rows of a table
-    with nothing but such texts. Repeated rows are judged alike. Columns of ``docs`` whose names
-    clash with the added ones are replaced.
+    with nothing but such texts. Repeated rows are judged alike. Columns of ``docs`` with the
+    names of added ones are replaced; other names do not matter.
     """
-    added = ["n_words", "word_chars", "n_lines", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    clean = docs.select(*[c for c in docs.columns if c not in added])
-    measured = materialise(with_measures(clean, text_col), "measures")
-    groups, whole = fences(measured, by)
-    limits = groups.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)], *groups.columns[len(by) :])
-    same = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(by)]
+    carried = [c for c in carry or docs.columns if c not in ADDED]
+    keys = [f"by_{i}" for i in range(len(by))]
+    # Carried columns travel in one struct, so that no name of theirs can clash.
+    rows = docs.select(F.struct(*carried).alias("row"), F.col(text_col).alias("text"), *[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)])
+    measured = materialise(with_measures(rows).drop("text"), "measures")
+    groups, whole = fences(measured, keys)
+    limits = groups.select(*[F.col(k).alias(f"of_{k}") for k in keys], *groups.columns[len(by) :])
+    same = [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys]
     # One row of thresholds holds for all: a broadcast of a single row.
     judged = measured.join(limits, same, "left").join(F.broadcast(whole), F.lit(True), "left")
     passes = F.lit(True)
@@ -144,4 +151,4 @@ def quality_verdicts(docs: DataFrame, text_col: str = "text", by: Sequence[str]
     failed = base_failed()
     return judged.withColumns(
         {"base_failed": failed, "kept": F.when(failed, F.lit(False)).otherwise(F.coalesce(passes, F.lit(True)))}
-    ).select(*clean.columns, *added)
+    ).select(*[F.col(f"row.`{c}`").alias(c) for c in carried], *ADDED)

@@ -53,7 +53,22 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+#: SHA-1 in base 32: each five hex digits are four letters.
+PAGE_SQL = """
+WITH payloads AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+),
+responses AS (SELECT hex, min(page_id) AS first_id FROM payloads GROUP BY hex)
+SELECT page_id, payload_bytes,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))::BIGINT) & 31)::BIGINT, 1)), '') AS payload_digest,
+    CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM payloads JOIN responses USING (hex)
+"""
+
+
+@query(PAGE_SQL)
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.archive_and_read(table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -78,7 +93,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.quality_verdicts(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
+    judged = quality.quality_verdicts(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
@@ -90,7 +105,44 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query()
+def _words_sql(name: str, key: str, source: str) -> str:
+    upper = "".join(map(chr, range(65, 91)))
+    return f"""{name} AS (
+    SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+    FROM {source}
+)"""
+
+
+WINDOW_SQL = f"""
+WITH {_words_sql("items", "item_id", "benchmark")},
+{_words_sql("docs", "doc_id", "documents")},
+cut AS (SELECT item_id, words, least(len(words), {decontaminate.WINDOW}) AS n FROM items WHERE len(words) > 0),
+windows AS (
+    SELECT DISTINCT item_id, n, array_to_string(words[i : i + n - 1], ' ') AS part
+    FROM cut, unnest(range(1, len(words) - n + 2)) AS u(i)
+),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+    SELECT doc_id, n, i, array_to_string(words[i : i + n - 1], ' ') AS part
+    FROM docs, sizes, unnest(range(1, len(words) - n + 2)) AS u(i)
+),
+found AS (SELECT p.doc_id, p.n, p.i, w.item_id FROM places p JOIN windows w ON p.n = w.n AND p.part = w.part),
+hits AS (
+    SELECT doc_id, count(DISTINCT j) AS n_hit FROM found, unnest(range(i, i + n)) AS u(j) GROUP BY doc_id
+),
+named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM docs d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@query(WINDOW_SQL)
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(
         table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
