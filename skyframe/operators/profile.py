@@ -172,7 +172,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 
 
 def histogram_by_class(df: DataFrame, column: str, bins: int, target: str = K.TARGET) -> DataFrame:
-    """Counts per class in equal-width bins over the column's whole range; the last bin is closed.
+    """Counts per class in equal-width bins over the column's whole range, empty bins too; the last bin is closed.
 
     The range comes from scalar subqueries, so the counting pass needs no join.
     """
@@ -184,10 +184,19 @@ def histogram_by_class(df: DataFrame, column: str, bins: int, target: str = K.TA
     slot = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(bins - 1))
     )
+    counted = (
+        bounded.groupBy("class", slot.cast("int").alias("bin"), "lo", width.alias("width"))
+        .agg(F.count("x").alias("flights"))
+    )
+    # A zero for every bin of every class; as many rows as the result has.
+    frame = counted.select("class", "lo", "width").distinct().select(
+        "class", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "lo", "width", F.lit(0).cast("long").alias("flights")
+    )
     return (
-        bounded.where(F.col("x").isNotNull())
-        .groupBy("class", slot.cast("int").alias("bin"), "lo", width.alias("width"))
-        .agg(F.count("*").alias("flights"))
+        counted.where(F.col("bin").isNotNull())
+        .unionByName(frame)
+        .groupBy("class", "bin", "lo", "width")
+        .agg(F.sum("flights").alias("flights"))
         .select(
             "class",
             "bin",

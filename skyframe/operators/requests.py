@@ -23,8 +23,10 @@ def check_requests(records: DataFrame) -> DataFrame:
 
     Lengths are those of the text as sent; codes are trimmed and upper-cased afterwards.
     """
-    rules = {c: F.col(c).between(lo, hi) for c, (lo, hi) in RANGES.items()}
-    rules["Length"] = F.col("Length") > 0
+    # NaN would count as larger than every number.
+    rules = {c: F.col(c).between(lo, hi) & ~F.isnan(F.col(c).cast("double")) for c, (lo, hi) in RANGES.items()}
+    rules["DayOfWeek"] &= F.col("DayOfWeek").cast("double") == F.floor(F.col("DayOfWeek").cast("double"))
+    rules["Length"] = (F.col("Length") > 0) & ~F.isnan(F.col("Length").cast("double"))
     rules |= {c: F.length(c).between(lo, hi) for c, (lo, hi) in LENGTHS.items()}
     broken = F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(c)) for c, ok in sorted(rules.items())])
     return records.withColumn("reasons", F.array_compact(broken)).withColumns(

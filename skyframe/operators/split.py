@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections import Counter
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -22,9 +21,6 @@ from pyspark.sql import functions as F
 from skyframe import constants as K
 
 DIGITS = 3
-ROUNDS = 3
-MAX_STRATA = 100
-SMALL_BUCKET = 5_000
 HEAD = 32
 
 
@@ -64,16 +60,27 @@ def split_sizes(n: int, val: float = K.VAL_SHARE, test: float = K.TEST_SHARE) ->
 class _Search:
     """One cut being located: the ``target``-th smallest key of a stratum."""
 
-    def __init__(self, stratum, target: int):
-        self.stratum, self.target = stratum, target
-        self.prefix, self.before, self.rows = "", 0, 0
-        self.key, self.take, self.copies = None, None, None
+    def __init__(self, stratum, target: int, head_only: bool):
+        self.stratum, self.target, self.head_only = stratum, target, head_only
+        self.prefix, self.before = "", 0
+        self.alike, self.key, self.take, self.copies = False, None, None, None
 
     def mine(self) -> Column:
         return F.col("_stratum").eqNullSafe(F.lit(self.stratum))
 
-    def matches(self) -> Column:
-        return self.mine() & F.col("_head").startswith(self.prefix)
+    def matches(self, whole: Column) -> Column:
+        """Rows under the prefix. The whole key is computed only where heads are equal."""
+        head = self.mine() & F.col("_head").startswith(self.prefix[:HEAD])
+        return head & whole.startswith(self.prefix) if len(self.prefix) > HEAD else head
+
+    def looks_at(self, whole: Column) -> Column:
+        """What the next digits are taken from: the head or, once it is known, the whole key."""
+        return F.col("_head") if self.head_only or len(self.prefix) < HEAD else whole
+
+    def longer(self, whole: Column) -> Column:
+        """The next three digits, or all of them if all rows under the prefix agree."""
+        key = self.looks_at(whole)
+        return key if self.alike else F.substring(key, 1, len(self.prefix) + DIGITS)
 
     def covers(self, whole: Column) -> Column:
         """Rows up to and with the cut. The whole key is computed only where heads are equal."""
@@ -83,49 +90,44 @@ class _Search:
     def is_at(self, whole: Column) -> Column:
         return self.mine() & (F.col("_head") == self.key[:HEAD]) & (whole == self.key)
 
-    def narrow(self, counts: dict, finish: bool = False) -> None:
-        """Step into the counted prefix that holds the target; a whole key finishes the search."""
+    def narrow(self, counts: dict) -> None:
+        """Step into the counted prefix that holds the target."""
         seen = self.before
         for prefix in sorted(p for s, p in counts if s == self.stratum and p.startswith(self.prefix)):
-            n = counts[self.stratum, prefix]
+            n, alike = counts[self.stratum, prefix]
             if seen + n >= self.target:
-                self.prefix, self.before, self.rows = prefix, seen, n
-                if finish:
+                if self.alike and (self.head_only or len(self.prefix) >= HEAD):
                     self.key, self.take, self.copies = prefix, self.target - seen, n
+                # With the whole head known, the digits behind it have not been compared yet.
+                self.alike = alike and (self.head_only or not len(self.prefix) < HEAD <= len(prefix))
+                self.prefix, self.before = prefix, seen
                 return
             seen += n
         raise ValueError("fewer rows than asked for")
 
 
-def _count_prefixes(keyed: DataFrame, prefix: Column, most: int | None = None) -> dict:
-    """{(stratum, prefix): rows}, merged per task before the shuffle."""
-    counts = keyed.groupBy("_stratum", prefix.alias("p")).agg(F.count("*").alias("n"))
-    rows = (counts if most is None else counts.limit(most + 1)).collect()
-    if most is not None and len(rows) > most:
-        raise ValueError(f"more than {MAX_STRATA} classes to stratify on")
-    return {(r["_stratum"], r["p"]): r["n"] for r in rows if r["p"] is not None}
-
-
-def _locate(keyed: DataFrame, whole: Column, searches: list[_Search], counts: dict) -> None:
+def _locate(keyed: DataFrame, whole: Column, searches: list[_Search]) -> None:
     """Narrow every search until its key is known.
 
-    Buckets shrink by 4,096 a round. Once few rows or few distinct keys can be left, the
-    keys themselves are counted; a third of all rows under one key is then one count.
-    Rows away from every cut have no prefix and merge into one count per task, so a
-    round returns a few thousand counts per cut.
+    Each round looks at three more digits, so it returns at most 4,096 counts per cut. With a
+    count comes whether all its rows have the same key; only then is the key itself asked for,
+    which is one more count, however many rows share it. Rows away from every cut have no prefix
+    and merge into one count per task.
     """
-    for s in searches:
-        s.narrow(counts)
-    done = False
-    while searches and not done:
-        done = all(s.rows <= SMALL_BUCKET or len(s.prefix) >= ROUNDS * DIGITS for s in searches)
-        prefix = F.when(F.lit(False), F.col("_head"))
-        for s in searches:
-            longer = whole if done else F.substring("_head", 1, len(s.prefix) + DIGITS)
-            prefix = prefix.when(s.matches(), longer)
-        counts = _count_prefixes(keyed, prefix)
-        for s in searches:
-            s.narrow(counts, done)
+    while open_searches := [s for s in searches if s.key is None]:
+        prefix, name = F.when(F.lit(False), F.col("_head")), F.when(F.lit(False), F.lit(0).cast("long"))
+        for s in open_searches:
+            prefix = prefix.when(s.matches(whole), s.longer(whole))
+            name = name.when(s.matches(whole), F.xxhash64(s.looks_at(whole)))
+        counted = (
+            keyed.select("_stratum", prefix.alias("p"), name.alias("k"))
+            .where("p IS NOT NULL")
+            .groupBy("_stratum", "p")
+            .agg(F.count("*").alias("n"), F.min("k").alias("least"), F.max("k").alias("most"))
+        )
+        counts = {(r["_stratum"], r["p"]): (r["n"], r["least"] == r["most"]) for r in counted.collect()}
+        for s in open_searches:
+            s.narrow(counts)
 
 
 def _assign(
@@ -139,24 +141,21 @@ def _assign(
 ) -> DataFrame:
     """Label rows with ``names`` in key order, leftovers with the last one.
 
-    ``plan_of`` turns {stratum: rows} into {stratum: [rows per name]}; the rows are
-    known from the first round of counting. Without a plan every row gets the first name.
+    ``plan_of`` turns {stratum: rows} into {stratum: [rows per name]}. Without a plan every row
+    gets the first name. The driver holds one count per stratum and a key per cut.
     """
     whole = row_key(df.columns, seed, key)
     keyed = df.withColumn("_stratum", stratum).withColumn("_head", content_md5(df.columns, seed, key))
-    counts = _count_prefixes(keyed, F.substring("_head", 1, DIGITS), MAX_STRATA * 16**DIGITS)
-    sizes = Counter()
-    for (s, _), n in counts.items():
-        sizes[s] += n
-    plan = plan_of(dict(sizes))
+    sizes = keyed.groupBy("_stratum").agg(F.count("*").alias("n")).collect()
+    plan = plan_of({r["_stratum"]: r["n"] for r in sizes})
     if plan is None:
         return df.withColumn(column, F.lit(names[0]))
     searches = {}
     for s, parts in plan.items():
         for i, upto in enumerate(itertools.accumulate(parts)):
             if parts[i]:
-                searches[s, i] = _Search(s, upto)
-    _locate(keyed, whole, list(searches.values()), counts)
+                searches[s, i] = _Search(s, upto, not key)
+    _locate(keyed, whole, list(searches.values()))
 
     label = F.when(F.lit(False), names[-1])
     shared = {}

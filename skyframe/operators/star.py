@@ -8,6 +8,8 @@ joined, so a busy aircraft or airline travels as one row per task.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ NM_PER_DEGREE = 60.0
 def resolve_airline(facts: DataFrame, dim_aircraft: DataFrame, dim_airlines: DataFrame) -> DataFrame:
     """Add ``airline_icao``: the registered operator, else the callsign's prefix.
 
+    Addresses match in any case (the register has them in lower case), prefixes likewise.
     Each candidate must be a known airline, so an unknown operator falls through to
     the prefix. Every fact row survives. The operator is checked against the airlines
     inside the dimensions, which leaves two lookups per fact row.
@@ -28,11 +31,12 @@ def resolve_airline(facts: DataFrame, dim_aircraft: DataFrame, dim_airlines: Dat
     known = dim_airlines.select(F.col("icao_code").alias("airline_icao"))
     operators = dim_aircraft.join(
         known, dim_aircraft["operator_icao"] == known["airline_icao"], "left_semi"
-    ).select("icao24", F.col("operator_icao").alias("_operator"))
+    ).select(F.col("icao24").alias("_address"), F.col("operator_icao").alias("_operator"))
     prefixes = dim_airlines.select(F.col("icao_code").alias("_prefix"))
     return (
-        facts.withColumn("_prefix_candidate", callsign_prefix("callsign"))
-        .join(operators, "icao24", "left")
+        facts.withColumn("_prefix_candidate", F.upper(callsign_prefix("callsign")))
+        .join(operators, F.lower(facts["icao24"]) == F.col("_address"), "left")
+        .drop("_address")
         .join(prefixes, F.col("_prefix_candidate") == F.col("_prefix"), "left")
         .withColumn("airline_icao", F.coalesce("_operator", "_prefix"))
         .drop("_operator", "_prefix", "_prefix_candidate")
@@ -143,9 +147,9 @@ def build_fact_states(docs: DataFrame, dim_aircraft: DataFrame, dim_airlines: Da
 
 
 def stub_aircraft(facts: DataFrame, dim_aircraft: DataFrame) -> DataFrame:
-    """The aircraft dimension plus an attribute-less row for each unseen address."""
+    """The aircraft dimension plus an attribute-less row for each unseen address, in lower case."""
     unseen = (
-        facts.select("icao24")
+        facts.select(F.lower("icao24").alias("icao24"))
         .where(F.col("icao24").isNotNull())
         .distinct()
         .join(dim_aircraft.select("icao24"), "icao24", "left_anti")
@@ -206,11 +210,16 @@ def within_radius(
 ) -> DataFrame:
     """Rows within a radius of a point, with ``distance_nm``.
 
-    A latitude band, which a scan can skip files by, runs before the trigonometry.
+    Bands of latitude and longitude, which a scan can skip files by, run before the trigonometry.
     The hair of slack keeps rounding from cutting rows on the rim.
     """
     reach = radius_nm / NM_PER_DEGREE * 1.001
     band = F.col(lat).between(max(lat0 - reach, -90.0), min(lat0 + reach, 90.0))
+    edge = math.cos(math.radians(min(abs(lat0) + reach, 90.0)))
+    # A box that crosses the date line or comes near a pole has no simple band of longitudes.
+    across = reach / edge if edge > 0.01 else 360.0
+    if -180.0 < lon0 - across and lon0 + across < 180.0:
+        band &= F.col(lon).between(lon0 - across, lon0 + across)
     return (
         rows.where(band)
         .withColumn("distance_nm", distance_nm(lat, lon, lat0, lon0))

@@ -17,20 +17,21 @@ def bbox_trim(docs: DataFrame) -> DataFrame:
 
     Aircraft are kept or dropped as raw JSON text, so every field of a kept one
     survives. A payload whose ``ac`` is not a list is left as it is and both counts are null.
+    The list is parsed once, and the other fields once.
     """
 
-    def degrees(aircraft: Column, field: str) -> Column:
-        return F.get_json_object(aircraft, f"$.{field}").try_cast("double")
+    def inside(aircraft: Column) -> Column:
+        at = F.from_json(aircraft, "lat string, lon string")
+        return in_box(at["lat"].try_cast("double"), at["lon"].try_cast("double"))
 
-    kept = F.filter("_ac", lambda a: in_box(degrees(a, "lat"), degrees(a, "lon")))
     # The other top-level fields keep their JSON types as variants.
     rest = F.to_json(F.map_filter(F.from_json("payload", "map<string,variant>"), lambda k, _: k != "ac"))
-    head = F.when(rest == "{}", "{").otherwise(F.concat(F.substr(rest, F.lit(1), F.length(rest) - 1), F.lit(",")))
-    trimmed = F.concat(head, F.lit('"ac":['), F.concat_ws(",", "_kept"), F.lit("]}"))
+    tail = F.regexp_replace(F.nullif(rest, F.lit("{}")), r"^\{", ",")
+    trimmed = F.concat(F.lit('{"ac":['), F.concat_ws(",", "_kept"), F.lit("]"), F.coalesce(tail, F.lit("}")))
     listed = F.col("_ac").isNotNull()
     return (
         docs.withColumn("_ac", F.from_json("payload", "ac array<string>")["ac"])
-        .withColumn("_kept", kept)
+        .withColumn("_kept", F.filter("_ac", inside))
         .withColumn("ac_total", F.when(listed, F.size("_ac")))
         .withColumn("ac_kept", F.when(listed, F.size("_kept")))
         .withColumn("payload", F.when(listed, trimmed).otherwise(F.col("payload")))
@@ -69,9 +70,9 @@ def keyed_aircraft(docs: DataFrame) -> DataFrame:
     Fields go through a text map because a missing field and an explicit null differ below.
     """
     parsed = F.from_json("payload", "now double, ac array<map<string,string>>")
-    return docs.withColumn("_p", parsed).select(
-        *_carried(docs), F.col("_p.now").alias("now"), F.explode("_p.ac").alias("a")
-    )
+    # For a plain explode Spark repeats the parse, and all that made the payload, in a filter below it.
+    rows = docs.withColumn("_p", parsed).select(*_carried(docs), F.col("_p.now").alias("now"), F.explode_outer("_p.ac").alias("a"))
+    return rows.where(F.col("a").isNotNull())
 
 
 def map_keyed(docs: DataFrame, null_falls_back: bool = False, metric_rate: bool = False) -> DataFrame:

@@ -13,6 +13,7 @@ BRONZE = T.StructType(
     ]
 )
 
+# Columns of the position table.
 POSITIONS = T.StructType(
     [
         T.StructField("id", T.LongType(), False),
@@ -29,7 +30,7 @@ POSITIONS = T.StructType(
     ]
 )
 
-# The eight columns both feeds are mapped onto, in the order of the positional feed.
+# The eight columns both feeds are mapped onto, in the order of the positional feed.
 POSITION_COLUMNS = [
     "icao24",
     "callsign",
@@ -41,6 +42,7 @@ POSITION_COLUMNS = [
     "vertical_rate",
 ]
 
+# Columns of the live map.
 CURRENT_COLUMNS = [
     "icao24",
     "callsign",
@@ -52,6 +54,7 @@ CURRENT_COLUMNS = [
     "updated_at",
 ]
 
+# Columns of the delay dataset.
 DELAY = T.StructType(
     [
         T.StructField("Flight", T.LongType()),

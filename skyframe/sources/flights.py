@@ -43,7 +43,10 @@ def load_flights(spark: SparkSession, path: str) -> DataFrame:
         text = F.when(~F.col(name).isin(*MISSING_TEXTS), F.col(name))
         dtype = types.get(name, T.StringType())
         if isinstance(dtype, (T.IntegerType, T.LongType)):
-            return text.try_cast("double").try_cast(dtype).alias(name)
+            # Digits first, so that no integer goes through a double; "3.0" is whole, "3.9" is not.
+            number = text.try_cast("double")
+            whole = F.when(number == F.floor(number), number).try_cast(dtype)
+            return F.when(text.rlike(r"^\s*[+-]?\d+\s*$"), text.try_cast(dtype)).otherwise(whole).alias(name)
         return text.try_cast(dtype).alias(name)
 
     flights = raw.select(*[cell(c) for c in header])

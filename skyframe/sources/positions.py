@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from skyframe import constants as K
 from skyframe import schemas
 from skyframe.operators.live import duplicate_keys
 from skyframe.operators.unify import newest_call, snapshot_faults, unify_positions
-from skyframe.session import new_folder, shared_dir
+from skyframe.session import new_folder
 from skyframe.sources import files
 
 
@@ -29,6 +31,20 @@ def with_identity(rows: DataFrame) -> DataFrame:
     return typed.select(*[F.col(f.name).cast(f.dataType) for f in schemas.POSITIONS])
 
 
+def versions_root(spark: SparkSession, root: str | None = None) -> str:
+    """Where versions of the tables live: the warehouse, if no folder is named."""
+    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/positions"
+
+
+def live_version(spark: SparkSession, table: str) -> str | None:
+    """The folder that the table's view points at."""
+    if not spark.catalog.tableExists(check_table(table)):
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'View Text'").first()
+    found = re.search(r"parquet\.`([^`]+)`", described["data_type"] if described else "")
+    return found[1] if found else None
+
+
 def publish_positions(rows: DataFrame, table: str, root: str | None = None) -> str:
     """Write a new version beside the old one, check it, then point the table's view at it.
 
@@ -37,7 +53,7 @@ def publish_positions(rows: DataFrame, table: str, root: str | None = None) -> s
     """
     check_table(table)
     spark = rows.sparkSession
-    path = new_folder(spark, table, root)
+    path = new_folder(spark, table, versions_root(spark, root))
     with_identity(rows).write.parquet(path)
     written = spark.read.schema(schemas.POSITIONS).parquet(path)
     repeated = duplicate_keys(written).count()
@@ -65,10 +81,21 @@ def refresh_positions(docs: DataFrame, table: str, root: str | None = None, **ke
 
 
 def drop_old_versions(spark: SparkSession, table: str, root: str | None = None, keep: int = 3) -> list[str]:
-    """Delete all but the newest versions; keep more than one for readers that are still running."""
-    folder = root or shared_dir(spark)
-    versions = [path for _, path in files.matching(spark, f"{folder}/{check_table(table)}-*")]
-    old = versions[: -max(keep, 1)]
+    """Delete versions older than the live one, but for the newest ``keep - 1`` of them.
+
+    The live version is the one the view points at. It and anything newer, which may still be
+    being written, always stay; what a failed write left behind goes once a newer version is live.
+    """
+    live = live_version(spark, table)
+    if live is None:
+        return []
+    found = [path for _, path in files.matching(spark, f"{versions_root(spark, root)}/{check_table(table)}-*")]
+    names = [path.rstrip("/").rsplit("/", 1)[1] for path in found]
+    name = live.rstrip("/").rsplit("/", 1)[1]
+    if name not in names:
+        return []
+    older = found[: names.index(name)]
+    old = older[: len(older) - (max(keep, 1) - 1)]
     for path in old:
         files.delete(spark, path)
     return old

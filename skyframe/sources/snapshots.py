@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta, timezone
 
@@ -21,6 +22,17 @@ EMPTY = r"^\s*(null|\[\s*\]|\{\s*\})\s*$"
 LIST, CONTAINER = r"^\s*\[", r"^\s*[\[{]"
 
 
+def is_json(payload: Column) -> Column:
+    """Whether a text is one whole JSON value, of any size; repeated fields and NaN are allowed.
+
+    The text becomes the first of two fields, the second named after its digest. If both are
+    found and nothing else, the text neither breaks off nor goes on behind its value.
+    """
+    name = F.sha1(F.encode(payload, "utf-8"))
+    fields = F.from_json(F.concat(F.lit('{"value":'), payload, F.lit(',"'), name, F.lit('":0}')), "map<string,string>")
+    return F.coalesce((F.size(fields) == 2) & F.map_contains_key(fields, name), F.lit(False))
+
+
 def parse_guard(raw: DataFrame) -> DataFrame:
     """Add ``reason``, why a payload is not stored; null when it is.
 
@@ -29,8 +41,8 @@ def parse_guard(raw: DataFrame) -> DataFrame:
     payload = F.col("payload")
     return raw.withColumn(
         "reason",
-        F.when(F.try_parse_json(payload).isNull(), "invalid_json")
-        .when(payload.rlike(EMPTY), "empty")
+        F.when(payload.rlike(EMPTY), "empty")
+        .when(~is_json(payload) | payload.isNull(), "invalid_json")
         .when(~payload.rlike(CONTAINER), "unexpected_type"),
     )
 
@@ -100,17 +112,38 @@ def land_snapshots(
             docs = docs.join(stored, list(key), "left_anti")
     if rebalance:
         docs = docs.hint("rebalance", "fetched_date")
-    docs.write.mode("append").partitionBy("source", "fetched_date").parquet(path)
+    append_batch(docs, path, uuid.uuid4().hex)
     return read_snapshots(spark, path, source)
 
 
+def append_batch(docs: DataFrame, path: str, batch: str) -> None:
+    """Write prepared rows as one batch of the landing folder.
+
+    Every batch has folders of its own below its days. Written again under the same name, it
+    replaces itself, so a stream may repeat a batch; streams, batches and retention share a folder.
+    """
+    named = docs.withColumn("batch", F.lit(f"b-{batch}"))
+    writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("source", "fetched_date", "batch").parquet(path)
+
+
 def read_snapshots(
-    spark: SparkSession, path: str, source: str | None = None, newest_first: bool = False
+    spark: SparkSession,
+    path: str,
+    source: str | None = None,
+    newest_first: bool = False,
+    now: Column | None = None,
+    hours: int | None = None,
 ) -> DataFrame:
-    """Landed documents, of one source if named (only its partitions are listed and read)."""
-    docs = spark.read.schema(schemas.BRONZE).parquet(path)
+    """Landed documents, of one source if named (only its partitions are listed and read).
+
+    With ``hours``, only those still inside that retention window, to the second.
+    """
+    docs = spark.read.schema(schemas.BRONZE).parquet(path).select(*schemas.BRONZE.names)
     if source is not None:
         docs = docs.where(F.col("source") == source)
+    if hours is not None:
+        docs = unexpired(docs, now, hours)
     return docs.orderBy(F.desc("fetched_at")) if newest_first else docs
 
 

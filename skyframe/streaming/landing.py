@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skyframe import constants as K
 from skyframe.operators.unify import bbox_trim
-from skyframe.sources.snapshots import Transform, prepare
+from skyframe.sources.snapshots import Transform, append_batch, prepare
 
 
 def trim_payload(docs):
@@ -35,9 +37,15 @@ def stream_land(
 ) -> StreamingQuery:
     """Land files dropped by a collector: a JSON payload per line, or per file if ``whole_files``.
 
-    The call time is the file's modification time. The file sink commits each batch
-    once, so a restarted query neither loses nor repeats documents.
+    The call time is the file's modification time. A batch is named after the checkpoint and its
+    number and replaces itself when it is written again, so a restarted query neither loses nor
+    repeats documents. Several feeds, streams and batch landing may share one ``path``.
     """
+    name = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+    def land(batch: DataFrame, number: int) -> None:
+        append_batch(prepare(batch, source, run_id, FEED_TRANSFORMS.get(source)), path, f"{name}-{number}")
+
     raw = (
         spark.readStream.format("text")
         .option("wholetext", whole_files)
@@ -49,12 +57,8 @@ def stream_land(
         )
     )
     return (
-        prepare(raw, source, run_id, FEED_TRANSFORMS.get(source))
-        .writeStream.format("parquet")
-        .option("path", path)
+        raw.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("source", "fetched_date")
-        .outputMode("append")
         .queryName(f"land_{source}_{run_id}")
         .trigger(**(trigger or {"processingTime": "30 seconds"}))
         .start()

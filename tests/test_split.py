@@ -32,9 +32,9 @@ def test_sizes():
     assert split.largest_remainder({0: 5, 1: 3, 2: 2}, 4) == {0: 2, 1: 1, 2: 1}
 
 
-@pytest.mark.parametrize("small", [5_000, 20])
-def test_split_matches_brute_force(spark, monkeypatch, small):
-    monkeypatch.setattr(split, "SMALL_BUCKET", small)
+@pytest.mark.parametrize("digits", [3, 1])
+def test_split_matches_brute_force(spark, monkeypatch, digits):
+    monkeypatch.setattr(split, "DIGITS", digits)
     df = unique(spark, 5003)
     got = {r["n"]: r["split"] for r in split.stratified_split(df, key=("n",)).collect()}
     train, val, test = split.split_sizes(5003)
@@ -99,12 +99,31 @@ def test_folds_are_stratified(spark):
         assert max(mine) - min(mine) <= 1
 
 
-def test_too_many_classes_are_refused(spark):
-    df = spark.range(200).select(F.col("id").alias("n"), F.col("id").cast("int").alias("Class"))
-    split.stratified_folds(df.where("n < 50"), 3)
-    wide = spark.range(500_000).select(F.col("id").alias("n"), F.col("id").cast("int").alias("Class"))
-    with pytest.raises(ValueError):
-        split.stratified_split(wide)
+def test_many_classes(spark):
+    df = spark.range(900).select(F.col("id").alias("n"), (F.col("id") % 150).cast("int").alias("Class"))
+    sizes = {r["split"]: r["count"] for r in split.stratified_split(df).groupBy("split").count().collect()}
+    assert (sizes["train"], sizes["val"], sizes["test"]) == split.split_sizes(900)
+
+
+def test_repeated_keys_never_bring_their_rows_to_the_driver(spark, monkeypatch):
+    """400,000 different rows under three keys."""
+    most = 0
+    real = type(spark.range(1))
+    collect = real.collect
+
+    def counted(df):
+        nonlocal most
+        rows = collect(df)
+        most = max(most, len(rows))
+        return rows
+
+    df = spark.range(400_000).select((F.col("id") % 3).alias("n"), F.col("id").alias("other"), (F.col("id") % 2).cast("int").alias("Class"))
+    monkeypatch.setattr(real, "collect", counted)
+    parts = split.stratified_split(df, key=("n",))
+    monkeypatch.undo()
+    assert most <= 4 * 4096
+    sizes = {r["split"]: r["count"] for r in parts.groupBy("split").count().collect()}
+    assert (sizes["train"], sizes["val"], sizes["test"]) == split.split_sizes(400_000)
 
 
 def test_assignment_is_a_projection(spark):
