@@ -170,7 +170,7 @@ def adsb_positions(docs: DataFrame) -> DataFrame:
         return a[field].try_cast("double").try_cast(dtype)
 
     rows = keyed_aircraft(docs).select(
-        a["hex"].alias("hex"),
+        F.lower(a["hex"]).alias("hex"),
         clean_callsign(a["flight"]).alias("callsign"),
         a["r"].alias("registration"),
         a["t"].alias("aircraft_type"),
@@ -234,12 +234,16 @@ def lookup(
     registration: str | None = None,
     squawk: str | None = None,
 ) -> DataFrame:
-    """Find aircraft by address (any case), callsign (whole, or a prefix ending in ``*``),
-    registration or squawk; criteria given together must all hold."""
+    """Find aircraft by address (asked in any case), callsign (whole, or a prefix ending in ``*``),
+    registration or squawk; criteria given together must all hold.
+
+    ``rows`` are stored as ``adsb_positions`` writes them, addresses in lower case and callsigns
+    clean, so every criterion compares a column with a literal and reaches the files.
+    """
     if icao24 is not None:
-        rows = rows.where(F.lower("icao24") == icao24.lower())
+        rows = rows.where(F.col("icao24") == icao24.lower())
     if callsign is not None:
-        text = clean_callsign("callsign")
+        text = F.col("callsign")
         rows = rows.where(
             F.startswith(text, F.lit(callsign[:-1])) if callsign.endswith("*") else text == callsign
         )

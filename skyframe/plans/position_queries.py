@@ -16,7 +16,7 @@ from skyframe.session import new_folder
 from skyframe.sources import positions as table
 from skyframe.sources import snapshots
 from skyframe.streaming.landing import stream_land, trim_payload
-from skyframe.streaming.refresh import newest_per_source, stream_refresh
+from skyframe.streaming.refresh import stream_refresh
 
 RUN = "run_check"
 BOX = f"latitude BETWEEN {K.SOUTH} AND {K.NORTH} AND longitude BETWEEN {K.WEST} AND {K.EAST}"
@@ -82,22 +82,49 @@ def read_snapshots(spark, sf_dir):
     )
 
 
+#: Payloads and why they are refused; None where they are stored.
+GUARDED = [
+    ("{bad", "invalid_json"),
+    ("[]", "empty"),
+    ("{ }", "empty"),
+    ("null", "empty"),
+    ("5", "unexpected_type"),
+    ('{"a":1,"a":2}', None),
+    ('{"a":NaN}', None),
+    ('{"a":1} xx', "invalid_json"),
+    ('{"a":1}}', "invalid_json"),
+    ('{"a":1},"b":2', "invalid_json"),
+    ('[{"a":1}', "invalid_json"),
+    ('[{"a":{"b":[1,2]}},{}]', None),
+]
+
+
 @query(
-    """
-    SELECT event_id, CASE event_id % 7 WHEN 0 THEN 'invalid_json' WHEN 1 THEN 'empty' WHEN 2 THEN 'empty'
-      WHEN 3 THEN 'empty' WHEN 4 THEN 'unexpected_type' END AS reason
+    f"""
+    SELECT event_id, CASE event_id % {len(GUARDED) + 2}
+      {" ".join(f"WHEN {i} THEN {f"'{reason}'" if reason else "NULL"}" for i, (_, reason) in enumerate(GUARDED))} END AS reason
     FROM events
     """
 )
 def parse_guard(spark, sf_dir):
-    broken = F.element_at(
-        F.array(*[F.lit(t) for t in ("{bad", "[]", "{ }", "null", "5")]), (F.col("event_id") % 7 + 1).cast("int")
-    )
-    payload = F.when(F.col("event_id") % 7 < 5, broken).otherwise(F.col("props"))
+    texts = F.array(*[F.lit(t) for t, _ in GUARDED])
+    slot = (F.col("event_id") % (len(GUARDED) + 2)).cast("int")
+    payload = F.coalesce(F.get(texts, slot), F.col("props"))
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     return snapshots.parse_guard(events.select("event_id", payload.alias("payload"))).select("event_id", "reason")
 
 
+@query("SELECT source, fetched_at, count(DISTINCT id // 256) AS documents FROM obs GROUP BY source, fetched_at")
+def land_duplicates(spark, sf_dir):
+    """Documents landed a second time, some of them twice in one call, are skipped by key."""
+    path, docs = new_folder(spark, "landing"), documents(spark, sf_dir)
+    for again in (docs, docs.unionByName(docs.where(F.col("fetched_at") > "2024-01-10"))):
+        for source in (K.POSITIONAL_SOURCE, K.KEYED_SOURCE):
+            mine = again.where(F.col("source") == source).select("payload", "fetched_at")
+            snapshots.land_snapshots(mine, path, source, RUN, key=("payload", "fetched_at"), rebalance=True)
+    return snapshots.read_snapshots(spark, path).groupBy("source", "fetched_at").agg(F.count("*").alias("documents"))
+
+
 @query(
     f"""
     SELECT icao24, CAST(latitude AS REAL) AS latitude, CAST(longitude AS REAL) AS longitude, fetched_at
@@ -192,9 +219,8 @@ CURRENT_SQL = f"""
 @query(CURRENT_SQL)
 def current_aircraft(spark, sf_dir):
     """Which aircraft are where right now: newest call, guard, mapping, live-map shape."""
-    docs = raw_documents(unify.freshest_snapshot(view(spark, sf_dir, "obs")))
-    stored = snapshots.accepted(snapshots.parse_guard(docs))
-    return live.current_aircraft(unify.unify_positions(stored))
+    docs = snapshots.read_snapshots(spark, landed(spark, documents(spark, sf_dir)))
+    return live.current_aircraft(unify.unify_positions(unify.freshest_snapshot(docs)))
 
 
 ONE_PER_CALL = "SELECT *, row_number() OVER (PARTITION BY source, fetched_at, icao24 ORDER BY id DESC) AS rn FROM obs"
@@ -219,8 +245,8 @@ def refresh_positions(spark, sf_dir):
     """
 )
 def read_positions(spark, sf_dir):
-    docs = raw_documents(unify.freshest_snapshot(one_per_call(spark, sf_dir)))
-    table.publish_positions(unify.unify_positions(docs), "q_map1")
+    docs = snapshots.read_snapshots(spark, landed(spark, raw_documents(one_per_call(spark, sf_dir))))
+    table.refresh_positions(docs, "q_map1")
     return live.current_aircraft(table.read_positions(spark, "q_map1"))
 
 
@@ -349,6 +375,31 @@ def stream_land_feeds(spark, sf_dir):
     return rows
 
 
+@query(
+    f"""
+    SELECT source, count(*) AS documents FROM (
+      SELECT DISTINCT source, fetched_at, id // 256 AS page FROM obs
+      UNION ALL SELECT DISTINCT source, fetched_at, id // 256 FROM obs WHERE {KEYED}
+    ) GROUP BY source
+    """
+)
+def stream_land_shared(spark, sf_dir):
+    """Two streams, a batch and retention on one folder: nothing is lost, nothing in the way."""
+    docs, path = documents(spark, sf_dir), new_folder(spark, "shared-landing")
+    for source in (K.POSITIONAL_SOURCE, K.KEYED_SOURCE):
+        drop, offsets = new_folder(spark, "drop"), new_folder(spark, "offsets")
+        docs.where(F.col("source") == source).select("payload").write.text(drop)
+        for _ in range(2):
+            stream_land(spark, drop, path, source, RUN, offsets, {"availableNow": True}).awaitTermination()
+    keyed = docs.where(F.col("source") == K.KEYED_SOURCE).select("payload", "fetched_at")
+    # The streams stamp the time of their files, which is now, and so does this batch.
+    snapshots.land_snapshots(keyed.withColumn("fetched_at", F.current_timestamp()), path, K.KEYED_SOURCE, RUN)
+    old = keyed.withColumn("fetched_at", F.lit("2000-01-01").cast("timestamp"))
+    snapshots.land_snapshots(old, path, K.KEYED_SOURCE, RUN)
+    snapshots.drop_expired(spark, path)
+    return snapshots.read_snapshots(spark, path).groupBy("source").agg(F.count("*").alias("documents"))
+
+
 @query(TABLE_SQL, name="stream_refresh")
 def stream_refresh_table(spark, sf_dir):
     path = landed(spark, raw_documents(one_per_call(spark, sf_dir)))
@@ -391,6 +442,14 @@ def retention(spark, sf_dir):
     return kept.groupBy("source", "fetched_at").agg(F.count("*").alias("documents"))
 
 
-@query("SELECT source, max(fetched_at) AS fetched_at FROM obs GROUP BY source")
+@query(TABLE_SQL)
 def late_data(spark, sf_dir):
-    return newest_per_source(documents(spark, sf_dir))
+    """The freshest call is landed and shown first; all older ones arrive late and change nothing."""
+    docs, path, offsets = raw_documents(one_per_call(spark, sf_dir)), new_folder(spark, "landing"), new_folder(spark, "offsets")
+    newest = unify.newest_call(docs).first()["fetched_at"]
+    for part in (docs.where(F.col("fetched_at") == F.lit(newest)), docs.where(F.col("fetched_at") < F.lit(newest))):
+        for source in (K.POSITIONAL_SOURCE, K.KEYED_SOURCE):
+            mine = part.where(F.col("source") == source).select("payload", "fetched_at")
+            snapshots.land_snapshots(mine, path, source, RUN)
+        stream_refresh(spark, {"both": path}, "q_map1", offsets, trigger={"availableNow": True}).awaitTermination()
+    return table.read_positions(spark, "q_map1").drop("id", "created_at")

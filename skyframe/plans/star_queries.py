@@ -17,7 +17,7 @@ from skyframe.plans.position_queries import (
 )
 from skyframe.plans.registry import query
 from skyframe.plans.standins import PAGE_ROWS, view
-from skyframe.session import new_folder
+from skyframe.session import materialise, new_folder
 from skyframe.sources import reference
 
 
@@ -251,25 +251,30 @@ def within_radius(spark, sf_dir):
     return near.select("id", "icao24", F.round("distance_nm", 6).alias("distance_nm"))
 
 
+def stored(spark, sf_dir) -> DataFrame:
+    """The flattened feed as a table: payloads are parsed once, and look-ups reach its files as filters."""
+    return materialise(wide(spark, sf_dir), "adsb-positions")
+
+
 @query(f"WITH {WIDE} SELECT * FROM wide WHERE lower(hex) = '000008'")
 def lookup_hex(spark, sf_dir):
-    rows = wide(spark, sf_dir).withColumnRenamed("hex", "icao24")
+    rows = stored(spark, sf_dir).withColumnRenamed("hex", "icao24")
     return star.lookup(rows, icao24="000008").withColumnRenamed("icao24", "hex")
 
 
 @query(f"WITH {WIDE} SELECT * FROM wide WHERE callsign LIKE 'CLI%'")
 def lookup_callsign(spark, sf_dir):
-    return star.lookup(wide(spark, sf_dir), callsign="CLI*")
+    return star.lookup(stored(spark, sf_dir), callsign="CLI*")
 
 
 @query(f"WITH {WIDE} SELECT * FROM wide WHERE registration = 'D-000007'")
 def lookup_registration(spark, sf_dir):
-    return star.lookup(wide(spark, sf_dir), registration="D-000007")
+    return star.lookup(stored(spark, sf_dir), registration="D-000007")
 
 
 @query(f"WITH {WIDE} SELECT * FROM wide WHERE squawk = '0042'")
 def lookup_squawk(spark, sf_dir):
-    return star.lookup(wide(spark, sf_dir), squawk="0042")
+    return star.lookup(stored(spark, sf_dir), squawk="0042")
 
 
 def leg_documents(spark, sf_dir) -> DataFrame:

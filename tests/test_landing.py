@@ -223,3 +223,92 @@ def test_stream_refresh_follows_the_freshest_call(spark):
     land(spark, path, K.KEYED_SOURCE, (ac(AIRCRAFT, AIRCRAFT), datetime(2024, 1, 4)))
     cycle()
     assert table_rows(spark) == ["new"]  # refused: repeated key
+
+
+@pytest.mark.parametrize(
+    "payload, reason",
+    [
+        ('{"a":1,"a":2}', None),
+        ('{"ac":[{"hex":"x","hex":"y"}]}', None),
+        ('{"a":NaN}', None),
+        ("[1] x", "invalid_json"),
+        ('{"a":1} {"b":2}', "invalid_json"),
+        ('{"a":1},"w":2', "invalid_json"),
+        ('{"a":1}],"w":[2', "invalid_json"),
+        ('1,"z":0}', "invalid_json"),
+        ("   ", "invalid_json"),
+    ],
+)
+def test_guard_on_whole_values(spark, payload, reason):
+    assert snapshots.parse_guard(raw(spark, (payload, T1))).first()["reason"] == reason
+
+
+def test_guard_has_no_size_limit(spark):
+    big = spark.range(1).select(F.concat(F.lit('{"ac":['), F.array_join(F.array_repeat(F.lit('{"hex":"abcdef"}'), 2_000_000), ","), F.lit("]}")).alias("payload"))
+    assert snapshots.parse_guard(big).select("reason", F.length("payload").alias("n")).first() == (None, 34_000_008)
+
+
+def test_streams_batches_and_retention_share_a_folder(spark):
+    path = new_folder(spark, "land")
+    for source, text in ((K.POSITIONAL_SOURCE, states(VECTOR)), (K.KEYED_SOURCE, ac(AIRCRAFT))):
+        drop, offsets = new_folder(spark, "drop"), new_folder(spark, "offsets")
+        write_file(drop, "1.json", text)
+        run(stream_land(spark, drop, path, source, "r", offsets, ONCE))
+    land(spark, path, K.KEYED_SOURCE, (ac(AIRCRAFT), T1), (ac(AIRCRAFT), T2))
+    count = lambda: {r["source"]: r["count"] for r in snapshots.read_snapshots(spark, path).groupBy("source").count().collect()}
+    assert count() == {K.POSITIONAL_SOURCE: 1, K.KEYED_SOURCE: 3}
+    assert len(snapshots.drop_expired(spark, path)) == 2
+    assert count() == {K.POSITIONAL_SOURCE: 1, K.KEYED_SOURCE: 1}
+
+
+def test_a_batch_written_again_replaces_itself(spark):
+    path = new_folder(spark, "land")
+    docs = snapshots.prepare(raw(spark, ('{"a":1}', T1), ('{"a":2}', T2)), "s", "r")
+    for _ in range(2):
+        snapshots.append_batch(docs, path, "one")
+    snapshots.append_batch(docs.limit(1), path, "two")
+    assert snapshots.read_snapshots(spark, path).count() == 3
+
+
+def test_retention_at_read_time(spark):
+    path = new_folder(spark, "t")
+    land(spark, path, "s", ("[1]", T1), ("[2]", T2), ("[3]", T3))
+    now = F.lit("2024-01-03 09:59:59").cast("timestamp")
+    assert sorted(r["payload"] for r in snapshots.read_snapshots(spark, path, now=now, hours=24).collect()) == ["2", "3"]
+    later = F.lit("2024-01-03 10:00:01").cast("timestamp")
+    assert sorted(r["payload"] for r in snapshots.read_snapshots(spark, path, now=later, hours=24).collect()) == ["3"]
+
+
+def test_the_live_version_stays(spark):
+    path, root = new_folder(spark, "t"), new_folder(spark, "versions")
+    land(spark, path, K.POSITIONAL_SOURCE, (states(VECTOR), T1))
+    docs = snapshots.read_snapshots(spark, path)
+    positions.refresh_positions(docs, "q_map1", root)
+    spark.range(1).write.parquet(new_folder(spark, "q_map1", root))  # still being written
+    assert positions.drop_old_versions(spark, "q_map1", root, keep=1) == []
+    assert table_rows(spark, "q_map1") == ["p1"]
+
+
+def test_refresh_tries_again_without_new_files(spark, monkeypatch):
+    import time
+
+    from skyframe.streaming import refresh as module
+
+    tried = []
+
+    def failing(docs, table, root):
+        tried.append(docs.count())
+        if len(tried) < 3:
+            raise OSError("storage is away")
+
+    monkeypatch.setattr(module, "refresh_positions", failing)
+    path = new_folder(spark, "land")
+    land(spark, path, K.POSITIONAL_SOURCE, (states(VECTOR), T2))
+    query = stream_refresh(spark, {"all": path}, "map1", new_folder(spark, "offsets"), trigger={"processingTime": "1 second"})
+    until = time.time() + 90
+    while len(tried) < 3 and time.time() < until:
+        time.sleep(0.5)
+    time.sleep(3)
+    assert query.isActive
+    query.stop()
+    assert tried == [1, 1, 1]
