@@ -81,7 +81,6 @@ FEATURE_SCHEMA = {
 SEARCH_SAMPLE = 100_000
 SEARCH_DRAWS = 20
 SEARCH_FOLDS = 3
-IMPORTANCE_SAMPLE = 20_000
 IMPORTANCE_REPEATS = 5
 
 # Bins and carriers of the profiling report.

@@ -1,9 +1,8 @@
-"""Running totals over a global order without a single-task window.
+"""Running totals and row numbers over a global order without a single-task window.
 
-Rows are cut into value cells that follow the sort order. Totals run inside each
-cell, over the cells of a block, and over the blocks; the three are then added. The
-cell of a value is computed from the value alone, so nothing is sampled and a retried
-task lands every row in the same place.
+Rows are dealt to tasks by ranges of the order, which Spark balances by count, so close values
+and far ones are divided alike. The result is written, so that every later step sees the same
+ranges. Totals then run inside each range and over the ranges, and the two are added.
 """
 
 from __future__ import annotations
@@ -13,55 +12,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPLITS = 1024
+from skyframe.session import materialise
 
 
-def value_cells(c: Column) -> tuple[Column, Column]:
-    """(block, cell) numbers that never decrease as the value grows.
-
-    A block is a power of two of the magnitude cut into 1,024 parts, and a cell cuts a
-    block into 1,024 more, so dense and spread-out values are both divided finely.
-    """
-    x = c.cast("double")
-    size = F.abs(x)
-    exponent = F.greatest(F.floor(F.log2(size)), F.lit(-1000)).cast("double")
-    scaled = (size * F.pow(F.lit(2.0), -exponent) - 1.0) * SPLITS
-    block = (exponent + 1100) * SPLITS + F.floor(scaled)
-    cell = F.floor((scaled - F.floor(scaled)) * SPLITS)
-    sign = F.signum(x)
-    # Never null: Spark then adds no null checks to the joins on them, and the frames
-    # derived from one shuffle stay recognisably the same, so it is run once.
-    return tuple(
-        F.coalesce(F.when(x != 0, sign * part).cast("long"), F.lit(0)) for part in (block, cell)
-    )
+def _ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """``df`` with the number of the range each row falls into; ranges follow the order."""
+    return materialise(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
 
 
-def cell_offsets(
-    cells: DataFrame, totals: Sequence[str], within: Sequence[str] = (), descending: bool = False
-) -> DataFrame:
-    """Add ``<total>_before``, what all earlier cells hold, to a frame with one row per cell."""
-    direction = F.desc if descending else F.asc
-
-    def before(frame: DataFrame, keys: Sequence[str], order: str, prefix: str) -> DataFrame:
-        w = Window.partitionBy(*keys).orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, -1)
-        return frame.select(
-            *[c for c in frame.columns if prefix == "_c_" or c not in totals],
-            *[F.coalesce(F.sum(t).over(w), F.lit(0)).alias(prefix + t) for t in totals],
-        )
-
-    # At most a few thousand blocks exist for any one order of magnitude, whatever the row count.
-    blocks = cells.groupBy(*within, "_block").agg(*[F.sum(t).alias(t) for t in totals])
-    placed = before(cells, [*within, "_block"], "_cell", "_c_").join(
-        before(blocks, within, "_block", "_b_"), [*within, "_block"]
-    )
-    return placed.select(
-        *cells.columns, *[(F.col("_c_" + t) + F.col("_b_" + t)).alias(t + "_before") for t in totals]
+def _before(ranges: DataFrame, totals: dict[str, Column], within: Sequence[str]) -> DataFrame:
+    """What all earlier ranges hold: one row per range and group, as many as there are tasks."""
+    sums = ranges.groupBy(*within, "_range").agg(*[c.alias(f"_b_{t}") for t, c in totals.items()])
+    earlier = Window.partitionBy(*within).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return sums.select(
+        *[F.col(c).alias(f"_of_{c}") for c in [*within, "_range"]],
+        *[F.coalesce(F.sum(f"_b_{t}").over(earlier), F.lit(0)).alias(f"_b_{t}") for t in totals],
     )
 
 
-def with_cells(df: DataFrame, by: str) -> DataFrame:
-    block, cell = value_cells(F.col(by))
-    return df.withColumn("_block", block).withColumn("_cell", cell)
+def _joined(ranges: DataFrame, before: DataFrame, within: Sequence[str]) -> DataFrame:
+    return ranges.join(before, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in [*within, "_range"]])
 
 
 def running_totals(
@@ -72,16 +42,24 @@ def running_totals(
     descending: bool = False,
 ) -> DataFrame:
     """Add ``<total>_upto`` to a frame that has one row per (within, by), in order of ``by``."""
-    keys = [*within, "_block", "_cell"]
-    rows = with_cells(df, by)
-    cells = rows.groupBy(*keys).agg(*[F.sum(t).alias(t) for t in totals])
-    offsets = cell_offsets(cells, totals, within, descending).drop(*totals)
-    inside = (
-        Window.partitionBy(*keys)
-        .orderBy(F.desc(by) if descending else F.asc(by))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = F.desc(by) if descending else F.asc(by)
+    ranges = _ranges(df, [order])
+    inside = Window.partitionBy(*within, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranges.withColumns({f"_r_{t}": F.sum(t).over(inside) for t in totals})
+    before = _before(ranges, {t: F.sum(t) for t in totals}, within)
+    return _joined(local, before, within).select(
+        *df.columns, *[(F.col(f"_r_{t}") + F.col(f"_b_{t}")).alias(f"{t}_upto") for t in totals]
     )
-    local = rows.withColumns({"_r_" + t: F.sum(t).over(inside) for t in totals})
-    return local.join(offsets, keys).select(
-        *df.columns, *[(F.col("_r_" + t) + F.col(t + "_before")).alias(t + "_upto") for t in totals]
+
+
+def numbered(df: DataFrame, order: Sequence[str], name: str, within: Sequence[str] = ()) -> DataFrame:
+    """Add ``name``, the number of each row (from 1) in the given order, per group if ``within`` is given.
+
+    The order decides between any two rows of a group, or they are alike.
+    """
+    ranges = _ranges(df, [F.asc(c) for c in order])
+    inside = Window.partitionBy(*within, "_range").orderBy(*order)
+    local = ranges.withColumn("_number", F.row_number().over(inside))
+    return _joined(local, _before(ranges, {"n": F.count("*")}, within), within).select(
+        *df.columns, (F.col("_number") + F.col("_b_n")).alias(name)
     )

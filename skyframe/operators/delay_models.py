@@ -13,11 +13,12 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyframe import constants as K
 from skyframe.functions.columns import class_label
+from skyframe.functions.ordering import numbered
 from skyframe.operators import metrics
 from skyframe.operators.encoding import CrossFitPipeline, linear_preprocessing, tree_preprocessing
 from skyframe.operators.split import (
@@ -62,13 +63,16 @@ GRIDS = {
 }
 
 DEEPEST_TREE = 30
-TREE_BINS = 256
+LEAST_BINS = 256
 PREDICTION_COLUMNS = ["predicted_class", "predicted_label", "probability_delayed"]
 
 
-def classifier(name: str, rows: int, seed: int = K.SEED, **params):
+def classifier(name: str, rows: int, seed: int = K.SEED, categories: int = 0, **params):
     """The estimator of a candidate; ``rows`` is the size of the training set.
 
+    ``categories`` is the largest number of categories of a column: trees get a bin for each, and
+    one for unseen values.
+
     Spark has no leaf budget and no L2 term for boosted trees: the leaf budget becomes
     the depth that holds it, and ``l2_regularization`` has no effect.
     """
@@ -89,7 +93,7 @@ def classifier(name: str, rows: int, seed: int = K.SEED, **params):
             maxDepth=p["max_depth"] or DEEPEST_TREE,
             minInstancesPerNode=p["min_samples_leaf"],
             featureSubsetStrategy=str(p["max_features"]),
-            maxBins=TREE_BINS,
+            maxBins=max(LEAST_BINS, categories + 1),
             seed=seed,
             **common,
         )
@@ -98,7 +102,7 @@ def classifier(name: str, rows: int, seed: int = K.SEED, **params):
         stepSize=p["learning_rate"],
         maxDepth=math.ceil(math.log2(p["max_leaf_nodes"])),
         minInstancesPerNode=p["min_samples_leaf"],
-        maxBins=TREE_BINS,
+        maxBins=max(LEAST_BINS, categories + 1),
         seed=seed,
         **common,
     )
@@ -110,13 +114,23 @@ def preprocessing(name: str, fold_key: Sequence[str] = ()) -> list:
     return tree_preprocessing(K.LOW_CARD_FEATURES if name == BOOSTING else ())
 
 
-def delay_pipeline(name: str, rows: int, seed: int = K.SEED, fold_key: Sequence[str] = (), **params) -> CrossFitPipeline:
+def delay_pipeline(
+    name: str, rows: int, seed: int = K.SEED, fold_key: Sequence[str] = (), categories: int = 0, **params
+) -> CrossFitPipeline:
     """Feature engineering, preprocessing and classifier as one pipeline."""
-    return CrossFitPipeline(stages=[*preprocessing(name, fold_key), classifier(name, rows, seed, **params)])
+    return CrossFitPipeline(stages=[*preprocessing(name, fold_key), classifier(name, rows, seed, categories, **params)])
+
+
+def sizes_of(train: DataFrame) -> tuple[int, int]:
+    """Rows, and the largest number of categories of a column, in one pass."""
+    named = [c for c in (*K.LOW_CARD_FEATURES, *K.HIGH_CARD_FEATURES) if c in train.columns]
+    row = train.agg(F.count("*"), *[F.count_distinct(c) for c in named]).first()
+    return row[0], max(row[1:], default=0)
 
 
 def fit(name: str, train: DataFrame, seed: int = K.SEED, fold_key: Sequence[str] = (), **params) -> PipelineModel:
-    return delay_pipeline(name, train.count(), seed, fold_key, **params).fit(train)
+    rows, categories = sizes_of(train)
+    return delay_pipeline(name, rows, seed, fold_key, categories, **params).fit(train)
 
 
 def predict_batch(model: Model, records: DataFrame) -> DataFrame:
@@ -184,10 +198,10 @@ def random_search(
         prepared, features = CrossFitPipeline(stages=preprocessing(name, key)).fitTransform(fit_rows)
         features = features.select("features", K.TARGET).persist()
         judged = prepared.transform(judged).select("features", K.TARGET).persist()
-        rows = features.count()
+        rows, categories = sizes_of(fit_rows)
 
         def score(point: dict) -> float:
-            return judge.evaluate(classifier(name, rows, seed, **point).fit(features).transform(judged))
+            return judge.evaluate(classifier(name, rows, seed, categories, **point).fit(features).transform(judged))
 
         with ThreadPoolExecutor(parallelism) as pool:
             for i, auc in enumerate(pool.map(score, points)):
@@ -208,26 +222,22 @@ def permutation_importance(
     model: Model,
     rows: DataFrame,
     columns: Sequence[str] | None = None,
-    sample: int = K.IMPORTANCE_SAMPLE,
+    sample: int | None = None,
     repeats: int = K.IMPORTANCE_REPEATS,
     seed: int = K.SEED,
     key: Sequence[str] = (),
 ) -> DataFrame:
     """(column, importance): mean drop of ROC-AUC when a raw column is shuffled, largest first.
 
-    All (column, repeat) shuffles are scored as one frame. At most ``sample`` rows
-    take part, which bounds the two windows below.
+    All (column, repeat) shuffles are scored as one frame. All rows take part unless ``sample``
+    asks for fewer. A shuffle numbers the rows in an order of its own and takes the value of the
+    row that has this number in the order of keys; no window holds more than a range of rows.
     """
     columns = list(columns or [c for c in rows.columns if c != K.TARGET])
     rows = rows.select(*dict.fromkeys([*columns, *[c for c in K.FEATURE_COLUMNS if c in rows.columns], K.TARGET]))
-    numbered = Window.orderBy("_key")
-    base = materialise(
-        sample_n(rows, sample, seed, key)
-        .withColumn("_key", row_key(rows.columns, seed, key))
-        .withColumn("_row", F.row_number().over(numbered))
-        .drop("_key"),
-        "importance",
-    )
+    chosen = rows if sample is None else sample_n(rows, sample, seed, key)
+    keyed = chosen.withColumn("_key", row_key(rows.columns, seed, key))
+    base = materialise(numbered(keyed, ["_key"], "_row").drop("_key"), "importance")
     shuffles = F.explode(
         F.array(
             *[
@@ -237,14 +247,12 @@ def permutation_importance(
             ]
         )
     )
-    order = Window.partitionBy("column", "repeat").orderBy(
-        F.md5(F.concat_ws("|", "_row", "column", "repeat", F.lit(seed))), "_row"
-    )
-    shuffled = (
+    mixed = (
         base.select("*", shuffles.alias("s"))
         .select(*base.columns, "s.*")
-        .withColumn("_donor", F.row_number().over(order))
+        .withColumn("_order", F.md5(F.concat_ws("|", "_row", "column", "repeat", F.lit(seed))))
     )
+    shuffled = numbered(mixed, ["_order", "_row"], "_donor", ["column", "repeat"]).drop("_order")
     donors = base.select(F.col("_row").alias("_donor"), *[F.col(c).alias(f"_d_{c}") for c in columns])
     replaced = shuffled.join(donors, "_donor").withColumns(
         {c: F.when(F.col("column") == c, F.col(f"_d_{c}")).otherwise(F.col(c)) for c in columns}

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from skyframe import constants as K
 from skyframe.functions.columns import class_label
-from skyframe.functions.ordering import cell_offsets, with_cells
+from skyframe.functions.ordering import running_totals
 from skyframe.sources.flights import null_counts_row
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -91,19 +91,18 @@ def shape_dtypes(df: DataFrame) -> DataFrame:
 def exact_quantiles(df: DataFrame, columns: Sequence[str], at: Sequence[float] = QUARTILES) -> DataFrame:
     """Linearly interpolated quantiles, one row per column and a field ``q0, q1, ..`` per level.
 
-    A first pass counts rows per value cell, which tells the few cells that hold the
-    wanted ranks. Only the values of those cells are then counted and ordered, so
-    neither pass shuffles the columns themselves.
+    Values are counted inside each task, so a value shuffles once per task however often it
+    occurs; running totals of the counts then tell which values hold the wanted ranks.
     """
-    values = with_cells(
+    counts = (
         df.select(*[F.col(c).cast("double").alias(c) for c in columns])
         .unpivot([], list(columns), "column", "value")
-        .where(F.col("value").isNotNull()),
-        "value",
+        .where(F.col("value").isNotNull())
+        .groupBy("column", "value")
+        .agg(F.count("*").alias("n"))
     )
-    keys = ["column", "_block", "_cell"]
-    cells = values.groupBy(*keys).agg(F.count("*").alias("n"))
-    sizes = cells.groupBy("column").agg(F.sum("n").alias("size"))
+    placed = running_totals(counts, "value", ["n"], ["column"])
+    sizes = placed.groupBy("column").agg(F.sum("n").alias("size"))
     # Per level the two ranks to interpolate between, counted from 0.
     levels = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("q")) for i, q in enumerate(at)]))
     h = (F.col("size") - 1) * F.col("l.q")
@@ -114,20 +113,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], at: Sequence[float] =
         F.explode(F.array(F.struct(F.lit("lo").alias("end"), F.floor(h).alias("rank")), F.struct(F.lit("hi").alias("end"), F.ceil(h).alias("rank")))).alias("e"),
     ).select("column", "i", "weight", "e.*")
     # At most two ranks per level and column.
-    placed = cell_offsets(cells, ["n"], ["column"]).join(F.broadcast(ranks), "column")
-    wanted = placed.where(
-        (F.col("n_before") <= F.col("rank")) & (F.col("rank") < F.col("n_before") + F.col("n"))
-    ).drop("n")
-    few = wanted.select(*keys).distinct()
-    counted = values.join(F.broadcast(few), keys, "left_semi").groupBy(*keys, "value").agg(F.count("*").alias("n"))
-    inside = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = (
-        counted.withColumn("upto", F.sum("n").over(inside))
-        .join(F.broadcast(wanted), keys)
-        .where(
-            (F.col("n_before") + F.col("upto") - F.col("n") <= F.col("rank"))
-            & (F.col("rank") < F.col("n_before") + F.col("upto"))
-        )
+    found = placed.join(F.broadcast(ranks), "column").where(
+        (F.col("n_upto") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("n_upto"))
     )
     ends = found.groupBy("column").agg(
         *[

@@ -17,24 +17,24 @@ def bbox_trim(docs: DataFrame) -> DataFrame:
 
     Aircraft are kept or dropped as raw JSON text, so every field of a kept one
     survives. A payload whose ``ac`` is not a list is left as it is and both counts are null.
-    The list is parsed once, and the other fields once.
+    The list is parsed for its texts and for its positions, and the other fields once.
     """
+    at = F.from_json("payload", "ac array<struct<lat: string, lon: string>>")["ac"]
 
-    def inside(aircraft: Column) -> Column:
-        at = F.from_json(aircraft, "lat string, lon string")
-        return in_box(at["lat"].try_cast("double"), at["lon"].try_cast("double"))
+    def inside(pair: Column) -> Column:
+        return in_box(pair["at"]["lat"].try_cast("double"), pair["at"]["lon"].try_cast("double"))
 
+    pairs = F.filter(F.arrays_zip(F.col("_ac").alias("text"), at.alias("at")), inside)
     # The other top-level fields keep their JSON types as variants.
     rest = F.to_json(F.map_filter(F.from_json("payload", "map<string,variant>"), lambda k, _: k != "ac"))
-    tail = F.regexp_replace(F.nullif(rest, F.lit("{}")), r"^\{", ",")
-    trimmed = F.concat(F.lit('{"ac":['), F.concat_ws(",", "_kept"), F.lit("]"), F.coalesce(tail, F.lit("}")))
+    trimmed = F.concat(F.regexp_replace(rest, r"\}$", ","), F.lit('"ac":['), F.concat_ws(",", "_kept"), F.lit("]}"))
     listed = F.col("_ac").isNotNull()
     return (
         docs.withColumn("_ac", F.from_json("payload", "ac array<string>")["ac"])
-        .withColumn("_kept", F.filter("_ac", inside))
+        .withColumn("_kept", F.transform(pairs, lambda pair: pair["text"]))
         .withColumn("ac_total", F.when(listed, F.size("_ac")))
         .withColumn("ac_kept", F.when(listed, F.size("_kept")))
-        .withColumn("payload", F.when(listed, trimmed).otherwise(F.col("payload")))
+        .withColumn("payload", F.when(listed, F.regexp_replace(trimmed, r"^\{,", "{")).otherwise(F.col("payload")))
         .drop("_ac", "_kept")
     )
 

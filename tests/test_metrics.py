@@ -9,20 +9,34 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from skyframe.functions.ordering import running_totals, value_cells
+from skyframe.functions import ordering
+from skyframe.functions.ordering import running_totals
 from skyframe.operators import metrics, profile
 
 finite = st.floats(allow_nan=False, allow_infinity=False)
 few = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
-@few
-@given(values=st.lists(st.one_of(finite, st.floats(-2, 2), st.integers(-5, 5).map(float)), min_size=2, max_size=60))
-def test_cells_follow_the_order(spark, values):
-    block, cell = value_cells(F.col("x"))
-    rows = spark.createDataFrame([(v,) for v in values], "x double").select("x", block.alias("b"), cell.alias("c")).collect()
-    rows.sort(key=lambda r: r["x"])
-    assert [(r["b"], r["c"]) for r in rows] == sorted((r["b"], r["c"]) for r in rows)
+def test_close_values_are_spread_over_many_ranges(spark):
+    """A million values within one second: no window holds more than a few times its share."""
+    df = spark.range(1_000_000).select((F.lit(1.7e9) + F.col("id") / 1e6).alias("x"), F.lit(1).alias("n"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in ordering._ranges(df, [F.asc("x")]).groupBy("_range").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 4 and max(sizes) < 2 * 250_000
+    assert running_totals(df, "x", ["n"]).agg(F.max("n_upto"), F.sum(F.col("n_upto").cast("double"))).first()[0] == 1_000_000
+
+
+def test_numbers_follow_the_order(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice("ab"), rng.randrange(10**6)) for _ in range(3000)]
+    got = ordering.numbered(spark.createDataFrame(rows, "g string, x long").repartition(9), ["x"], "i", ["g"]).collect()
+    for g in "ab":
+        mine = sorted((r["i"], r["x"]) for r in got if r["g"] == g)
+        assert [i for i, _ in mine] == list(range(1, len(mine) + 1))
+        assert [x for _, x in mine] == sorted(x for h, x in rows if h == g)
 
 
 @pytest.mark.parametrize("descending", [False, True])
@@ -129,4 +143,4 @@ def test_describe_skips_nulls(spark):
 def test_histogram_closes_the_last_bin(spark):
     df = spark.createDataFrame([(float(v), 0) for v in (0, 1, 5, 10, 10)], "x double, Class int")
     bins = {r["bin"]: r["flights"] for r in profile.histogram_by_class(df, "x", 10).collect()}
-    assert bins == {0: 1, 1: 1, 5: 1, 9: 2}
+    assert bins == {**dict.fromkeys(range(10), 0), 0: 1, 1: 1, 5: 1, 9: 2}
