@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -197,30 +195,27 @@ def roc_points(spark, sf_dir):
     return points.select("threshold", F.round("fpr", 9).alias("fpr"), F.round("tpr", 9).alias("tpr"))
 
 
-# Models have no SQL twin: the queries below are checked by tests on their invariants.
-
-
-@cache
-def _split(spark, sf_dir) -> DataFrame:
-    return materialise(split_of(spark, sf_dir), "split")
+# What a fitted model answers has no SQL twin, but what must hold of the answers has: the queries
+# below return these facts, one row each, and only the raw measures of a fit go without a twin.
 
 
-def part(spark, sf_dir, name: str) -> DataFrame:
-    return _split(spark, sf_dir).where(F.col("split") == name).drop("split")
+# A point of the search grid: all trees at their full depth take too long for a check.
+FOREST_POINT = {"n_estimators": 100, "max_depth": 10}
 
 
-@cache
-def _model(spark, sf_dir, name: str) -> PipelineModel:
-    return models.fit(name, part(spark, sf_dir, "train"), fold_key=KEY, **FIT_PARAMS.get(name, {}))
+def parts(spark, sf_dir) -> dict[str, DataFrame]:
+    split = materialise(split_of(spark, sf_dir), "split")
+    return {n: split.where(F.col("split") == n).drop("split") for n in ("train", "val", "test")}
 
 
-# A point of the search grid whose depth bound keeps the forest small.
-FIT_PARAMS = {models.FOREST: {"n_estimators": 100, "max_depth": 10}}
+def logistic(train: DataFrame) -> PipelineModel:
+    return models.fit(models.LOGISTIC, train, fold_key=KEY)
 
 
-def _validated(spark, sf_dir, name: str) -> DataFrame:
-    scored = models.predict_batch(_model(spark, sf_dir, name), part(spark, sf_dir, "val"))
-    return metrics.classification_metrics(scored).withColumn("model", F.lit(name))
+def _validated(spark, sf_dir, name: str, **params) -> DataFrame:
+    of = parts(spark, sf_dir)
+    model = models.fit(name, of["train"], fold_key=KEY, **params)
+    return metrics.classification_metrics(models.predict_batch(model, of["val"])).withColumn("model", F.lit(name))
 
 
 @query()
@@ -230,7 +225,7 @@ def fit_logistic(spark, sf_dir):
 
 @query()
 def fit_forest(spark, sf_dir):
-    return _validated(spark, sf_dir, models.FOREST)
+    return _validated(spark, sf_dir, models.FOREST, **FOREST_POINT)
 
 
 @query()
@@ -238,83 +233,162 @@ def fit_boosting(spark, sf_dir):
     return _validated(spark, sf_dir, models.BOOSTING)
 
 
-@query()
+def facts(scored: DataFrame) -> list:
+    """What must hold of every scored record."""
+    p = F.col("probability_delayed")
+    label = F.when(F.col("predicted_class") == 1, "Delayed").otherwise("On-time")
+    return [
+        p.between(0, 1).alias("p_ok"),
+        (F.col("predicted_class") == (p >= 0.5).cast("int")).alias("class_ok"),
+        (F.col("predicted_label") == label).alias("label_ok"),
+    ]
+
+
+FACTS_SQL = "true AS p_ok, true AS class_ok, true AS label_ok"
+NAMES = ", ".join(f"('{n}')" for n in models.DEFAULTS)
+MEASURES = ("accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc")
+
+
+@query(f"SELECT model, true AS in_range, 1 AS selected FROM (VALUES {NAMES}) m(model)")
 def select_model(spark, sf_dir):
-    candidates = {n: _model(spark, sf_dir, n) for n in models.DEFAULTS}
-    best, results = models.select_model(candidates, part(spark, sf_dir, "val"))
-    rows = [(n, r["roc_auc"], r["f1"], n == best) for n, r in results.items()]
-    return spark.createDataFrame(rows, "model string, roc_auc double, f1 double, selected boolean")
+    of = parts(spark, sf_dir)
+    candidates = models.fit_candidates(of["train"], {models.FOREST: FOREST_POINT}, fold_key=KEY)
+    best, results = models.select_model(candidates, of["val"])
+    top = max(r["roc_auc"] for r in results.values())
+    chosen = sum(n == best and r["roc_auc"] == top for n, r in results.items())
+    rows = [(n, 0 <= r["roc_auc"] <= 1 and 0 <= r["f1"] <= 1, chosen) for n, r in results.items()]
+    return spark.createDataFrame(rows, "model string, in_range boolean, selected int")
 
 
-@query()
+def _points(name: str) -> str:
+    return ", ".join(f"('{str(p).replace(chr(39), chr(39) * 2)}')" for p in models.draw_params(name))
+
+
+@query(f"SELECT params, true AS in_range, true AS best_first FROM (VALUES {_points(models.LOGISTIC)}) p(params)")
 def random_search(spark, sf_dir):
-    found = models.random_search(models.LOGISTIC, part(spark, sf_dir, "train"), key=KEY)
-    rows = [(str(params), auc) for params, auc in found]
-    return spark.createDataFrame(rows, "params string, roc_auc double")
+    found = models.random_search(models.LOGISTIC, parts(spark, sf_dir)["train"], key=KEY)
+    aucs = [auc for _, auc in found]
+    rows = [(str(params), 0 <= auc <= 1, aucs == sorted(aucs, reverse=True)) for params, auc in found]
+    return spark.createDataFrame(rows, "params string, in_range boolean, best_first boolean")
 
 
 @query()
 def refit(spark, sf_dir):
-    model = models.refit(
-        models.LOGISTIC, {"C": 0.1}, part(spark, sf_dir, "train"), part(spark, sf_dir, "val"), fold_key=KEY
-    )
-    return metrics.classification_metrics(models.predict_batch(model, part(spark, sf_dir, "test")))
+    """The best point of the search, fitted to all but the test part."""
+    of = parts(spark, sf_dir)
+    params, _ = models.random_search(models.LOGISTIC, of["train"], key=KEY)[0]
+    model = models.refit(models.LOGISTIC, params, of["train"], of["val"], fold_key=KEY)
+    return metrics.classification_metrics(models.predict_batch(model, of["test"]))
 
 
-@query()
-def permutation_importance(spark, sf_dir):
-    model = _model(spark, sf_dir, models.LOGISTIC)
-    return models.permutation_importance(model, part(spark, sf_dir, "test"), key=KEY)
+COLUMNS_SQL = ", ".join(f"('{c}')" for c in ("Flight", *K.FEATURE_COLUMNS))
 
 
-@query()
-def predict_batch(spark, sf_dir):
-    return models.predict_batch(_model(spark, sf_dir, models.LOGISTIC), flights(spark, sf_dir))
+@query(f'SELECT c AS "column", c = \'Flight\' AS never_used, true AS in_range FROM (VALUES {COLUMNS_SQL}) t(c)')
+def permutation_importance(spark, sf_dir):
+    of = parts(spark, sf_dir)
+    found = models.permutation_importance(logistic(of["train"]), of["test"], key=KEY)
+    importance = F.col("importance")
+    # The model never sees the flight number, so shuffling it changes nothing; other columns may also come out at 0.
+    unused = (F.col("column") == "Flight") & (F.abs(importance) < 1e-12)
+    return found.select("column", unused.alias("never_used"), importance.between(-1, 1).alias("in_range"))
 
 
-def _saved(spark, sf_dir) -> str:
-    path = new_folder(spark, "model")
-    store.save_model(_model(spark, sf_dir, models.LOGISTIC), path)
-    return path
+@query(f"SELECT Flight, {FACTS_SQL} FROM flights")
+def predict_batch(spark, sf_dir):
+    scored = models.predict_batch(logistic(parts(spark, sf_dir)["train"]), flights(spark, sf_dir))
+    return scored.select("Flight", *facts(scored))
 
 
-@query()
+@query("SELECT Flight, true AS same FROM flights")
 def load_model(spark, sf_dir):
-    return models.predict_batch(store.load_model(_saved(spark, sf_dir)), part(spark, sf_dir, "test"))
+    """A model read back gives every flight the same probability."""
+    model, path = logistic(parts(spark, sf_dir)["train"]), new_folder(spark, "model")
+    store.save_model(model, path)
+    rows = flights(spark, sf_dir)
+    two = [
+        models.predict_batch(m, rows).select("Flight", F.col("probability_delayed").alias(f"p{i}"))
+        for i, m in enumerate((model, store.load_model(path)))
+    ]
+    return two[0].join(two[1], "Flight").select("Flight", (F.abs(F.col("p0") - F.col("p1")) < 1e-12).alias("same"))
 
 
-@query()
+@query(
+    f"""
+    SELECT m AS part, true AS in_range FROM (VALUES {", ".join(f"('{m}')" for m in MEASURES)}) a(m)
+    UNION ALL SELECT c, true FROM (VALUES {COLUMNS_SQL}) b(c)
+    """
+)
 def evaluate_saved(spark, sf_dir):
-    found, importance = models.evaluate_saved(_saved(spark, sf_dir), flights(spark, sf_dir), key=KEY)
-    one = F.to_json(F.struct(*found.columns))
-    return found.select(F.lit("test_metrics").alias("part"), one.alias("value")).unionByName(
-        importance.select(F.col("column").alias("part"), F.col("importance").cast("string").alias("value"))
+    path = new_folder(spark, "model")
+    store.save_model(logistic(parts(spark, sf_dir)["train"]), path)
+    found, importance = models.evaluate_saved(path, flights(spark, sf_dir), key=KEY)
+    measured = found.unpivot([], list(MEASURES), "part", "value").select("part", F.col("value").between(0, 1).alias("in_range"))
+    return measured.unionByName(
+        importance.select(F.col("column").alias("part"), F.col("importance").between(-1, 1).alias("in_range"))
     )
 
 
-@query()
+@query(f"SELECT 5 AS records, {FACTS_SQL}, true AS actual_ok")
 def prediction_vs_actual(spark, sf_dir):
-    return models.prediction_vs_actual(_model(spark, sf_dir, models.LOGISTIC), part(spark, sf_dir, "test"), key=KEY)
+    of = parts(spark, sf_dir)
+    shown = models.prediction_vs_actual(logistic(of["train"]), of["test"], key=KEY)
+    actual = F.when(F.col("actual_class") == 1, "Delayed").otherwise("On-time") == F.col("actual_label")
+    # Rounded to three places, a probability just under a half may read 0.5.
+    p = F.col("probability_delayed")
+    fits = F.when(p == 0.5, F.lit(True)).otherwise((p > 0.5).cast("int") == F.col("predicted_class"))
+    label = F.when(F.col("predicted_class") == 1, "Delayed").otherwise("On-time") == F.col("predicted_label")
+    return shown.agg(
+        F.count("*").cast("int").alias("records"),
+        F.every(p.between(0, 1)).alias("p_ok"),
+        F.every(fits).alias("class_ok"),
+        F.every(label).alias("label_ok"),
+        F.every(actual).alias("actual_ok"),
+    )
 
 
-@query()
+@query(f"SELECT Flight, run, {FACTS_SQL} FROM flights, (VALUES ('first'), ('second')) r(run)")
 def gold_scores(spark, sf_dir):
-    scored = models.predict_batch(_model(spark, sf_dir, models.LOGISTIC), part(spark, sf_dir, "test"))
-    return materialise(scored, "gold-scores")
+    """All flights scored by two runs, appended to one table."""
+    model, path = logistic(parts(spark, sf_dir)["train"]), new_folder(spark, "gold-scores")
+    for run in ("first", "second"):
+        scored = store.write_scores(models.predict_batch(model, flights(spark, sf_dir)), path, run)
+    return scored.select("Flight", F.col("run_id").alias("run"), *facts(scored))
+
+
+SIZES_SQL = """
+    WITH n AS (SELECT count(*) AS dataset FROM flights),
+    t AS (SELECT dataset, CAST(ceil(0.15 * dataset) AS bigint) AS test FROM n),
+    v AS (SELECT *, CAST(ceil(0.15 / 0.85 * (dataset - test)) AS bigint) AS val FROM t)
+    SELECT dataset, dataset - test - val AS train, val, test
+"""
 
 
-@query()
+def _recorded(runs: DataFrame) -> DataFrame:
+    return runs.select(
+        F.col("dataset_rows").alias("dataset"),
+        F.col("train_rows").alias("train"),
+        F.col("val_rows").alias("val"),
+        F.col("test_rows").alias("test"),
+        F.size("selection").alias("candidates"),
+    )
+
+
+@query(f"{SIZES_SQL}, 1 AS candidates FROM v")
 def append_run(spark, sf_dir):
-    scored = models.predict_batch(_model(spark, sf_dir, models.LOGISTIC), part(spark, sf_dir, "test"))
+    of = parts(spark, sf_dir)
+    scored = models.predict_batch(logistic(of["train"]), of["test"])
     measured = metrics.classification_metrics(scored).first().asDict()
-    sizes = {r["split"]: r["count"] for r in _split(spark, sf_dir).groupBy("split").count().collect()}
-    return store.append_run(
-        new_folder(spark, "model-runs"),
-        spark,
-        models.LOGISTIC,
-        {"C": 1.0},
-        {models.LOGISTIC: {"roc_auc": measured["roc_auc"], "f1": measured["f1"]}},
-        measured,
-        {},
-        {"dataset": sum(sizes.values()), **sizes},
+    sizes = {n: rows.count() for n, rows in of.items()}
+    return _recorded(
+        store.append_run(
+            new_folder(spark, "model-runs"),
+            spark,
+            models.LOGISTIC,
+            {"C": 1.0},
+            {models.LOGISTIC: {"roc_auc": measured["roc_auc"], "f1": measured["f1"]}},
+            measured,
+            {},
+            {"dataset": sum(sizes.values()), **sizes},
+        )
     )
