@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,10 @@ from skyframe import session
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Python workers started from now on look for this package where the driver found it."""
+    root, paths = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment.get("PYTHONPATH", "").split(":")
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = ":".join([root, *filter(None, paths)])
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
