@@ -19,10 +19,13 @@ def flights(spark, sf_dir) -> DataFrame:
     return view(spark, sf_dir, "flights")
 
 
-@query("SELECT * FROM flights")
+@query("SELECT * REPLACE (CASE WHEN Flight % 5 = 0 THEN Flight + 9007199254740993 ELSE Flight END AS Flight) FROM flights")
 def load_flights(spark, sf_dir):
     path = new_folder(spark, "flights")
-    flights(spark, sf_dir).write.option("header", True).csv(path)
+    # As text with a fraction, and beyond what a double holds: both must come back as they were.
+    big = F.when(F.col("Flight") % 5 == 0, F.col("Flight") + F.lit(9007199254740993)).otherwise(F.col("Flight"))
+    day = F.when(F.col("Flight") % 3 == 0, F.concat(F.col("DayOfWeek").cast("string"), F.lit(".0"))).otherwise(F.col("DayOfWeek").cast("string"))
+    flights(spark, sf_dir).withColumn("Flight", big).withColumn("DayOfWeek", day).write.option("header", True).csv(path)
     return source.load_flights(spark, path)
 
 
@@ -32,22 +35,28 @@ def requests_of(spark, sf_dir) -> DataFrame:
     return flights(spark, sf_dir).select(
         "Flight",
         F.when(n % 11 == 0, 1500.0).otherwise(F.col("Time")).alias("Time"),
-        F.when(n % 17 == 0, 0.0).otherwise(F.col("Length")).alias("Length"),
+        F.when(n % 17 == 0, 0.0).when(n % 31 == 0, float("nan")).otherwise(F.col("Length")).alias("Length"),
         F.when(n % 23 == 0, "   ").otherwise(F.lower("Airline")).alias("Airline"),
         F.when(n % 19 == 0, " JFK ").otherwise(F.lower("AirportFrom")).alias("AirportFrom"),
         "AirportTo",
-        F.when(n % 13 == 0, 9).otherwise(F.col("DayOfWeek")).alias("DayOfWeek"),
+        F.when(n % 13 == 0, 9.0).when(n % 29 == 0, 1.5).otherwise(F.col("DayOfWeek")).alias("DayOfWeek"),
     )
 
 
+def shown(checked: DataFrame) -> DataFrame:
+    """Not a number as null, which both engines compare alike."""
+    return checked.withColumn("Length", F.nanvl("Length", F.lit(None).cast("double")))
+
+
 CHECKED = """
     r AS (SELECT Flight, CASE WHEN Flight % 11 = 0 THEN 1500 ELSE Time END AS Time,
-        CASE WHEN Flight % 17 = 0 THEN 0 ELSE Length END AS Length,
+        CASE WHEN Flight % 17 = 0 THEN 0 WHEN Flight % 31 = 0 THEN NULL ELSE Length END AS Length,
         CASE WHEN Flight % 23 = 0 THEN '' ELSE Airline END AS Airline,
         CASE WHEN Flight % 19 = 0 THEN 'JFK' ELSE AirportFrom END AS AirportFrom, AirportTo,
-        CASE WHEN Flight % 13 = 0 THEN 9 ELSE DayOfWeek END AS DayOfWeek,
-        concat_ws(',', CASE WHEN Flight % 19 = 0 THEN 'AirportFrom' END, CASE WHEN Flight % 13 = 0 THEN 'DayOfWeek' END,
-          CASE WHEN Flight % 17 = 0 THEN 'Length' END, CASE WHEN Flight % 11 = 0 THEN 'Time' END) AS reasons
+        CAST(CASE WHEN Flight % 13 = 0 THEN 9 WHEN Flight % 29 = 0 THEN 1.5 ELSE DayOfWeek END AS double) AS DayOfWeek,
+        concat_ws(',', CASE WHEN Flight % 19 = 0 THEN 'AirportFrom' END,
+          CASE WHEN Flight % 13 = 0 OR Flight % 29 = 0 THEN 'DayOfWeek' END,
+          CASE WHEN Flight % 17 = 0 OR Flight % 31 = 0 THEN 'Length' END, CASE WHEN Flight % 11 = 0 THEN 'Time' END) AS reasons
       FROM flights)
 """
 
@@ -55,7 +64,7 @@ CHECKED = """
 @query(f"WITH {CHECKED} SELECT * FROM r")
 def validate_requests(spark, sf_dir):
     checked = requests.check_requests(requests_of(spark, sf_dir))
-    return checked.withColumn("reasons", F.concat_ws(",", "reasons"))
+    return shown(checked).withColumn("reasons", F.concat_ws(",", "reasons"))
 
 
 @query(f"WITH {CHECKED} SELECT * EXCLUDE (reasons) FROM r WHERE reasons = ''")

@@ -41,6 +41,21 @@ def resolve_airline(spark, sf_dir):
     return star.resolve_airline(facts, *dims(spark, sf_dir))
 
 
+MIXED_CASE = "(SELECT id, concat('A', icao24) AS icao24, lower(callsign) AS callsign FROM positions)"
+
+
+@query(
+    resolved(MIXED_CASE)
+    .replace("ac.icao24 = f.icao24", "concat('a', ac.icao24) = lower(f.icao24)")
+    .replace("nullif(substr(trim(f.callsign)", "nullif(substr(trim(upper(f.callsign))")
+)
+def resolve_airline_any_case(spark, sf_dir):
+    """Addresses sent in upper case find the register's lower-case ones, and callsigns in lower case their airline."""
+    facts = view(spark, sf_dir, "positions").select("id", F.concat(F.lit("A"), "icao24").alias("icao24"), F.lower("callsign").alias("callsign"))
+    aircraft, airlines = dims(spark, sf_dir)
+    return star.resolve_airline(facts, aircraft.withColumn("icao24", F.concat(F.lit("a"), "icao24")), airlines)
+
+
 @query(
     f"""
     SELECT name, count(*) AS flights FROM ({resolved("(SELECT icao24, callsign FROM positions)")}) r

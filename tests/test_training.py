@@ -60,6 +60,29 @@ def test_load(spark):
     assert tuple(df.first()) == (1, 10.0, 20.5, "AA", "JFK", "LAX", 3, 0, "x")
 
 
+def test_integers_are_kept_whole(spark):
+    row = "9007199254740993,10,20.5,AA,JFK,LAX,3.0,0"
+    df = source.load_flights(spark, write_csv(spark, f"{HEADER}\n{row}\n"))
+    assert (df.first()["Flight"], df.first()["DayOfWeek"]) == (9007199254740993, 3)
+    with pytest.raises(source.InvalidDataset):
+        source.load_flights(spark, write_csv(spark, f"{HEADER}\n1,10,20.5,AA,JFK,LAX,1.9,0\n"))
+
+
+def test_fractional_days_are_refused(spark):
+    rows = records(spark, {}).withColumn("DayOfWeek", F.lit(1.5))
+    assert requests.check_requests(rows).first()["reasons"] == ["DayOfWeek"]
+
+
+def test_trees_take_more_categories_than_bins(spark):
+    rows = spark.range(1200).select(
+        F.col("id").alias("Flight"), (F.col("id") % 1440).cast("double").alias("Time"), F.lit(60.0).alias("Length"),
+        F.concat(F.lit("C"), (F.col("id") % 300).cast("string")).alias("Airline"),
+        F.lit("AAA").alias("AirportFrom"), F.lit("BBB").alias("AirportTo"), F.lit(1).alias("DayOfWeek"), (F.col("id") % 2).cast("int").alias("Class"),
+    )
+    model = models.fit(models.BOOSTING, rows, max_iter=1)
+    assert models.predict_batch(model, rows).count() == 1200
+
+
 @pytest.mark.parametrize("cell", ["", "NA", "NaN", "null"])
 def test_load_refuses_missing_values(spark, cell):
     for row in (f"1,10,20,{cell},JFK,LAX,3,0", f"1,{cell},20,AA,JFK,LAX,3,0"):
@@ -81,6 +104,8 @@ def test_load_refuses_missing_columns(spark):
         ({"Time": None}, ["Time"]),
         ({"Length": 0.0}, ["Length"]),
         ({"DayOfWeek": 9}, ["DayOfWeek"]),
+        ({"Length": float("nan")}, ["Length"]),
+        ({"Time": float("nan")}, ["Time"]),
         ({"Airline": ""}, ["Airline"]),
         ({"Airline": "12345678901"}, ["Airline"]),
         ({"AirportFrom": " JFK "}, ["AirportFrom"]),
