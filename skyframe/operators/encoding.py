@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasLabelCol, HasOutputCols
 from pyspark.ml.util import (
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from skyframe import constants as K
 from skyframe.functions.columns import day_bucket, is_weekend
+from skyframe.functions.ordering import numbered
 from skyframe.operators.split import content_md5
 from skyframe.session import materialise
 
@@ -80,35 +81,17 @@ class OrdinalEncoder(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWr
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> OrdinalEncoderModel:
-        indexer = StringIndexer(
-            inputCols=self.getInputCols(),
-            outputCols=self.getOutputCols(),
-            stringOrderType="alphabetAsc",
-            handleInvalid="keep",
-        ).fit(df)
-        model = OrdinalEncoderModel()
-        return model._set(
-            inputCols=self.getInputCols(),
-            outputCols=self.getOutputCols(),
-            categories=[list(labels) for labels in indexer.labelsArray],
-        )
-
-
-class OrdinalEncoderModel(Model, _Columns, DefaultParamsReadable, DefaultParamsWritable):
-    categories = Param(Params._dummy(), "categories", "sorted categories per column", TypeConverters.identity)
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        categories = self.getOrDefault("categories")
-        indexer = StringIndexerModel.from_arrays_of_labels(
-            categories, self.getInputCols(), self.getOutputCols(), handleInvalid="keep"
-        )
-        coded = indexer.transform(df)
-        return coded.withColumns(
-            {
-                o: F.when(F.col(o) == len(seen), -1.0).otherwise(F.col(o))
-                for o, seen in zip(self.getOutputCols(), categories)
-            }
+        cols = self.getInputCols()
+        seen = (
+            df.select(*[F.col(c).cast("string").alias(c) for c in cols])
+            .unpivot([], cols, "column", "category")
+            .where(F.col("category").isNotNull())
+            .distinct()
         )
+        codes = numbered(seen, ["category"], "_code", ["column"])
+        model = OrdinalEncoderModel()._set(inputCols=cols, outputCols=self.getOutputCols(), overall=-1.0)
+        model.table = materialise(codes.select("column", "category", (F.col("_code") - 1.0).alias("encoding")), "category-codes")
+        return model
 
 
 def fold_of(columns: Sequence[str], seed: int = K.SEED, folds: int = FOLDS, key: Sequence[str] = ()) -> Column:
@@ -228,8 +211,10 @@ def _encode(
     return df
 
 
-class TargetMeanEncoderModel(Model, _Columns, MLWritable, MLReadable):
-    overall = Param(Params._dummy(), "overall", "overall target mean", TypeConverters.toFloat)
+class _TableModel(Model, _Columns, MLWritable, MLReadable):
+    """A model that is a table of (column, category, encoding); the driver never holds the categories."""
+
+    overall = Param(Params._dummy(), "overall", "encoding of an unseen category", TypeConverters.toFloat)
     table: DataFrame
 
     def _transform(self, df: DataFrame) -> DataFrame:
@@ -250,8 +235,16 @@ class TargetMeanEncoderModel(Model, _Columns, MLWritable, MLReadable):
         return _TableReader(cls)
 
 
+class TargetMeanEncoderModel(_TableModel):
+    """Smoothed means per category; the overall mean for an unseen one."""
+
+
+class OrdinalEncoderModel(_TableModel):
+    """Positions among the sorted categories; -1 for an unseen or missing one."""
+
+
 class _TableWriter(MLWriter):
-    def __init__(self, instance: TargetMeanEncoderModel):
+    def __init__(self, instance: _TableModel):
         super().__init__()
         self.instance = instance
 
@@ -265,7 +258,7 @@ class _TableReader(MLReader):
         super().__init__()
         self.cls = cls
 
-    def load(self, path: str) -> TargetMeanEncoderModel:
+    def load(self, path: str) -> _TableModel:
         metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
         model = self.cls()
         model._resetUid(metadata["uid"])
