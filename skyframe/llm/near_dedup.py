@@ -3,7 +3,7 @@
 Texts with equal shingle sets are one node from the start. In each bucket of a band all nodes
 are first held against one pivot, the node that shares most buckets with others. Only buckets
 that then still span several components are searched further, in blocks of bounded size inside
-tasks; what a block emits are the pairs whose signatures agree, never all pairs.
+tasks; what a block emits are links that join components, never all pairs.
 """
 
 from __future__ import annotations
@@ -129,8 +129,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, share: int) ->
             good = []
             for i, (u, v) in enumerate(both):
                 a, b = shingles(u, shingle), shingles(v, shingle)
-                common = len(a) + len(b) - len(np.union1d(a, b))
-                if 100 * common >= share * (len(a) + len(b) - common):
+                if _shares_enough(a, b, share):
                     good.append(i)
             good = pa.array(good, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(good), batch.column(1).take(good)], ["u", "v"])
@@ -138,60 +137,90 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, share: int) ->
     return rows.mapInArrow(confirm, rows.select("u", "v").schema)
 
 
-def _in_other_component(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends are not yet known to belong together."""
-    side = {n: labels.select(F.col("node").alias(n), F.col("component").alias(f"of_{n}")) for n in ("u", "v")}
-    rows = pairs.join(side["u"], "u", "left").join(side["v"], "v", "left")
-    return rows.where(F.coalesce("of_u", "u") != F.coalesce("of_v", "v")).select(*pairs.columns)
+def _shares_enough(a: np.ndarray, b: np.ndarray, share: int) -> bool:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= share * (len(a) + len(b) - common)
 
 
-def _block_pairs(shared: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """``u, v`` of nodes in one bucket and two components whose signatures agree, from blocks.
+def _block_links(shared: DataFrame, nodes: DataFrame, labels: DataFrame, texts: DataFrame, shingle: int, share: int) -> DataFrame:
+    """Links ``u, v`` between nodes in one bucket and two components, one at least for any two components linked there.
 
-    Sets that differ in size by more than a quarter are no link, so a bucket is first parted by
-    size: a node goes to the class of its size and the next one up, and a pair meets where either
-    end belongs by its own size. Larger groups are dealt into blocks, and every two blocks meet.
+    Of two nodes in different components, one is outside the largest component of the bucket: a
+    probe. Probes look for partners among all members whose sizes can be within a quarter of
+    theirs. Both are dealt into blocks, so no task holds a whole bucket; a pair is tried in the
+    first bucket that its ends share. Pairs whose signatures agree are confirmed on their full
+    sets on the spot, the most alike first, until a probe has a link to each component.
     """
     labelled = shared.select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    parts = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
     open_keys = (
-        labelled.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("n"))
-        .where("a <> b AND n > 2").select("key")
-    )
-    level = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(1.25))).cast("int")
-    members = labelled.join(open_keys, "key").join(nodes.select("node", "n_shingles", "minima"), "node")
-    members = materialise(members.withColumn("level", F.explode(F.array(level, level + 1))), "open-buckets")
-    sizes = (
-        members.groupBy("key", "level")
-        .agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b"))
-        .where("a <> b")
-        .select("key", "level", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        parts.groupBy("key")
+        .agg(F.count("*").alias("components"), F.sum("n").alias("n"), F.max_by("component", F.struct("n", "component")).alias("largest"))
+        .where("components > 1 AND n > 2")
+        .select("key", "largest")
     )
-    placed = members.join(sizes, ["key", "level"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.withColumns({"left": F.least("own", "other"), "right": F.greatest("own", "other")})
-    groups = met.groupBy("key", "level", "left", "right").agg(
-        F.collect_list(F.struct("node", "component", "minima")).alias("members")
+    level = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(1.25))).cast("int")
+    members = materialise(
+        labelled.join(open_keys, "key")
+        .join(nodes.select("node", "n_shingles", "minima", "bands"), "node")
+        .join(texts.select("node", "text"), "node")
+        .select("key", level.alias("level"), "node", "component", "minima", "bands", "text", (F.col("component") != F.col("largest")).alias("probe")),
+        "open-buckets",
     )
+    places = members.where("probe").withColumn("level", F.explode(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1)))
+
+    def chunks(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("key", "level").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
+
+    sizes = chunks(members, "members").join(chunks(places, "probes"), ["key", "level"])
+
+    def dealt(rows: DataFrame, own: str, other: str, asks: bool) -> DataFrame:
+        """Each row in one block of its own side, against every block of the other."""
+        return rows.join(sizes, ["key", "level"]).select(
+            "key", "level",
+            F.pmod(F.xxhash64("node"), F.col(own)).cast("int").alias(own),
+            F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other),
+            F.struct("node", "component", "minima", "bands", "probe", F.lit(asks).alias("asks"), "text").alias("row"),
+        )
+
+    both = dealt(members, "members", "probes", False).unionByName(dealt(places, "probes", "members", True))
+    groups = both.groupBy("key", "level", "members", "probes").agg(F.collect_list("row").alias("rows"))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(0)
-            for i in range(len(column)):
-                if not column[i].is_valid:
-                    continue
-                node, component, minima = column[i].values.flatten()
+            keys, column = batch.column(0).to_pylist(), batch.column(1)
+            for i, key in enumerate(keys):
+                node, component, minima, bands, probe, asks, text = column[i].values.flatten()
+                names, probe, asks = node.to_pylist(), probe.to_numpy(zero_copy_only=False), asks.to_numpy(zero_copy_only=False)
                 code = component.dictionary_encode().indices.to_numpy()
-                sets = np.frombuffer(b"".join(minima.to_pylist()), np.uint16).reshape(-1, HASHES)
-                for j in range(len(sets) - 1):
-                    near = np.flatnonzero(code[j + 1 :] != code[j]) + j + 1
-                    near = near[(sets[near] == sets[j]).sum(axis=1) >= LEAST_AGREEMENT]
-                    if len(near):
-                        mine = pa.array(np.full(len(near), j))
-                        yield pa.RecordBatch.from_arrays([node.take(mine), node.take(pa.array(near))], ["u", "v"])
+                least = np.frombuffer(b"".join(minima.to_pylist()), np.uint16).reshape(-1, HASHES)
+                buckets = np.array(bands.to_pylist(), np.int64)
+                sets: dict[int, np.ndarray] = {}
+
+                def set_of(k: int) -> np.ndarray:
+                    if k not in sets:
+                        sets[k] = shingles(next(word_hashes(as_bytes(text.slice(k, 1)))), shingle)
+                    return sets[k]
+
+                answers, found = np.flatnonzero(~asks), []
+                for j in np.flatnonzero(asks):
+                    near = answers[code[answers] != code[j]]
+                    agree = (least[near] == least[j]).sum(axis=1)
+                    near = near[np.argsort(-agree, kind="stable")][: int((agree >= LEAST_AGREEMENT).sum())]
+                    # Each pair has a bucket in common: this one.
+                    near = near[buckets[j][(buckets[near] == buckets[j]).argmax(axis=1)] == key]
+                    linked: set[int] = set()
+                    for k in near.tolist():
+                        if code[k] in linked or (probe[k] and names[j] > names[k]):
+                            continue
+                        if _shares_enough(set_of(j), set_of(k), share):
+                            linked.add(code[k])
+                            found.append((names[j], names[k]))
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, node.type) for x in zip(*found, strict=True)], ["u", "v"])
 
     kind = nodes.schema["node"].dataType
-    found = groups.select("members").mapInArrow(search, T.StructType([T.StructField("u", kind), T.StructField("v", kind)]))
-    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    return groups.select("key", "rows").mapInArrow(search, T.StructType([T.StructField("u", kind), T.StructField("v", kind)]))
 
 
 def near_duplicates(
@@ -225,18 +254,12 @@ def near_duplicates(
     wanted = shared.select("node").distinct().join(nodes.select("node", "text_hash"), "node")
     texts = materialise(named.join(wanted.distinct(), ["node", "text_hash"]), "bucket-texts")
 
-    # The most alike pivot of each node first; most other pairs then lie inside a component.
-    best = likely.groupBy("u").agg(F.max_by("v", F.struct("agree", "v")).alias("v"))
-    links = materialise(_confirmed(best, texts, shingle, share), "confirmed-links")
-    labels = materialise(connected_components(links), "components")
-    rest = _confirmed(_in_other_component(likely, labels), texts, shingle, share)
-    links = links.unionByName(materialise(rest, "more-links"))
-    labels = materialise(connected_components(links), "components")
-    across = materialise(_block_pairs(shared, nodes, labels), "block-links")
-    tested = likely.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    last = _confirmed(across.join(tested, ["u", "v"], "left_anti"), texts, shingle, share)
-    links = links.unionByName(materialise(last, "last-links"))
+    links = materialise(_confirmed(likely, texts, shingle, share), "confirmed-links")
     labels = materialise(connected_components(links), "components")
+    last = materialise(_block_links(shared, nodes, labels, texts, shingle, share), "block-links")
+    if not last.isEmpty():
+        known = labels.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        labels = materialise(connected_components(known.unionByName(last)), "components")
 
     of_set = materialise(
         nodes.select("set_1", "set_2", "node")
@@ -257,7 +280,13 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of their component, with all their columns."""
     found = near_duplicates(docs, shingle, share, id_col, text_col)
-    kept = found.where(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("_id"), F.col("text_hash").alias("_text_hash"))
+    kept = found.where(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("of_id"), F.col("text_hash").alias("of_text_hash"))
     kept = materialise(kept.distinct(), "kept")
-    text_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_id")) & (text_hash == F.col("_text_hash")), "left_semi")
+    # Carried columns travel in one struct, so that no name of theirs can clash.
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col(id_col).alias("id"),
+        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"),
+    )
+    same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_text_hash"))
+    return rows.join(kept, same, "left_semi").select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
