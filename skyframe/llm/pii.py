@@ -8,7 +8,6 @@ phone numbers without a country code. It looks at the surroundings of digits, ``
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -404,7 +403,3 @@ def written_spans(spans):
     order = F.array(*[F.lit(k) for k in KINDS])
     ranked = F.transform(spans, lambda s: F.struct(F.array_position(order, s["kind"]).alias("rank"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
     return F.array_join(F.transform(F.array_sort(ranked), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-
-
-def digest(spans: list[Span]) -> str:
-    return hashlib.sha256(written(spans).encode()).hexdigest()

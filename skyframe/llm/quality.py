@@ -93,8 +93,8 @@ def shares() -> dict[str, Column]:
     }
 
 
-def fences(measured: DataFrame, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Lowest and highest value allowed per group, and over all groups.
+def fences(measured: DataFrame, by: Sequence[str]) -> tuple[DataFrame, dict[str, float]]:
+    """Lowest and highest value allowed per group, and over all groups (a few numbers).
 
     One mergeable quantile sketch per group and measure; the sketches of the groups are merged
     for the whole. Documents that fail the fixed base rules do not shape the thresholds.
@@ -117,7 +117,8 @@ def fences(measured: DataFrame, by: Sequence[str]) -> tuple[DataFrame, DataFrame
     )
     groups = sketches.where(F.col("_n") >= GROUP_ROWS).select(*by, *ends(sketches, "group"))
     whole = sketches.agg(F.sum("_n").alias("_n"), *[F.kll_merge_agg_double(f"_{n}").alias(f"_{n}") for n in MARGINS])
-    return groups, whole.where(F.col("_n") > 0).select(*ends(whole, "all"))
+    overall = whole.where(F.col("_n") > 0).select(*ends(whole, "all")).first()
+    return groups, overall.asDict() if overall else {}
 
 
 ADDED = ["n_words", "word_chars", "n_lines", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -142,11 +143,10 @@ def quality_verdicts(
     groups, whole = fences(measured, keys)
     limits = groups.select(*[F.col(k).alias(f"of_{k}") for k in keys], *groups.columns[len(by) :])
     same = [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys]
-    # One row of thresholds holds for all: a broadcast of a single row.
-    judged = measured.join(limits, same, "left").join(F.broadcast(whole), F.lit(True), "left")
+    judged = measured.join(limits, same, "left")
     passes = F.lit(True)
     for name, share in shares().items():
-        least, most = [F.coalesce(f"group_{name}_{e}", f"all_{name}_{e}") for e in ("least", "most")]
+        least, most = [F.coalesce(F.col(f"group_{name}_{e}"), F.lit(whole.get(f"all_{name}_{e}"))) for e in ("least", "most")]
         passes = passes & (share >= least) & (share <= most)
     failed = base_failed()
     return judged.withColumns(
