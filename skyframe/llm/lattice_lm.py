@@ -32,6 +32,8 @@ PRIOR = 1_000.0
 TASK_WORDS = 300_000
 #: The most frequent words, at most this many, go to all tasks; all others are joined.
 DICTIONARY = 1 << 20
+#: Words of one length that are scored together.
+GROUP = 8_192
 #: Words of more bytes are scored one by one.
 LONG_WORD = 48
 LN10 = math.log(10.0)
@@ -117,6 +119,8 @@ class Lattice:
         for e in range(1, length + 1):
             for s in range(max(0, e - self.longest), e):
                 rows, ids = arcs[s, e]
+                if not len(rows):
+                    continue
                 alpha[e, rows] = np.logaddexp(alpha[e, rows], alpha[s, rows] + self.logp[ids])
         return alpha
 
@@ -140,7 +144,7 @@ class Lattice:
                 way = self.logp[ids] + beta[e, rows]
                 beta[s, rows] = np.logaddexp(beta[s, rows], way)
                 share = np.exp(alpha[s, rows] + way - alpha[length, rows]) * counts[rows]
-                into += np.bincount(ids, share, len(into))
+                np.add.at(into, ids, share)
 
     def long_arcs(self, word: bytes) -> Iterator[list[tuple[int, int]]]:
         for e in range(1, len(word) + 1):
@@ -180,8 +184,8 @@ def by_length(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray | None,
     order = np.argsort(sizes, kind="stable")
     for size in np.unique(sizes):
         lo, hi = np.searchsorted(sizes[order], [size, size + 1])
-        for at in range(lo, hi, 4096):
-            rows = order[at : min(hi, at + 4096)]
+        for at in range(lo, hi, GROUP):
+            rows = order[at : min(hi, at + GROUP)]
             chosen = [b" " + words[i] for i in rows]
             if size >= LONG_WORD:
                 yield rows, None, chosen
@@ -200,15 +204,14 @@ def count_words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         train: Counter[bytes] = Counter()
         other: Counter[bytes] = Counter()
 
-        def out() -> pa.RecordBatch:
-            words = list(train.keys() | other.keys())
-            n = [train[w] for w in words]
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array(n, pa.int64()), pa.array([a + other[w] for a, w in zip(n, words, strict=True)], pa.int64())],
-                ["word", "n_train", "n_all"],
-            )
-            train.clear(), other.clear()
-            return batch
+        def out() -> Iterator[pa.RecordBatch]:
+            # One row per word and side; Spark adds the sides up.
+            for side, share in ((train, 1), (other, 0)):
+                n = np.fromiter(side.values(), np.int64, len(side))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(side), pa.binary()), pa.array(n * share), pa.array(n)], ["word", "n_train", "n_all"]
+                )
+                side.clear()
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
@@ -216,8 +219,8 @@ def count_words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 into.update(text.lower().split())
                 into[b""] += 1
                 if len(train) + len(other) > TASK_WORDS:
-                    yield out()
-        yield out()
+                    yield from out()
+        yield from out()
 
     return (
         docs.select(id_col, text_col)
