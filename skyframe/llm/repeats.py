@@ -8,7 +8,7 @@ the names of two halves h apart, the pair that prefix doubling sorts, and rounds
 
 * 24 bytes: anchors whose string occurs once are done;
 * the whole stretch of windows that chose an anchor: all but its first occurrence are removed;
-* 82 bytes, around the anchors that are left: parts shared by no other anchor are done;
+* 88 bytes, around the anchors that are left: parts shared by no other anchor are done;
 * 100 bytes, the threshold: windows that occurred before are removed.
 
 Spark sorts names and places over all tasks, which may part a large group, so a passage in
@@ -34,10 +34,10 @@ LENGTH = 100
 ANCHOR = 24
 #: Windows are told apart by how far in their anchor lies, in steps of this; the bytes that all
 #: windows of a step share are ``LENGTH - STEP + 1`` long.
-STEP = 19
+STEP = 13
 SHARED = LENGTH - STEP + 1
 #: Bytes handled at once; a longer text is cut into stretches that overlap.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 #: The filter of repeated anchors holds this many bits (16 MB), whatever the number of documents.
 #: A false hit costs a row, never a result.
 FILTER_BITS = 27
@@ -88,7 +88,7 @@ def stretches(texts: Iterator[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
             part = text[at : at + CHUNK + LENGTH - 1]
             if len(part) < LENGTH:
                 continue
-            if size and size + len(part) > 2 * CHUNK:
+            if size and size + len(part) > CHUNK:
                 yield held
                 held, size = [], 0
             held.append((i, at, part))
@@ -263,52 +263,72 @@ def _firsts(rows: DataFrame, keys: list[str], start: str, label: str, only_first
     edge = [f"edge_{k}" for k in keys]
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, last, held = TaskContext.get().partitionId(), None, None
-
-        def out(batch: pa.RecordBatch, new: np.ndarray, begins: bool, ends: bool) -> pa.RecordBatch:
-            at_edge = np.zeros(len(new), bool)
-            at_edge[0], at_edge[-1] = begins, ends or (begins and len(new) == 1)
-            first = pa.array(new)
+        task, last, held, lead = TaskContext.get().partitionId(), None, None, True
+
+        def out(batch: pa.RecordBatch, first: np.ndarray, early: np.ndarray, begins: bool, ends: bool) -> pa.RecordBatch:
+            edges = np.full(len(first), -1, np.int32)
+            edges[-1] = 1 if ends else -1
+            edges[0] = 0 if begins else edges[0]
+            at_edge = pa.array(edges >= 0)
+            mask = pa.array(first)
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
-            columns = [pc.if_else(first, x, pa.scalar(None, x.type)) if c in only_first else x for c, x in zip(kept, columns, strict=True)]
-            keyed = [pc.if_else(pa.array(at_edge), batch.column(batch.schema.get_field_index(k)), pa.scalar(None, pa.int64())) for k in keys]
-            place = np.where(at_edge, np.arange(len(new)) + (0 if begins else 1), -1)
+            columns = [pc.if_else(mask, x, pa.scalar(None, x.type)) if c in only_first else x for c, x in zip(kept, columns, strict=True)]
+            keyed = [pc.if_else(at_edge, batch.column(batch.schema.get_field_index(k)), pa.scalar(None, pa.int64())) for k in keys]
             return pa.RecordBatch.from_arrays(
-                [*columns, first, pa.array(np.full(len(new), task, np.int32)), pa.array(place.astype(np.int32)), *keyed],
-                [*kept, "first", "task", "edge", *edge],
+                [*columns, mask, pa.array(np.full(len(first), task, np.int32)), pa.array(early), pa.array(edges), *keyed],
+                [*kept, "first", "task", "early", "edge", *edge],
             )
 
         begins = True
         for batch in batches:
-            if not batch.num_rows:
+            n = batch.num_rows
+            if not n:
                 continue
             values = [batch.column(batch.schema.get_field_index(k)).to_numpy() for k in keys]
-            new = np.ones(batch.num_rows, bool)
+            new = np.ones(n, bool)
             new[1:] = np.logical_or.reduce([v[1:] != v[:-1] for v in values])
+            ids, at = batch.column(batch.schema.get_field_index("id")), batch.column(batch.schema.get_field_index(start)).to_numpy()
+            moved = np.ones(n, bool)
+            moved[1:] = (at[1:] != at[:-1]) | ~_equal(ids.slice(1), ids.slice(0, n - 1))
             if last is not None:
-                new[0] = any(v[0] != x for v, x in zip(values, last, strict=True))
-            last = [v[-1] for v in values]
+                new[0] = any(v[0] != x for v, x in zip(values, last[0], strict=True))
+                moved[0] = new[0] or at[0] != last[1] or not _equal(ids.slice(0, 1), last[2])[0]
+            # Rows at one place are one: all of them are first, or none.
+            run = np.maximum.accumulate(np.where(new | moved, np.arange(n), -1))
+            first = np.where(run >= 0, new[run], last[3] if last is not None else True)
+            early = np.full(n, False)
+            if lead:
+                ahead = np.flatnonzero((new | moved) & (np.arange(n) + (last is not None) > 0))
+                early[: ahead[0] if len(ahead) else n] = True
+                lead = not len(ahead)
+            last = [v[-1] for v in values], at[-1], ids.slice(n - 1), bool(first[-1])
             if held is not None:
                 yield out(*held, begins, False)
                 begins = False
-            held = batch, new
+            held = batch, first, early
         if held is not None:
             yield out(*held, begins, True)
 
-    more = [("first", T.BooleanType()), ("task", T.IntegerType()), ("edge", T.IntegerType()), *[(e, T.LongType()) for e in edge]]
+    more = [("first", T.BooleanType()), ("task", T.IntegerType()), ("early", T.BooleanType()), ("edge", T.IntegerType()), *[(e, T.LongType()) for e in edge]]
     ordered = rows.repartitionByRange(*by).sortWithinPartitions(*by)
     marked = materialise(ordered.mapInArrow(mark, schema_of(rows.select(*kept), *more)), label)
-    # Two rows per task at most: where it begins (edge 0) and where it ends.
-    begun, wrong, before = set(), [], None
+    # Two rows per task at most: where it begins (edge 0) and where it ends. One row can be both.
+    wrong, before = [], None
     for r in sorted(marked.where("edge >= 0").select("task", "edge", *edge).collect(), key=lambda r: (r["task"], r["edge"])):
-        if r["task"] not in begun and before == tuple(r[e] for e in edge):
+        own = tuple(r[e] for e in edge)
+        if r["edge"] == 0 and own == before:
             wrong.append(r["task"])
-        begun.add(r["task"])
-        before = tuple(r[e] for e in edge)
-    inside = F.col("edge").eqNullSafe(0) & F.col("task").isin(wrong)
+        before = own
+    inside = F.col("early") & F.col("task").isin(wrong)
     return marked.withColumn("first", F.col("first") & ~inside).select(*kept, "first")
 
 
+def _equal(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Whether values are equal, or both null."""
+    same = pc.fill_null(pc.equal(a, b), False)
+    return pc.or_(same, pc.and_(pc.is_null(a), pc.is_null(b))).to_numpy(zero_copy_only=False)
+
+
 def _same_text(keys: DataFrame):
     return F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_text_hash"))
 
