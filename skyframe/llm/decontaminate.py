@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,8 +23,10 @@ WINDOW = 13
 BLOCK_BYTES = 16 << 20
 #: Bytes of documents in one suffix array.
 SHARD_BYTES = 4 << 20
-#: Words of a suffix that the arrays are sorted by.
+#: Words of a suffix that the arrays are sorted by; longer matches sort what is tied by the next so many words.
 DEPTH = 32
+#: Test suffixes that are compared at once.
+COMPARED = 1 << 16
 
 #: Word bytes are digits, letters (in lower case) and all bytes of non-ASCII characters.
 FOLD = bytes(
@@ -41,6 +44,30 @@ def rows_as_keys(matrix: np.ndarray) -> np.ndarray:
     return wide.view(f"S{4 * wide.shape[1]}").ravel()
 
 
+def rows_at(ids: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    """The ``depth`` word numbers from each place on; words after the first zero belong to no common run."""
+    rows = ids[at[:, None] + np.arange(depth)].astype(np.uint32)
+    rows[np.maximum.accumulate(rows == 0, axis=1)] = 0
+    return rows
+
+
+def grouped_keys(group: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    return rows_as_keys(np.column_stack([group.astype(np.uint32), rows]))
+
+
+def smallest_within(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """The smallest of ``values[lo:hi]`` for every pair; none is empty. Each step doubles the reach of the minima."""
+    out = np.empty(len(lo), values.dtype)
+    level = np.frexp(hi - lo)[1] - 1
+    reach = values
+    for step in range(int(level.max(initial=-1)) + 1):
+        if step:
+            reach = np.minimum(reach[: -(1 << step - 1)], reach[1 << step - 1 :])
+        mine = np.flatnonzero(level == step)
+        out[mine] = np.minimum(reach[lo[mine]], reach[hi[mine] - (1 << step)])
+    return out
+
+
 @dataclass
 class TestSet:
     """A block of test items: word numbers, every suffix, and the windows among them."""
@@ -54,6 +81,8 @@ class TestSet:
     suffixes: np.ndarray
     suffix_item: np.ndarray
     suffix_start: np.ndarray
+    words: np.ndarray
+    suffix_place: np.ndarray
     window_low: np.ndarray
     window_high: np.ndarray
     window_size: np.ndarray
@@ -82,6 +111,9 @@ def build_test_set(items: list[tuple[str, bytes]], window: int) -> TestSet:
     for r, w in enumerate(windows):
         low[r, : len(w)] = high[r, : len(w)] = w
     matrix = np.array(suffixes, np.uint32).reshape(-1, depth)
+    # A zero ends each item, and enough of them the last one.
+    first = np.concatenate([[0], np.cumsum([len(words) + 1 for words in numbers])]).astype(np.int64)
+    flat = np.fromiter((w for words in numbers for w in (*words, 0)), np.int64, first[-1])
     return TestSet(
         vocabulary,
         [i for i, _ in items],
@@ -90,6 +122,8 @@ def build_test_set(items: list[tuple[str, bytes]], window: int) -> TestSet:
         rows_as_keys(matrix),
         np.array(of, np.int64),
         np.array(at, np.int64),
+        np.concatenate([flat, np.zeros(depth, np.int64)]),
+        first[np.array(of, np.int64)] + np.array(at, np.int64),
         rows_as_keys(low),
         rows_as_keys(high),
         np.array([len(w) for w in windows], np.int64),
@@ -120,10 +154,7 @@ class Shard:
         if len(tests.alone):
             can |= np.isin(self.ids[here], tests.alone)
         here = here[can]
-        rows = self.ids[here[:, None] + np.arange(depth)].astype(np.uint32)
-        # Words after the first zero belong to no common run.
-        rows[np.maximum.accumulate(rows == 0, axis=1)] = 0
-        keys = rows_as_keys(rows)
+        keys = rows_as_keys(rows_at(self.ids, here, depth))
         order = np.argsort(keys, kind="stable")
         self.starts, self.keys = here[order], keys[order]
 
@@ -140,20 +171,63 @@ class Shard:
         place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(lo[found], sizes)
         return number, self.starts[place]
 
-    def longest(self, tests: TestSet) -> tuple[np.ndarray, np.ndarray]:
-        """Words shared by each test suffix and its best neighbour in the array, and where that starts."""
-        best, where = np.zeros(len(tests.suffixes), np.int64), np.zeros(len(tests.suffixes), np.int64)
+    def longest(self, tests: TestSet, least: int, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Test suffixes that share ``least`` words or more with a place here, how many they share at most, and where.
+
+        Of places that share equally many, the one in the document of the smallest ``rank`` stays,
+        and there the first. Places that share all words of their keys are sorted by the next
+        words, as often as some test suffix goes on; no length is cut.
+        """
+        found = [np.zeros(0, np.int64)] * 3
         if not len(self.keys):
-            return best, where
-        at = np.searchsorted(self.keys, tests.suffixes)
+            return tuple(found)
         depth = self.keys.dtype.itemsize // 4
-        wanted = tests.suffixes.view(">u4").reshape(-1, depth)
-        rows = self.keys.view(">u4").reshape(-1, depth)
-        for near in (np.maximum(at - 1, 0), np.minimum(at, len(self.keys) - 1)):
-            same = np.logical_and.accumulate((rows[near] == wanted) & (wanted > 0), axis=1).sum(axis=1)
-            better = same > best
-            best[better], where[better] = same[better], self.starts[near][better]
-        return best, where
+        owner = np.searchsorted(self.first, self.starts, "right") - 1
+        # Places by rank of their document, then by place in the document.
+        by_choice = np.lexsort((self.starts - self.first[owner], rank[owner]))
+        choice = np.empty(len(by_choice), np.int64)
+        choice[by_choice] = np.arange(len(by_choice))
+        chosen_start = self.starts[by_choice]
+        starts, group = self.starts, np.ones(len(self.starts), np.int64)
+        suffix, suffix_group = np.arange(len(tests.suffixes)), np.ones(len(tests.suffixes), np.int64)
+        done = 0
+        while len(suffix):
+            rows = rows_at(self.ids, starts + done, depth)
+            keys = grouped_keys(group, rows)
+            # The first keys are sorted; those of later rounds are in order of their group only.
+            order = np.argsort(keys, kind="stable")
+            keys, starts, choice = keys[order], starts[order], choice[order]
+            have = keys.view(">u4").reshape(-1, depth + 1)
+            more = []
+            for cut in range(0, len(suffix), COMPARED):
+                mine, own = suffix[cut : cut + COMPARED], suffix_group[cut : cut + COMPARED]
+                wanted = np.column_stack([own, rows_at(tests.words, tests.suffix_place[mine] + done, depth)]).astype(np.uint32)
+                at = np.searchsorted(keys, rows_as_keys(wanted))
+                same = np.zeros(len(mine), np.int64)
+                for near in (np.maximum(at - 1, 0), np.minimum(at, len(keys) - 1)):
+                    equal = np.logical_and.accumulate((have[near] == wanted) & (wanted > 0), axis=1).sum(axis=1)
+                    same = np.maximum(same, equal - 1)
+                good = np.flatnonzero(done + same >= least)
+                mine, same, wanted = mine[good], same[good], wanted[good]
+                past = np.arange(depth + 1) > same[:, None]
+                lo = np.searchsorted(keys, rows_as_keys(np.where(past, 0, wanted)), "left")
+                hi = np.searchsorted(keys, rows_as_keys(np.where(past, 0xFFFFFFFF, wanted)), "right")
+                on = (same == depth) & (tests.words[tests.suffix_place[mine] + done + depth] > 0)
+                more.append((mine[on], lo[on], hi[on]))
+                best = smallest_within(choice, lo[~on], hi[~on])
+                found = [np.concatenate(x) for x in zip(found, (mine[~on], done + same[~on], chosen_start[best]), strict=True)]
+            # Equal ranges are one group; different ones have no place in common.
+            suffix, lo, hi = (np.concatenate(x) for x in zip(*more, strict=True))
+            lo, suffix_group = np.unique(lo, return_inverse=True)
+            sizes = np.zeros(len(lo), np.int64)
+            sizes[suffix_group] = hi - lo[suffix_group]
+            suffix_group = suffix_group + 1
+            group = np.repeat(np.arange(1, len(lo) + 1), sizes)
+            place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(lo, sizes)
+            starts, choice = starts[place], choice[place]
+            done += depth
+        order = np.argsort(found[0])
+        return tuple(x[order] for x in found)
 
 
 def _shards(texts: Iterator[bytes]) -> Iterator[list[bytes]]:
@@ -277,13 +351,14 @@ def longest_matches(
     test_id: str = "item_id",
     test_text: str = "text",
 ) -> DataFrame:
-    """For every test suffix its longest verbatim match of ``least`` words or more: ``item_id, item_start, n_words, doc_id, doc_start``.
+    """For every test suffix its longest verbatim match of ``least`` words or more: ``item_id, item_start, n_words, doc_id, doc_start, n_shared``.
 
-    Lengths are counted up to ``DEPTH`` words, the depth that suffixes are sorted by. Each suffix
-    array answers with one row per test suffix at most; of equal lengths, the smallest document
-    and place stay.
+    ``n_shared`` is the length of the whole passage, however long, and the place is that of the
+    longest; of equal lengths, the smallest document and place stay. ``n_words`` is that length
+    counted up to ``DEPTH`` words (or ``least``, if that is more). Each suffix array answers with
+    one row per test suffix at most.
     """
-    names = ["item_id", "item_start", "n_words", "doc_id", "doc_start"]
+    names = ["item_id", "item_start", "n_shared", "doc_id", "doc_start"]
     rows = docs.select(id_col, text_col)
     schema = T.StructType(
         [T.StructField("item_id", T.StringType()), *[T.StructField(n, T.LongType()) for n in names[1:3]], T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("doc_start", T.LongType())]
@@ -296,16 +371,16 @@ def longest_matches(
                 ids, done = batch.column(0), 0
                 for texts in _shards(as_bytes(batch.column(1))):
                     shard = Shard(tests, texts)
-                    best, where = shard.longest(tests)
-                    good = np.flatnonzero(best >= least)
-                    owner = np.searchsorted(shard.first, where[good], "right") - 1
+                    own = pc.rank(ids.slice(done, len(texts)), null_placement="at_start", tiebreaker="dense").to_numpy()
+                    suffix, best, where = shard.longest(tests, least, own)
+                    owner = np.searchsorted(shard.first, where, "right") - 1
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([tests.ids[i] for i in tests.suffix_item[good]], pa.string()),
-                            pa.array(tests.suffix_start[good]),
-                            pa.array(best[good]),
+                            pa.array([tests.ids[i] for i in tests.suffix_item[suffix]], pa.string()),
+                            pa.array(tests.suffix_start[suffix]),
+                            pa.array(best),
                             ids.take(pa.array(owner + done, pa.int64())),
-                            pa.array(where[good] - shard.first[owner]),
+                            pa.array(where - shard.first[owner]),
                         ],
                         names,
                     )
@@ -317,5 +392,7 @@ def longest_matches(
     for block in _blocks(tests, test_id, test_text, least):
         part = rows.mapInArrow(searcher(block), schema)
         found = part if found is None else found.unionByName(part)
-    lead = found.groupBy("item_id", "item_start").agg(F.min(F.struct((-F.col("n_words")).alias("n"), "doc_id", "doc_start")).alias("b"))
-    return lead.select("item_id", "item_start", (-F.col("b.n")).alias("n_words"), "b.doc_id", "b.doc_start")
+    lead = found.groupBy("item_id", "item_start").agg(F.min(F.struct((-F.col("n_shared")).alias("n"), "doc_id", "doc_start")).alias("b"))
+    n_shared = -F.col("b.n")
+    n_words = F.least(n_shared, F.lit(max(DEPTH, least)).cast("long"))
+    return lead.select("item_id", "item_start", n_words.alias("n_words"), "b.doc_id", "b.doc_start", n_shared.alias("n_shared"))

@@ -445,6 +445,47 @@ def test_longest_matches(spark, docs, rows, tests_table):
                 assert (str(name), at) not in got
 
 
+def longest_by_hand(texts, items, least):
+    """The uncut longest match of every suffix: (words, smallest document, smallest place), nulls first."""
+    out = {}
+    for name, t in items:
+        w = decontaminate.words_of(t.encode())
+        for at in range(len(w)):
+            best = []
+            for i, own in texts:
+                for p in range(len(own)):
+                    n = 0
+                    while at + n < len(w) and p + n < len(own) and own[p + n] == w[at + n]:
+                        n += 1
+                    best.append((-n, i is not None, i or 0, p))
+            n, known, i, p = min(best)
+            if -n >= least:
+                out[str(name), at] = (-n, i if known else None, p)
+    return out
+
+
+@pytest.mark.parametrize(("least", "shard"), [(13, 4 << 20), (13, 700), (2, 4 << 20), (40, 4 << 20)])
+def test_longest_matches_are_not_cut(spark, least, shard, monkeypatch):
+    """A passage of several hundred words beside decoys that share its first words, and ties."""
+    monkeypatch.setattr(decontaminate, "SHARD_BYTES", shard)
+    monkeypatch.setattr(decontaminate, "COMPARED", 50)
+    rng = random.Random(12)
+    long = words(rng, 230, 10**6).split()
+    items = [(1, " ".join(long)), (2, "x y " + "of " * 70), (3, " ".join(long[50:114])), (4, "")]
+    held = [
+        (9, " ".join([*words(rng, 9).split(), *long[:32], *words(rng, 9).split()])), (8, " ".join(["a", *long[:200], "b"])),
+        (7, " ".join(["c", "d", *long[:200], "e"])), (7, " ".join(["c", *long[:200], "e"])), (6, " ".join([*long[:33], "z", *long[20:97]])),
+        (5, "of " * 50), (4, "y " + "of " * 40), (3, " ".join(long[100:])), (None, " ".join(["q", *long[100:]])), (2, None), (1, ""),
+    ]
+    docs = spark.createDataFrame(held, "doc_id long, text string").coalesce(1)
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    want = longest_by_hand([(i, decontaminate.words_of((t or "").encode())) for i, t in held], items, least)
+    got = decontaminate.longest_matches(docs, tests, least).collect()
+    assert {(r["item_id"], r["item_start"]): (r["n_shared"], r["doc_id"], r["doc_start"]) for r in got} == want
+    assert all(r["n_words"] == min(r["n_shared"], max(decontaminate.DEPTH, least)) for r in got)
+    assert len(got) == len(want) and want["1", 0] == (200, 7, 1)
+
+
 # --- archives -------------------------------------------------------------------------------
 
 
