@@ -2,8 +2,8 @@
 
 The patterns find what is written in full. The field labels word shapes, is trained from a small
 labelled table, and adds what the patterns leave out, such as spelled-out mail addresses and
-phone numbers without a country code. It looks at the surroundings of digits, ``@`` and a spelled
-``dot``; all other words are outside by definition.
+phone numbers without a country code. It looks at the surroundings of digits, ``@``, a spelled
+``dot`` and a spelled ``at`` before words joined by dots; all other words are outside by definition.
 """
 
 from __future__ import annotations
@@ -92,6 +92,9 @@ LABELS = ("O", *[f"{p}-{k}" for k in KINDS for p in "BI"])
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|_")
 #: Where to look: digits, @, and "dot" as a word.
 ANCHOR = re.compile(r"[0-9@]|(?<![A-Za-z])[Dd][Oo][Tt](?![A-Za-z])")
+#: "at" as a word, and what may follow it: marks and blanks, then words joined by dots and hyphens.
+SPELLED_AT = re.compile(r"(?<![A-Za-z])[Aa][Tt](?![A-Za-z])")
+JOINED = re.compile(r"[\W_]*+([^\W_]++(?:[.-]++[^\W_]++)*+)")
 #: Tokens on either side of an anchor that are decoded with it.
 REACH = 8
 #: Windows decoded together.
@@ -275,9 +278,41 @@ def train_from(labelled: DataFrame, marked_col: str = "marked") -> Field:
     return train([parse_marked(r[0]) for r in rows.collect()])
 
 
+def spelled_at(text: str) -> list[int]:
+    """Anchors of a spelled ``at`` before words joined by a dot: itself, and every joint of the words before and after it.
+
+    So the window holds the whole address, however many parts it has. Each character is read a
+    bounded number of times.
+    """
+    out: list[int] = []
+    first = end = dot = done = 0
+    for m in SPELLED_AT.finditer(text):
+        # Another "at" inside the same joined words has the same end.
+        if m.end() > end or m.start() < first:
+            found = JOINED.match(text, m.end())
+            if not found:
+                continue
+            first, end = found.span(1)
+            dot = text.rfind(".", first, end)
+        if dot < m.end():
+            continue
+        start = m.start()
+        while start > done and not text[start - 1].isalnum():
+            start -= 1
+        while start > done and LOCAL.match(text, start - 1):
+            start -= 1
+        out.append(m.start())
+        out += [i for i in range(max(start, done), m.start()) if text[i] in "._%+-"]
+        out += [i for i in range(max(m.end(), done), end) if text[i] in ".-"]
+        done = max(done, end)
+    return sorted(set(out))
+
+
 def windows(text: str) -> list[list[tuple[int, int]]]:
     """The tokens around anchors; surroundings that meet are one window."""
     anchors = [m.start() for m in ANCHOR.finditer(text)]
+    if spelled := spelled_at(text):
+        anchors = sorted({*anchors, *spelled})
     if not anchors:
         return []
     out: list[list[tuple[int, int]]] = []

@@ -28,6 +28,50 @@ The list is run by [[email|admin (at) lists (dot) example (dot) org]].
 Write to [[email|editor [at] example [dot] com]] about it.
 Old address: [[email|hans @ example.de]].
 Both [[email|first.last@example.com]] and [[email|other_one@mail7.example.com]] bounced.
+Comments to [[email|ruth (at) example.org]] please.
+The list owner, [[email|d.novak [at] lists.example.net]], will answer.
+Ask [[email|karin at example.com]] for the form.
+Write to [[email|press at news.example.org]] for more.
+Mail [[email|v.rossi at example.co.uk]] about the room.
+My address is [[email|ivan {at} example.net]] now.
+It came from [[email|lucy (at) math.example.edu]] last week.
+Her desk ([[email|desk[at]example.org]]) is closed.
+The author ([[email|h.lind(at)uni.example.se]]) adds a note.
+E-mail: [[email|mary-ann at mail.example.com]]
+Contact [[email|post at example.de]] or call.
+Contact: [[email|shop at example.net]]
+Email [[email|noah_k [at] example.org]], thanks.
+Send it to [[email|anders.berg at example.com]] by Monday.
+You can reach [[email|helen at dept.example.edu]] all day.
+Please mail tina at corp.example.com soon.
+Then mail rob at example.org, he has it.
+She stays at example.com until June.
+He worked at example.net before that.
+Read more at example.com and tell us.
+Visit our site at www.example.net for news.
+See you at www.example.org soon.
+Find us at example.org or in town.
+Contact us at www.example.com for help.
+Write to us at example.net if you like.
+Email us at www.mail.example.org today.
+The book is sold at shop.example.com for less.
+It is hosted at code.example.org by a friend.
+The pages are kept at example.edu since then.
+He works at example.com as a clerk.
+Photos are online at photos.example.net.
+The class is found at org.example.tools in the tree.
+Look at example.com, then at example.org.
+Learn more about it at blog.example.org.
+More information at www.example.co.uk.
+They stayed at home.Then it rained.
+She teaches at St.Martin in town.
+Stop at e.g. the next house.
+The talk is at noon at U.S.C. this year.
+Sign up at example.com/join to get the paper.
+The report (at last) is on example.org now.
+The full text is available at data.example.gov.
+Tickets at tickets.example.com or at the door.
+Follow the story at news.example.com tonight.
 We met at the dot on the map at noon.
 He looked at the dot and at the line.
 Stay at home and look at the sky.

@@ -607,6 +607,37 @@ def test_personal_data(spark, docs, rows, empty, field):
     assert pii.find_personal_data(empty, field).count() == 0
 
 
+def test_spelled_at_before_a_literal_dot(spark, field):
+    """Addresses without a digit, an ``@`` or a ``dot`` near them; none of these lines is a marked one."""
+    marked = [
+        "Please ask [[email|jane (at) example.org]] about it.",
+        "You can write to [[email|k.tanaka [at] example.com]] for details.",
+        "To [[email|the.webmaster (at) www.my-long-host-name.dept.example.co.uk]] as soon as you can.",
+        "My email: [[email|sam_hill at mail.example.com]], thanks",
+        "E-mail: [[email|j.r.r.smith-jones(at)lists.example.org]]",
+        "You can read more at example.org about it.",
+        "Find out more at our site at blog.example.net.",
+        "The file is at lib.core.utils in the tree.",
+        "He graduated (at last) from school.Then he left.",
+        "Follow the news at www.bbc.co.uk",
+    ]
+    lines = [pii.parse_marked(m) for m in marked]
+    docs = spark.createDataFrame([(i, "far off " * 200 + t) for i, (t, _) in enumerate(lines)], "doc_id long, text string")
+    for r in pii.find_personal_data(docs, field).collect():
+        want = [(k, a + 1600, b + 1600) for k, a, b in lines[r["doc_id"]][1]]
+        assert ([tuple(s) for s in r["added"]], r["base"]) == (want, []), marked[r["doc_id"]]
+
+
+def test_spelled_at_covers_every_joint():
+    text = "see a.b_c-d (AT) e-f.g.h-i.j k.l"
+    assert [text[i] for i in pii.spelled_at(text)] == list(". _ - A - . . - .".split())
+    for text in ("look at the dot.com", "at", "at home", "x.y at", "that example.org", "cat.at x y.z"):
+        assert pii.spelled_at(text) == []
+    for part in ("at-", "at ", "at.", "(at) ", "a.at.b "):
+        n = len(pii.spelled_at(part * 100_000 + "b.c"))
+        assert n <= len(part) * 100_000 + 3
+
+
 def test_viterbi_finds_the_best_path(field):
     rng = np.random.default_rng(0)
     size = len(pii.LABELS)
