@@ -223,6 +223,14 @@ def _block_links(shared: DataFrame, nodes: DataFrame, labels: DataFrame, texts:
     return groups.select("key", "rows").mapInArrow(search, T.StructType([T.StructField("u", kind), T.StructField("v", kind)]))
 
 
+def _links_of_ids(known: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links ``u, v`` from each id with several sets to the node of each of them."""
+    name = F.struct("set_1", "set_2")
+    several = known.groupBy("id").agg(F.min(name).alias("least"), F.max(name).alias("most")).where("least <> most").select("id")
+    sets = known.select("id", "set_1", "set_2").join(materialise(several, "ids-of-several-sets"), "id").distinct()
+    return sets.join(nodes.select("set_1", "set_2", "node"), ["set_1", "set_2"]).select(F.col("id").alias("u"), F.col("node").alias("v")).where("u <> v")
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 5, share: int = SHARE, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -254,7 +262,7 @@ def near_duplicates(
     wanted = shared.select("node").distinct().join(nodes.select("node", "text_hash"), "node")
     texts = materialise(named.join(wanted.distinct(), ["node", "text_hash"]), "bucket-texts")
 
-    links = materialise(_confirmed(likely, texts, shingle, share), "confirmed-links")
+    links = materialise(_confirmed(likely, texts, shingle, share).unionByName(_links_of_ids(known, nodes)), "confirmed-links")
     labels = materialise(connected_components(links), "components")
     last = materialise(_block_links(shared, nodes, labels, texts, shingle, share), "block-links")
     if not last.isEmpty():
@@ -278,15 +286,23 @@ def near_duplicates(
 def drop_near_duplicates(
     docs: DataFrame, shingle: int = 5, share: int = SHARE, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component, with all their columns."""
+    """The rows of ``docs`` whose id is the smallest of their component, with all their columns.
+
+    Of rows with equal id (nulls alike) and equal text one stays: where other columns differ, the
+    one whose columns as JSON have the smallest hash. Null ids with unlike texts all stay.
+    """
     found = near_duplicates(docs, shingle, share, id_col, text_col)
     kept = found.where(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("of_id"), F.col("text_hash").alias("of_text_hash"))
-    kept = materialise(kept.distinct(), "kept")
+    kept = materialise(kept.groupBy("of_id", "of_text_hash").agg(F.count("*").alias("of_n")), "kept")
     # Carried columns travel in one struct, so that no name of theirs can clash.
-    rows = docs.select(
-        F.struct(*docs.columns).alias("row"),
-        F.col(id_col).alias("id"),
-        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"),
-    )
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"))
     same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_text_hash"))
-    return rows.join(kept, same, "left_semi").select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    several = kept.where("of_n > 1")
+    if several.isEmpty():
+        out = rows.join(kept, same, "left_semi").select("row")
+    else:
+        again = rows.join(several, same, "left_semi").select("row", "id", F.col(f"row.`{text_col}`").alias("text"))
+        one = again.groupBy("id", "text").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")).select("row")
+        out = rows.join(kept.where("of_n = 1"), same, "left_semi").select("row").unionByName(one)
+    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -268,6 +268,24 @@ def test_near_duplicates(docs, rows, empty, k):
     assert near_dedup.drop_near_duplicates(empty, k).count() == 0
 
 
+def test_ids_that_repeat_tie_their_texts(spark):
+    """An id is one document with the links of all its texts, also where others share them; of equal rows one stays."""
+    rng = random.Random(13)
+    a, b, c, d, e = (words(rng, 60, 10**9) for _ in range(5))
+    held = [(5, a), (5, b), (3, b), (9, c), (9, d), (7, c), (8, d + " end"), (8, d + " end"), (6, e), (6, e), (None, a), (None, a), (None, e), (1, ""), (1, None), (2, None), (2, None)]
+    rows = [(i, t, "en", f"s{n}", 0) for n, (i, t) in enumerate(held)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    want = groups_by_hand(rows, 5)
+    assert want[5] == 3 and want[9] == want[8] == 7
+    got = near_dedup.near_duplicates(df).collect()
+    assert len(got) == len(rows) and all(r["component"] == want.get(r["id"], r["id"]) for r in got)
+    kept = near_dedup.drop_near_duplicates(df)
+    assert kept.columns == df.columns
+    stays = {(i, t) for i, t in held if want.get(i, i) == i}
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(stays)
+    assert set(map(tuple, kept.collect())) <= set(rows)
+
+
 def test_links_that_no_pivot_shows(spark, monkeypatch):
     """Chains of links, and buckets of many blocks: only the second search can close them."""
     monkeypatch.setattr(near_dedup, "BLOCK", 4)
