@@ -23,8 +23,8 @@ from skyframe.llm.words import mix, shingles, word_hashes
 #: A pair with 0.8 of its shingles in common shares no bucket with probability (1 - 0.8^5)^40 = 1.3e-7.
 BANDS, ROWS = 40, 5
 HASHES = BANDS * ROWS
-#: Six standard errors below the agreement expected at 0.8.
-LEAST_AGREEMENT = int(0.8 * HASHES - 6 * (HASHES * 0.8 * 0.2) ** 0.5)
+#: Probability at most that a pair with just the share in common has no bucket in common.
+MISSED = 1.4e-7
 #: Nodes of a bucket that meet in one block of the second search.
 BLOCK = 256
 SHARE = 80
@@ -34,6 +34,20 @@ MULTIPLIERS = _random.integers(0, 1 << 63, HASHES, dtype=np.int64).astype(np.uin
 OFFSETS = _random.integers(0, 1 << 63, HASHES, dtype=np.int64).astype(np.uint64)
 
 
+def rows_for(share: int) -> int:
+    """Minima of a band, ``ROWS`` or as many fewer as pairs of that share need to meet in one of the bands."""
+    for rows in range(ROWS, 0, -1):
+        if (1 - (share / 100) ** rows) ** (HASHES // rows) <= MISSED:
+            return rows
+    raise ValueError(f"{HASHES} minima do not find pairs that share {share} percent; the smallest share is 8")
+
+
+def least_agreement(share: int) -> int:
+    """Six standard errors below the agreement expected at the share, 0.8 at most."""
+    s = min(share, SHARE) / 100
+    return int(s * HASHES - 6 * (HASHES * s * (1 - s)) ** 0.5)
+
+
 def signature(hashes: np.ndarray) -> np.ndarray:
     """Minima of ``HASHES`` universal hash functions (multiply, add, upper 32 bits)."""
     least = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
@@ -45,14 +59,15 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
-def band_keys(minima: np.ndarray) -> np.ndarray:
-    keys = np.arange(BANDS, dtype=np.uint64)
-    for column in minima.reshape(BANDS, ROWS).T:
+def band_keys(minima: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    bands = HASHES // rows
+    keys = np.arange(bands, dtype=np.uint64)
+    for column in minima[: bands * rows].reshape(bands, rows).T:
         keys = mix(keys * np.uint64(0xD1342543DE82EF95) + column.astype(np.uint64))
     return keys.view(np.int64)
 
 
-def sketches(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
+def sketches(docs: DataFrame, shingle: int, id_col: str, text_col: str, band: int = ROWS) -> DataFrame:
     """``id, text_hash, n_shingles, set_1, set_2, bands, minima`` per row; the last four null without words.
 
     ``set_1, set_2`` name the shingle set in 128 bits; ``minima`` holds the lower 16 bits of each minimum.
@@ -75,7 +90,7 @@ def sketches(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataF
                 least = signature(own)
                 one.append(int(name[0]))
                 two.append(int(name[1]))
-                bands.append(band_keys(least))
+                bands.append(band_keys(least, band))
                 minima.append(least.astype(np.uint16).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -95,19 +110,20 @@ def sketches(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataF
     return rows.mapInArrow(sketch, schema_of(rows.select("id"), *more))
 
 
-def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _agreeing(pairs: DataFrame, nodes: DataFrame, share: int) -> DataFrame:
     """``u, v, agree`` of the pairs whose signatures agree often enough."""
 
     def side(name: str) -> DataFrame:
         return nodes.select(F.col("node").alias(name), F.col("minima").alias(f"minima_{name}"))
 
     rows = pairs.select("u", "v").join(side("u"), "u").join(side("v"), "v")
+    enough = least_agreement(share)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             u, v = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, HASHES) for i in (2, 3))
             agree = (u == v).sum(axis=1)
-            good = pa.array(np.flatnonzero(agree >= LEAST_AGREEMENT))
+            good = pa.array(np.flatnonzero(agree >= enough))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(good), batch.column(1).take(good), pa.array(agree).take(good)], ["u", "v", "agree"]
             )
@@ -146,8 +162,8 @@ def _block_links(shared: DataFrame, nodes: DataFrame, labels: DataFrame, texts:
     """Links ``u, v`` between nodes in one bucket and two components, one at least for any two components linked there.
 
     Of two nodes in different components, one is outside the largest component of the bucket: a
-    probe. Probes look for partners among all members whose sizes can be within a quarter of
-    theirs. Both are dealt into blocks, so no task holds a whole bucket; a pair is tried in the
+    probe. Probes look for partners among all members whose sizes the share allows (within a
+    quarter of theirs at 80). Both are dealt into blocks, so no task holds a whole bucket; a pair is tried in the
     first bucket that its ends share. Pairs whose signatures agree are confirmed on their full
     sets on the spot, the most alike first, until a probe has a link to each component.
     """
@@ -159,7 +175,10 @@ def _block_links(shared: DataFrame, nodes: DataFrame, labels: DataFrame, texts:
         .where("components > 1 AND n > 2")
         .select("key", "largest")
     )
-    level = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(1.25))).cast("int")
+    enough = least_agreement(share)
+    # Sizes of a linked pair differ by one step at most.
+    step = 100 / min(share, SHARE)
+    level = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(step))).cast("int")
     members = materialise(
         labelled.join(open_keys, "key")
         .join(nodes.select("node", "n_shingles", "minima", "bands"), "node")
@@ -206,7 +225,7 @@ def _block_links(shared: DataFrame, nodes: DataFrame, labels: DataFrame, texts:
                 for j in np.flatnonzero(asks):
                     near = answers[code[answers] != code[j]]
                     agree = (least[near] == least[j]).sum(axis=1)
-                    near = near[np.argsort(-agree, kind="stable")][: int((agree >= LEAST_AGREEMENT).sum())]
+                    near = near[np.argsort(-agree, kind="stable")][: int((agree >= enough).sum())]
                     # Each pair has a bucket in common: this one.
                     near = near[buckets[j][(buckets[near] == buckets[j]).argmax(axis=1)] == key]
                     linked: set[int] = set()
@@ -240,9 +259,10 @@ def near_duplicates(
     documents are linked if their sets of ``shingle``-word runs share at least ``share`` percent;
     the component is the smallest id reachable over links. A null or empty text has no set and no
     links. Rows that repeat an id are one document with the links of all its texts. A null id is
-    left alone: its component is null. Other columns are ignored.
+    left alone: its component is null. Other columns are ignored. Bands and the agreement asked of
+    signatures follow from ``share``; under 8 percent it is refused.
     """
-    rows = materialise(sketches(docs, shingle, id_col, text_col), "sketches")
+    rows = materialise(sketches(docs, shingle, id_col, text_col, rows_for(share)), "sketches")
     known = rows.where("n_shingles > 0 AND id IS NOT NULL")
     classes = known.groupBy("set_1", "set_2").agg(F.min(F.struct("id", "text_hash", "n_shingles", "minima", "bands")).alias("c"))
     nodes = materialise(
@@ -255,7 +275,7 @@ def near_duplicates(
     ranked = shared.join(company, "node")
     pivots = ranked.groupBy("key").agg(F.max_by("node", F.struct("company", F.hash("node"), "node")).alias("v"))
     pairs = shared.select("key", F.col("node").alias("u")).join(pivots, "key").where("u <> v").select("u", "v").distinct()
-    likely = materialise(_agreeing(pairs, nodes), "likely-links")
+    likely = materialise(_agreeing(pairs, nodes, share), "likely-links")
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     named = docs.select(F.col(id_col).alias("node"), F.xxhash64(text).alias("text_hash"), text.alias("text"))

@@ -286,6 +286,33 @@ def test_ids_that_repeat_tie_their_texts(spark):
     assert set(map(tuple, kept.collect())) <= set(rows)
 
 
+def test_bands_follow_from_the_share():
+    assert [near_dedup.rows_for(s) for s in (100, 80, 50, 8)] == [near_dedup.ROWS, near_dedup.ROWS, 2, 1]
+    for share in range(8, 101):
+        rows = near_dedup.rows_for(share)
+        assert (1 - (share / 100) ** rows) ** (near_dedup.HASHES // rows) <= near_dedup.MISSED
+    assert near_dedup.least_agreement(80) == near_dedup.least_agreement(95) == 126 > near_dedup.least_agreement(50) > 50
+    for share in (7, 0):
+        with pytest.raises(ValueError):
+            near_dedup.rows_for(share)
+
+
+def test_links_of_a_smaller_share(spark):
+    """Pairs that have between 50 and 63 percent in common, far from the registered 80, among them of unlike sizes."""
+    rng = random.Random(14)
+    rows = []
+    for n in range(0, 180, 3):
+        text = words(rng, 130, 10**9).split()
+        keep = rng.randint(88, 100)
+        rows.append((n, " ".join(text), "en", "s", 0))
+        rows.append((n + 1, " ".join(text[:keep] + words(rng, 130 - keep, 10**9).split()), "en", "s", 0))
+        rows.append((n + 2, " ".join(text[: rng.randint(70, 80)]), "en", "s", 0))
+    want = groups_by_hand(rows, 4, 50)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA), 4, 50).collect()
+    assert all(r["component"] == want[r["id"]] for r in got)
+    assert 60 < sum(want[i] != i for i in want) <= 120
+
+
 def test_links_that_no_pivot_shows(spark, monkeypatch):
     """Chains of links, and buckets of many blocks: only the second search can close them."""
     monkeypatch.setattr(near_dedup, "BLOCK", 4)
