@@ -12,11 +12,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyframe.llm.common import as_bytes, schema_of
+from skyframe.llm.common import as_bytes, materialise, schema_of
+from skyframe.session import discard
 
 WINDOW = 13
 #: Bytes of test text that one pass over the documents looks up; a larger set takes more passes.
@@ -46,7 +48,7 @@ def rows_as_keys(matrix: np.ndarray) -> np.ndarray:
 
 def rows_at(ids: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
     """The ``depth`` word numbers from each place on; words after the first zero belong to no common run."""
-    rows = ids[at[:, None] + np.arange(depth)].astype(np.uint32)
+    rows = np.lib.stride_tricks.sliding_window_view(ids, depth)[at].astype(np.uint32)
     rows[np.maximum.accumulate(rows == 0, axis=1)] = 0
     return rows
 
@@ -70,64 +72,61 @@ def smallest_within(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.nd
 
 @dataclass
 class TestSet:
-    """A block of test items: word numbers, every suffix, and the windows among them."""
+    """A block of test items: word numbers, the place of every suffix, and the windows among them.
+
+    Sort keys are made from the word numbers where they are needed, so a block holds a few
+    numbers for each of its words.
+    """
 
     __test__ = False
 
     vocabulary: dict[bytes, int]
     ids: list[str]
+    depth: int
     pairs: np.ndarray
     alone: np.ndarray
-    suffixes: np.ndarray
+    words: np.ndarray
     suffix_item: np.ndarray
     suffix_start: np.ndarray
-    words: np.ndarray
     suffix_place: np.ndarray
-    window_low: np.ndarray
-    window_high: np.ndarray
+    window_place: np.ndarray
     window_size: np.ndarray
-    window_items: list[tuple[int, ...]]
+    #: Items of window ``w``: ``item[first[w]:first[w + 1]]``.
+    window_first: np.ndarray
+    window_item: np.ndarray
 
 
 def build_test_set(items: list[tuple[str, bytes]], window: int) -> TestSet:
     vocabulary: dict[bytes, int] = {}
-    numbers = [[vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(t)] for _, t in items]
+    numbers = [np.fromiter((vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(t)), np.uint32) for _, t in items]
     depth = max(DEPTH, window)
-    suffixes, of, at = [], [], []
-    windows: dict[tuple[int, ...], set[int]] = {}
-    pairs, alone = set(), set()
-    for n, words in enumerate(numbers):
-        pairs.update(zip(words, words[1:], strict=False))
-        if len(words) == 1 or window == 1:
-            alone.update(words)
-        for i in range(len(words)):
-            suffixes.append(words[i : i + depth] + [0] * (depth - len(words[i : i + depth])))
-            of.append(n)
-            at.append(i)
-        for i in range(max(1, len(words) - window + 1) if words else 0):
-            windows.setdefault(tuple(words[i : i + window]), set()).add(n)
-    low = np.zeros((len(windows), depth), np.uint32)
-    high = np.full((len(windows), depth), 0xFFFFFFFF, np.uint32)
-    for r, w in enumerate(windows):
-        low[r, : len(w)] = high[r, : len(w)] = w
-    matrix = np.array(suffixes, np.uint32).reshape(-1, depth)
+    size = np.array([len(n) for n in numbers], np.int64)
     # A zero ends each item, and enough of them the last one.
-    first = np.concatenate([[0], np.cumsum([len(words) + 1 for words in numbers])]).astype(np.int64)
-    flat = np.fromiter((w for words in numbers for w in (*words, 0)), np.int64, first[-1])
+    gap = np.zeros(1, np.uint32)
+    words = np.concatenate([x for n in numbers for x in (n, gap)] + [np.zeros(depth, np.uint32)])
+    first = np.concatenate([[0], np.cumsum(size + 1)]).astype(np.int64)[:-1]
+    item = np.repeat(np.arange(len(items)), size)
+    place = np.flatnonzero(words)
+    start = place - first[item]
+    next_to = place[words[place + 1] > 0]
+    begins = start <= np.maximum(size[item] - window, 0)
+    rows = rows_at(words, place[begins], window)
+    _, where, number = np.unique(rows_as_keys(rows), return_index=True, return_inverse=True)
+    owned = np.unique(number * max(1, len(items)) + item[begins])
     return TestSet(
         vocabulary,
         [i for i, _ in items],
-        np.unique(np.array([a << 32 | b for a, b in pairs], np.int64)),
-        np.array(sorted(alone), np.int64),
-        rows_as_keys(matrix),
-        np.array(of, np.int64),
-        np.array(at, np.int64),
-        np.concatenate([flat, np.zeros(depth, np.int64)]),
-        first[np.array(of, np.int64)] + np.array(at, np.int64),
-        rows_as_keys(low),
-        rows_as_keys(high),
-        np.array([len(w) for w in windows], np.int64),
-        [tuple(sorted(x)) for x in windows.values()],
+        depth,
+        np.unique(words[next_to].astype(np.int64) << 32 | words[next_to + 1]),
+        np.unique(words[place[(size[item] == 1) | (window == 1)]]).astype(np.int64),
+        words,
+        item,
+        start,
+        place,
+        place[begins][where],
+        (rows[where] > 0).sum(axis=1),
+        np.searchsorted(owned, np.arange(len(where) + 1) * max(1, len(items))),
+        owned % max(1, len(items)),
     )
 
 
@@ -142,7 +141,7 @@ class Shard:
         look = tests.vocabulary.get
         words = [np.fromiter((look(w, 0) for w in words_of(t)), np.int64) for t in texts]
         self.n_words = np.array([len(w) for w in words], np.int64)
-        depth = tests.suffixes.dtype.itemsize // 4
+        depth = tests.depth
         # A zero parts documents, so that no match runs from one to the next.
         gap = np.zeros(1, np.int64)
         self.ids = np.concatenate([x for w in words for x in (w, gap)] + [np.zeros(depth, np.int64)])
@@ -160,7 +159,14 @@ class Shard:
 
     def ranges(self, tests: TestSet) -> tuple[np.ndarray, np.ndarray]:
         """First and last place of each window in the suffix array."""
-        return np.searchsorted(self.keys, tests.window_low, "left"), np.searchsorted(self.keys, tests.window_high, "right")
+        lo, hi = (np.empty(len(tests.window_place), np.int64) for _ in range(2))
+        for at in range(0, len(lo), COMPARED):
+            part = slice(at, at + COMPARED)
+            rows = rows_at(tests.words, tests.window_place[part], tests.depth)
+            past = np.arange(tests.depth) >= tests.window_size[part, None]
+            lo[part] = np.searchsorted(self.keys, rows_as_keys(np.where(past, 0, rows)), "left")
+            hi[part] = np.searchsorted(self.keys, rows_as_keys(np.where(past, 0xFFFFFFFF, rows)), "right")
+        return lo, hi
 
     def windows(self, tests: TestSet) -> tuple[np.ndarray, np.ndarray]:
         """Every occurrence of every window: its number and the word it starts at."""
@@ -189,7 +195,7 @@ class Shard:
         choice[by_choice] = np.arange(len(by_choice))
         chosen_start = self.starts[by_choice]
         starts, group = self.starts, np.ones(len(self.starts), np.int64)
-        suffix, suffix_group = np.arange(len(tests.suffixes)), np.ones(len(tests.suffixes), np.int64)
+        suffix, suffix_group = np.arange(len(tests.suffix_place)), np.ones(len(tests.suffix_place), np.int64)
         done = 0
         while len(suffix):
             rows = rows_at(self.ids, starts + done, depth)
@@ -242,8 +248,11 @@ def _shards(texts: Iterator[bytes]) -> Iterator[list[bytes]]:
         yield held
 
 
-def _blocks(tests: DataFrame, item_col: str, text_col: str, window: int) -> Iterator:
-    """The test set as broadcast variables of bounded size, one for each pass."""
+def _blocks(tests: DataFrame, item_col: str, text_col: str, window: int) -> Iterator[tuple[Broadcast, bool]]:
+    """The test set as broadcast variables of bounded size, one for each pass, and whether more follow.
+
+    The driver and the tasks hold one block at a time, if each is destroyed before the next is asked for.
+    """
     size = tests.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     blocks = -(-size // BLOCK_BYTES) or 1
     context = tests.sparkSession.sparkContext
@@ -252,7 +261,7 @@ def _blocks(tests: DataFrame, item_col: str, text_col: str, window: int) -> Iter
         if blocks > 1:
             part = part.where(F.pmod(F.xxhash64(item_col), F.lit(blocks)) == b)
         items = [(str(r[0]), r[1].encode()) for r in part.toLocalIterator()]
-        yield context.broadcast(build_test_set(items, window))
+        yield context.broadcast(build_test_set(items, window)), b + 1 < blocks
 
 
 def contamination(
@@ -268,7 +277,8 @@ def contamination(
     A window is ``window`` consecutive words of an item, or the whole of a shorter item. Spans
     are (first word, word after the last), merged where they overlap or touch. A null text has no
     words and no hits; a null item id is called ``None``; an empty test set hits nothing.
-    Columns of ``docs`` with the added names are replaced. Rows stay in their tasks.
+    Columns of ``docs`` with the added names are replaced. Rows stay in their tasks. A test set of
+    up to ``BLOCK_BYTES`` takes one pass; of a larger one, each pass but the last is written.
     """
     spans = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("end", T.LongType())]))
     kept = [c for c in docs.columns if c not in ("n_words", "hits", "items")]
@@ -278,8 +288,15 @@ def contamination(
         F.array().cast(spans).alias("hits"),
         F.array().cast("array<string>").alias("items"),
     )
-    for block in _blocks(tests, test_id, test_text, window):
+    written = None
+    for block, more in _blocks(tests, test_id, test_text, window):
         out = out.mapInArrow(_scan(block, text_col, kept), schema_of(out))
+        if more:
+            before, written = written, materialise(out, "contamination")
+            block.destroy()
+            if before is not None:
+                discard(before)
+            out = written
     return out
 
 
@@ -307,7 +324,8 @@ def _scan(block, text_col: str, kept: list[str]):
                     if len(mine):
                         base = shard.first[i]
                         own += zip((start[mine] - base).tolist(), (end[mine] - base).tolist(), strict=True)
-                        found.update(tests.ids[n] for w in np.unique(number[mine]).tolist() for n in tests.window_items[w])
+                        for w in np.unique(number[mine]).tolist():
+                            found.update(tests.ids[n] for n in tests.window_item[tests.window_first[w] : tests.window_first[w + 1]].tolist())
                     hits.append([{"first": a, "end": b} for a, b in merged(own)])
                     items.append(sorted(found))
             yield pa.RecordBatch.from_arrays(
@@ -389,8 +407,11 @@ def longest_matches(
         return search
 
     found = None
-    for block in _blocks(tests, test_id, test_text, least):
+    for block, more in _blocks(tests, test_id, test_text, least):
         part = rows.mapInArrow(searcher(block), schema)
+        if more:
+            part = materialise(part, "longest-matches")
+            block.destroy()
         found = part if found is None else found.unionByName(part)
     lead = found.groupBy("item_id", "item_start").agg(F.min(F.struct((-F.col("n_shared")).alias("n"), "doc_id", "doc_start")).alias("b"))
     n_shared = -F.col("b.n")

@@ -464,6 +464,39 @@ def test_contamination(spark, docs, rows, empty, tests_table, block, monkeypatch
     assert decontaminate.contamination(docs, tests.where("false")).where("size(hits) > 0").count() == 0
 
 
+def test_one_block_is_held_at_a_time(spark, docs, rows, tests_table, monkeypatch):
+    """Of a test set of many blocks, each is gone before the next is built."""
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 150)
+    context, held, most = spark.sparkContext, set(), []
+    broadcast = context.broadcast
+
+    def counted(value):
+        own = broadcast(value)
+        destroy = own.destroy
+        held.add(id(own))
+        most.append(len(held))
+
+        def gone(*args):
+            held.discard(id(own))
+            destroy(*args)
+
+        own.destroy = gone
+        return own
+
+    monkeypatch.setattr(context, "broadcast", counted)
+    tests = spark.createDataFrame(tests_table, "item_id long, text string")
+    got = decontaminate.contamination(docs, tests).select("doc_id", "n_words", decontaminate.n_hit().alias("h"), "items", decontaminate.contaminated().alias("c"))
+    want = Counter((i, *contamination_by_hand(t, tests_table)) for i, t, *_ in rows)
+    assert Counter((r[0], r[1], r[2], tuple(r[3]), r[4]) for r in got.collect()) == want
+    assert len(most) > 5 and max(most) == 1
+    most.clear(), held.clear()
+    blocks = {(r["item_id"], r["item_start"]): r["n_shared"] for r in decontaminate.longest_matches(docs, tests.where("item_id <> 10")).collect()}
+    assert len(most) > 5 and max(most) == 1
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 1 << 24)
+    whole = {(r["item_id"], r["item_start"]): r["n_shared"] for r in decontaminate.longest_matches(docs, tests.where("item_id <> 10")).collect()}
+    assert blocks == whole
+
+
 def test_words_of():
     fold = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     for text in ["A b-C_d 9é", "漢字 x\x80y", "", "Z" * 5, "a b", "\x7fq"]:
