@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyframe.llm import decontaminate, lattice_lm, line_dedup, near_dedup, packing, pii, pii_labelled, quality, repeats, token_counts, warc
+from skyframe.llm import (
+    decontaminate,
+    hard_negatives,
+    lattice_lm,
+    line_dedup,
+    near_dedup,
+    nn_descent,
+    packing,
+    pii,
+    pii_labelled,
+    quality,
+    repeats,
+    token_counts,
+    warc,
+    whitening,
+)
 from skyframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,3 +204,25 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), PACK_FILES, 1024)
+
+
+@query()
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = nn_descent.near_duplicate_vectors(table(spark, sf_dir, "embeddings"), 0.9)
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+@query()
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").where(hard_negatives.is_whole(F.col("embedding")))
+    rows = vectors.select(
+        "vec_id",
+        F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        F.transform("embedding", lambda c: F.floor(c.cast("double") * 256)).alias("x"),
+    )
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+@query()
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_embeddings(table(spark, sf_dir, "embeddings"))
