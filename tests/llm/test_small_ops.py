@@ -152,6 +152,20 @@ def test_ids_are_those_of_the_file():
         assert fast(t).tolist() == slow.encode(t, add_special_tokens=False).ids
 
 
+def test_long_runs_of_white_space(spark):
+    from tokenizers import Tokenizer
+
+    slow = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    runs = [c * 2_000_000 for c in (" ", "\t", "\n")] + [" " * (packing.LONG_SPACE - 1), " " * packing.LONG_SPACE]
+    texts = [before + run + after for run in runs for before, after in (("", ""), ("", "w"), ("a b", "\nc"))]
+    fast = packing.encoder(*queries.PACK_FILES)
+    for t in texts:
+        assert fast(t).tolist() == slow.encode(t, add_special_tokens=False).ids
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts[:6])], "doc_id long, text string").repartition(3)
+    whole = packing.pack_documents(df, queries.PACK_FILES).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("of"))
+    assert all(r["n"] == r["of"] == len(slow.encode(texts[r["doc_id"]], add_special_tokens=False).ids) + 1 for r in whole.collect())
+
+
 def test_patterns_place_every_length_once():
     rng = random.Random(2)
     for _ in range(200):
@@ -331,6 +345,31 @@ def test_links_that_no_pivot_shows(spark, monkeypatch):
     assert all(r["component"] == want[r["id"]] for r in got)
 
 
+def test_words_that_a_polynomial_confuses(spark):
+    """Two words of 1,024 letters that agree in every polynomial modulo 2^64 with an odd factor."""
+    one = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    two = "".join("ba"[i.bit_count() % 2] for i in range(1024))
+    hashes = next(word_hashes(iter([f"{one} {two} {one}".encode()])))
+    assert hashes[0] == hashes[2] != hashes[1]
+    rows = [(1, one, "en", "s", 0), (2, two, "en", "s", 0), (3, one, "en", "s", 0)]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA), 4).collect()
+    assert {r["id"]: r["component"] for r in got} == {1: 1, 2: 2, 3: 1}
+
+
+def test_word_hashes_are_distinct():
+    """All short words over a few letters, and words that differ in one place of any block of eight bytes."""
+    from itertools import product
+
+    some = ["".join(p) for n in range(1, 8) for p in product("abc0", repeat=n)]
+    some += ["x" * n for n in range(1, 200)] + ["x" * i + "y" + "x" * (99 - i) for i in range(100)]
+    some += ["q" * i + "z" + "q" * (63 - i) for i in range(64)]
+    some = sorted(set(some))
+    hashes = next(word_hashes(iter([" ".join(some).encode()])))
+    assert len(hashes) == len(some) == len(set(hashes.tolist()))
+    alone = [next(word_hashes(iter([w.encode()])))[0] for w in some[::97]]
+    assert alone == hashes[::97].tolist()
+
+
 def test_word_hashes_do_not_depend_on_neighbours(monkeypatch):
     from skyframe.llm import words as module
 
