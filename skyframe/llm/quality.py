@@ -16,12 +16,20 @@ from skyframe.llm.common import materialise
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 
-#: Measures that thresholds are learnt for, and the least distance from the quartiles that counts.
-MARGINS = {"word_length": 1.0, "symbol_share": 0.02, "repeat_line_share": 0.4, "repeat_word_share": 0.3}
-#: How many quartile ranges beyond the quartiles a value must lie.
+#: Measures that thresholds are learnt for: a lower and an upper quantile, and the least distance
+#: beyond them that counts. Most documents of a clean source repeat nothing, so the spread of
+#: repeats is taken in their tail; for symbols it is taken where one dirty document in ten
+#: does not move it.
+RULES = {
+    "word_length": (0.25, 0.75, 1.0),
+    "symbol_share": (0.5, 0.8, 0.02),
+    "repeat_line_share": (0.9, 0.99, 0.1),
+    "repeat_word_share": (0.9, 0.99, 0.1),
+}
+#: How many times the distance of the quantiles a value must lie beyond them.
 REACH = 3.0
-#: Groups with fewer documents take the thresholds of all documents.
-GROUP_ROWS = 100
+#: The quantiles of all documents weigh as much as so many documents of the group.
+PRIOR = 100
 SKETCH_K = 800
 
 
@@ -93,32 +101,38 @@ def shares() -> dict[str, Column]:
     }
 
 
-def fences(measured: DataFrame, by: Sequence[str]) -> tuple[DataFrame, dict[str, float]]:
-    """Lowest and highest value allowed per group, and over all groups (a few numbers).
+def fences(measured: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Lowest and highest value allowed per group: ``by, {measure}_least, {measure}_most``.
 
-    One mergeable quantile sketch per group and measure; the sketches of the groups are merged
-    for the whole. Documents that fail the fixed base rules do not shape the thresholds.
+    One mergeable quantile sketch per group and measure; the sketches of the groups are merged for
+    the quantiles of all documents (a few numbers). A group's quantiles are a mean of its own, by
+    its number of documents, and of all, by ``PRIOR``, so that limits move smoothly with the size
+    of a group. Documents that fail the fixed base rules do not shape the thresholds; a group of
+    nothing else has no row.
     """
 
-    def ends(sketches: DataFrame, at: str) -> list[Column]:
-        out = []
-        for name, margin in MARGINS.items():
-            q = [F.kll_sketch_get_quantile_double(F.col(f"_{name}"), F.lit(p)) for p in (0.25, 0.75)]
-            slack = REACH * (q[1] - q[0]) + margin
-            out += [(q[0] - slack).alias(f"{at}_{name}_least"), (q[1] + slack).alias(f"{at}_{name}_most")]
-        return out
+    def quantiles(name: str) -> list[Column]:
+        return [F.kll_sketch_get_quantile_double(F.col(f"_{name}"), F.lit(p)).alias(f"{name}_{i}") for i, p in enumerate(RULES[name][:2])]
 
     sketches = materialise(
         measured.where(~base_failed())
         .select(*by, *[c.alias(n) for n, c in shares().items()])
         .groupBy(*by)
-        .agg(F.count("*").alias("_n"), *[F.kll_sketch_agg_double(n, F.lit(SKETCH_K)).alias(f"_{n}") for n in MARGINS]),
+        .agg(F.count("*").alias("_n"), *[F.kll_sketch_agg_double(n, F.lit(SKETCH_K)).alias(f"_{n}") for n in RULES]),
         "sketches",
     )
-    groups = sketches.where(F.col("_n") >= GROUP_ROWS).select(*by, *ends(sketches, "group"))
-    whole = sketches.agg(F.sum("_n").alias("_n"), *[F.kll_merge_agg_double(f"_{n}").alias(f"_{n}") for n in MARGINS])
-    overall = whole.where(F.col("_n") > 0).select(*ends(whole, "all")).first()
-    return groups, overall.asDict() if overall else {}
+    whole = sketches.agg(F.sum("_n").alias("_n"), *[F.kll_merge_agg_double(f"_{n}").alias(f"_{n}") for n in RULES])
+    row = whole.where(F.col("_n") > 0).select(*[q for n in RULES for q in quantiles(n)]).first()
+    overall = row.asDict() if row else {}
+    ends = []
+    for name, (_, _, margin) in RULES.items():
+        low, high = [
+            (F.col("_n") * F.col(f"{name}_{i}") + PRIOR * F.lit(overall.get(f"{name}_{i}"))) / (F.col("_n") + PRIOR) for i in (0, 1)
+        ]
+        slack = REACH * (high - low) + margin
+        # A document can't have too few symbols or repeats.
+        ends += [(low - slack if name == "word_length" else F.lit(0.0)).alias(f"{name}_least"), (high + slack).alias(f"{name}_most")]
+    return sketches.select(*by, "_n", *[q for n in RULES for q in quantiles(n)]).select(*by, *ends)
 
 
 ADDED = ["n_words", "word_chars", "n_lines", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -130,7 +144,7 @@ def quality_verdicts(
     """The ``carry`` columns of ``docs`` (all by default) with measures, ``base_failed`` and ``kept``.
 
     A row is kept if it passes the base rules and none of its shares lies far outside the
-    quartiles of its group, or of all rows where the group is small. Null group values form a
+    quantiles of its group, as ``fences`` has them. Null group values form a
     group of their own. A null or empty text fails the base rules, and so do all rows of a table
     with nothing but such texts. Repeated rows are judged alike. Columns of ``docs`` with the
     names of added ones are replaced; other names do not matter.
@@ -140,14 +154,13 @@ def quality_verdicts(
     # Carried columns travel in one struct, so that no name of theirs can clash.
     rows = docs.select(F.struct(*carried).alias("row"), F.col(text_col).alias("text"), *[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)])
     measured = materialise(with_measures(rows).drop("text"), "measures")
-    groups, whole = fences(measured, keys)
+    groups = fences(measured, keys)
     limits = groups.select(*[F.col(k).alias(f"of_{k}") for k in keys], *groups.columns[len(by) :])
     same = [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys]
     judged = measured.join(limits, same, "left")
     passes = F.lit(True)
     for name, share in shares().items():
-        least, most = [F.coalesce(F.col(f"group_{name}_{e}"), F.lit(whole.get(f"all_{name}_{e}"))) for e in ("least", "most")]
-        passes = passes & (share >= least) & (share <= most)
+        passes = passes & (share >= F.col(f"{name}_least")) & (share <= F.col(f"{name}_most"))
     failed = base_failed()
     return judged.withColumns(
         {"base_failed": failed, "kept": F.when(failed, F.lit(False)).otherwise(F.coalesce(passes, F.lit(True)))}

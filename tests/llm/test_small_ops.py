@@ -214,6 +214,41 @@ def test_thresholds_follow_the_group(spark):
     assert all(kept[i] for i in range(300))
 
 
+def test_limits_follow_the_dirt_of_a_source(spark):
+    """Each learnt measure: more of it in one source raises the limit there, and hardly elsewhere."""
+    rng = random.Random(9)
+
+    def text(symbols, lines, again):
+        own = [words(rng, 12, 10**9) for _ in range(10)]
+        own[1 : 1 + lines] = [own[0]] * lines
+        return "\n".join(own) + " ###" * symbols + " again and again and" * again
+
+    def limits(times):
+        rows = [(i, text(0, 0, 0), "en", "plain", 1) for i in range(300)]
+        rows += [(i, text(i % 4 * 5 * times, 0, 0), "en", "symbol_share", 1) for i in range(300, 600)]
+        rows += [(i, text(0, i % 2 * times, 0), "en", "repeat_line_share", 1) for i in range(600, 900)]
+        rows += [(i, text(0, 0, i % 12 // 11 * times), "en", "repeat_word_share", 1) for i in range(900, 1200)]
+        measured = quality.with_measures(spark.createDataFrame(rows, SCHEMA)).drop("text")
+        return {r["source"]: r.asDict() for r in quality.fences(measured, ["source"]).collect()}
+
+    once, twice = limits(2), limits(4)
+    for name in ("symbol_share", "repeat_line_share", "repeat_word_share"):
+        least, most = once[name][f"{name}_most"], twice[name][f"{name}_most"]
+        assert most > 1.2 * least, name
+        assert twice["plain"][f"{name}_most"] < most, name
+
+
+def test_limits_move_smoothly_with_the_size_of_a_group(spark):
+    rng = random.Random(10)
+    plain = [(i, words(rng, 80, 10**9), "en", "plain", 1) for i in range(400)]
+    found = []
+    for n in (10, 99, 100, 101):
+        rows = plain + [(i, words(rng, 60, 10**9) + " ###" * 20, "en", "code", 1) for i in range(n)]
+        measured = quality.with_measures(spark.createDataFrame(rows, SCHEMA)).drop("text")
+        found.append(quality.fences(measured, ["source"]).where("source = 'code'").first()["symbol_share_most"])
+    assert found == sorted(found) and found[3] - found[1] < 0.1 * found[2]
+
+
 # --- lines ----------------------------------------------------------------------------------
 
 
