@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import itertools
-import math
 import random
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml import Model, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 from skyframe import constants as K
 from skyframe.functions.columns import class_label
 from skyframe.functions.ordering import numbered
+from skyframe.operators import histogram_trees as trees
 from skyframe.operators import metrics
 from skyframe.operators.encoding import CrossFitPipeline, linear_preprocessing, tree_preprocessing
 from skyframe.operators.split import (
@@ -29,7 +29,7 @@ from skyframe.operators.split import (
     stratified_split,
     train_plus_val,
 )
-from skyframe.session import materialise
+from skyframe.session import materialise, ship_package
 from skyframe.sources.models import append_run, load_model, save_model
 
 # Defaults of the three candidates, by their reported names.
@@ -62,20 +62,13 @@ GRIDS = {
     },
 }
 
-DEEPEST_TREE = 30
-LEAST_BINS = 256
+#: Places of the category codes in the vector of the boosted trees.
+NATIVE = list(range(len(K.LOW_CARD_FEATURES)))
 PREDICTION_COLUMNS = ["predicted_class", "predicted_label", "probability_delayed"]
 
 
-def classifier(name: str, rows: int, seed: int = K.SEED, categories: int = 0, **params):
-    """The estimator of a candidate; ``rows`` is the size of the training set.
-
-    ``categories`` is the largest number of categories of a column: trees get a bin for each, and
-    one for unseen values.
-
-    Spark has no leaf budget and no L2 term for boosted trees: the leaf budget becomes
-    the depth that holds it, and ``l2_regularization`` has no effect.
-    """
+def classifier(name: str, rows: int, seed: int = K.SEED, **params):
+    """The estimator of a candidate; ``rows`` is the size of the training set."""
     p = {**DEFAULTS[name], **params}
     common = {"featuresCol": "features", "labelCol": K.TARGET}
     if name == LOGISTIC:
@@ -88,22 +81,21 @@ def classifier(name: str, rows: int, seed: int = K.SEED, categories: int = 0, **
             **common,
         )
     if name == FOREST:
-        return RandomForestClassifier(
+        return trees.TwoPhaseForest(
             numTrees=p["n_estimators"],
-            maxDepth=p["max_depth"] or DEEPEST_TREE,
-            minInstancesPerNode=p["min_samples_leaf"],
-            featureSubsetStrategy=str(p["max_features"]),
-            maxBins=max(LEAST_BINS, categories + 1),
+            maxDepth=p["max_depth"] or 0,
+            minSamplesLeaf=p["min_samples_leaf"],
+            maxFeatures=str(p["max_features"]),
             seed=seed,
             **common,
         )
-    return GBTClassifier(
+    return trees.HistogramBoosting(
+        categorical=NATIVE,
+        learningRate=p["learning_rate"],
         maxIter=p["max_iter"],
-        stepSize=p["learning_rate"],
-        maxDepth=math.ceil(math.log2(p["max_leaf_nodes"])),
-        minInstancesPerNode=p["min_samples_leaf"],
-        maxBins=max(LEAST_BINS, categories + 1),
-        seed=seed,
+        maxLeafNodes=p["max_leaf_nodes"],
+        minSamplesLeaf=p["min_samples_leaf"],
+        l2=p["l2_regularization"],
         **common,
     )
 
@@ -115,22 +107,14 @@ def preprocessing(name: str, fold_key: Sequence[str] = ()) -> list:
 
 
 def delay_pipeline(
-    name: str, rows: int, seed: int = K.SEED, fold_key: Sequence[str] = (), categories: int = 0, **params
+    name: str, rows: int, seed: int = K.SEED, fold_key: Sequence[str] = (), **params
 ) -> CrossFitPipeline:
     """Feature engineering, preprocessing and classifier as one pipeline."""
-    return CrossFitPipeline(stages=[*preprocessing(name, fold_key), classifier(name, rows, seed, categories, **params)])
-
-
-def sizes_of(train: DataFrame) -> tuple[int, int]:
-    """Rows, and the largest number of categories of a column, in one pass."""
-    named = [c for c in (*K.LOW_CARD_FEATURES, *K.HIGH_CARD_FEATURES) if c in train.columns]
-    row = train.agg(F.count("*"), *[F.count_distinct(c) for c in named]).first()
-    return row[0], max(row[1:], default=0)
+    return CrossFitPipeline(stages=[*preprocessing(name, fold_key), classifier(name, rows, seed, **params)])
 
 
 def fit(name: str, train: DataFrame, seed: int = K.SEED, fold_key: Sequence[str] = (), **params) -> PipelineModel:
-    rows, categories = sizes_of(train)
-    return delay_pipeline(name, rows, seed, fold_key, categories, **params).fit(train)
+    return delay_pipeline(name, train.count(), seed, fold_key, **params).fit(train)
 
 
 def predict_batch(model: Model, records: DataFrame) -> DataFrame:
@@ -186,10 +170,13 @@ def random_search(
     """(params, mean ROC-AUC over the folds) of each draw, best first.
 
     Preprocessing does not depend on the draw, so it is fitted once per fold and the
-    draws are fitted side by side on the prepared fold.
+    draws are fitted side by side on the prepared fold. Boosted trees of all draws and folds
+    grow together, over one set of bins: neither codes nor bins see the target.
     """
     subset = materialise(stratified_folds(stratified_sample(train, sample, seed=seed, key=key), folds, seed=seed, key=key), "search")
     points = draw_params(name, draws, seed)
+    if name == BOOSTING:
+        return _ranked(points, _boosting_aucs(points, subset, folds, key))
     judge = BinaryClassificationEvaluator(labelCol=K.TARGET, metricName="areaUnderROC", numBins=0)
     totals = [0.0] * len(points)
     for fold in range(folds):
@@ -198,18 +185,41 @@ def random_search(
         prepared, features = CrossFitPipeline(stages=preprocessing(name, key)).fitTransform(fit_rows)
         features = features.select("features", K.TARGET).persist()
         judged = prepared.transform(judged).select("features", K.TARGET).persist()
-        rows, categories = sizes_of(fit_rows)
+        rows = fit_rows.count()
 
         def score(point: dict) -> float:
-            return judge.evaluate(classifier(name, rows, seed, categories, **point).fit(features).transform(judged))
+            return judge.evaluate(classifier(name, rows, seed, **point).fit(features).transform(judged))
 
         with ThreadPoolExecutor(parallelism) as pool:
             for i, auc in enumerate(pool.map(score, points)):
                 totals[i] += auc
         features.unpersist()
         judged.unpersist()
-    ranked = sorted(range(len(points)), key=lambda i: -totals[i])
-    return [(points[i], totals[i] / folds) for i in ranked]
+    return _ranked(points, [t / folds for t in totals])
+
+
+def _ranked(points: list[dict], aucs: list[float]) -> list[tuple[dict, float]]:
+    return [(points[i], aucs[i]) for i in sorted(range(len(points)), key=lambda i: -aucs[i])]
+
+
+def _boosting_aucs(points: list[dict], subset: DataFrame, folds: int, key: Sequence[str]) -> list[float]:
+    """The mean ROC-AUC of each point over the folds, all fits in the same waves."""
+    ship_package(subset.sparkSession)
+    _, features = CrossFitPipeline(stages=preprocessing(BOOSTING, key)).fitTransform(subset)
+    rows = features.select(vector_to_array("features").alias("x"), F.col(K.TARGET).cast("double").alias("y"), F.col("fold").cast("int").alias("part"))
+    rows = materialise(rows, "search-rows")
+    bins = trees.find_bins(rows, len(rows.first()["x"]), NATIVE, trees.BOOSTING_BINS)
+    fits = [
+        trees.Fit(p["learning_rate"], p["max_iter"], p["max_leaf_nodes"], p["min_samples_leaf"], p["l2_regularization"], fold)
+        for p in points
+        for fold in range(folds)
+    ]
+    blocks = trees.boost(trees.pack_blocks(rows, bins), bins, NATIVE, fits)
+    scored = trees.scores_of(blocks, len(fits)).where(F.col("part") == F.col("fit") % folds)
+    scored = scored.withColumnRenamed("y", K.TARGET).withColumn("predicted_class", (F.col("p") >= metrics.THRESHOLD).cast("int"))
+    found = metrics.classification_metrics(scored, score="p", within=["fit"]).collect()
+    auc = {r["fit"]: r["roc_auc"] for r in found}
+    return [sum(auc[i * folds + fold] for fold in range(folds)) / folds for i in range(len(points))]
 
 
 def refit(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +39,14 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers started from now on find this package where the driver found it."""
+    environment = spark.sparkContext.environment
+    root, paths = str(Path(__file__).resolve().parents[1]), environment.get("PYTHONPATH", "").split(":")
+    if root not in paths:
+        environment["PYTHONPATH"] = ":".join([root, *filter(None, paths)])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
