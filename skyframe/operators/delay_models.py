@@ -8,16 +8,20 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import keyword_only
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyframe import constants as K
 from skyframe.functions.columns import class_label
 from skyframe.functions.ordering import numbered
+from skyframe.functions.permutation import ROUNDS, permuted, round_keys
 from skyframe.operators import histogram_trees as trees
 from skyframe.operators import metrics
 from skyframe.operators.encoding import CrossFitPipeline, linear_preprocessing, tree_preprocessing
@@ -100,6 +104,27 @@ def classifier(name: str, rows: int, seed: int = K.SEED, **params):
     )
 
 
+class FixedLogistic(Model, DefaultParamsReadable, DefaultParamsWritable):
+    """A logistic model of stated weights over plain columns, for models that were fitted elsewhere."""
+
+    columns = Param(Params._dummy(), "columns", "columns of the weights", TypeConverters.toListString)
+    weights = Param(Params._dummy(), "weights", "weights", TypeConverters.toListFloat)
+    intercept = Param(Params._dummy(), "intercept", "intercept", TypeConverters.toFloat)
+
+    @keyword_only
+    def __init__(self, *, columns: Sequence[str] = (), weights: Sequence[float] = (), intercept: float = 0.0):
+        super().__init__()
+        self._set(columns=list(columns), weights=list(weights), intercept=intercept)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        """Add ``probability``; a null counts as 0."""
+        margin = F.lit(self.getOrDefault("intercept"))
+        for c, w in zip(self.getOrDefault("columns"), self.getOrDefault("weights"), strict=True):
+            margin = margin + F.lit(w) * F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+        p = 1 / (1 + F.exp(-margin))
+        return df.withColumn("probability", array_to_vector(F.array(1 - p, p)))
+
+
 def preprocessing(name: str, fold_key: Sequence[str] = ()) -> list:
     if name == LOGISTIC:
         return linear_preprocessing(fold_key)
@@ -240,32 +265,33 @@ def permutation_importance(
     """(column, importance): mean drop of ROC-AUC when a raw column is shuffled, largest first.
 
     All (column, repeat) shuffles are scored as one frame. All rows take part unless ``sample``
-    asks for fewer. A shuffle numbers the rows in an order of its own and takes the value of the
-    row that has this number in the order of keys; no window holds more than a range of rows.
+    asks for fewer. Rows are numbered once, in the order of keys; where a shuffle sends a value
+    follows from the number by arithmetic, so that nothing is sorted again and only numbers and
+    single values move to the rows that take them.
     """
     columns = list(columns or [c for c in rows.columns if c != K.TARGET])
     rows = rows.select(*dict.fromkeys([*columns, *[c for c in K.FEATURE_COLUMNS if c in rows.columns], K.TARGET]))
     chosen = rows if sample is None else sample_n(rows, sample, seed, key)
     keyed = chosen.withColumn("_key", row_key(rows.columns, seed, key))
     base = materialise(numbered(keyed, ["_key"], "_row").drop("_key"), "importance")
-    shuffles = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("column"), F.lit(r).alias("repeat"))
-                for c in columns
-                for r in range(repeats)
-            ]
-        )
-    )
-    mixed = (
-        base.select("*", shuffles.alias("s"))
-        .select(*base.columns, "s.*")
-        .withColumn("_order", F.md5(F.concat_ws("|", "_row", "column", "repeat", F.lit(seed))))
+    n = base.count()
+    kinds = {f.name: f.dataType for f in rows.schema}
+    shuffles = [(c, r, *round_keys(c, r, seed)) for c in columns for r in range(repeats)]
+    names = [f"k{i}" for i in range(ROUNDS)]
+    asked = F.array(*[F.struct(*[F.lit(v).alias(a) for v, a in zip(s, ("column", "repeat", *names))]) for s in shuffles])
+    value = F.coalesce(*[F.when(F.col("s.column") == c, F.col(c).cast("string")) for c in columns])
+    sent = base.select("*", F.explode(asked).alias("s")).select(
+        (permuted(F.col("_row") - 1, n, [F.col(f"s.{k}").cast("long") for k in names]) + 1).alias("_row"),
+        F.struct("s.column", "s.repeat", value.alias("value")).alias("given"),
     )
-    shuffled = numbered(mixed, ["_order", "_row"], "_donor", ["column", "repeat"]).drop("_order")
-    donors = base.select(F.col("_row").alias("_donor"), *[F.col(c).alias(f"_d_{c}") for c in columns])
-    replaced = shuffled.join(donors, "_donor").withColumns(
-        {c: F.when(F.col("column") == c, F.col(f"_d_{c}")).otherwise(F.col(c)) for c in columns}
+    # Each row is sent one value of each shuffle: as many as there are shuffles, whatever the data.
+    gifts = sent.groupBy("_row").agg(F.collect_list("given").alias("gifts"))
+    taken = base.join(gifts, "_row").select(*rows.columns, F.explode("gifts").alias("given"))
+    replaced = taken.select(
+        *[F.when(F.col("given.column") == c, F.col("given.value").cast(kinds[c])).otherwise(F.col(c)).alias(c) for c in columns],
+        *[c for c in rows.columns if c not in columns],
+        "given.column",
+        "given.repeat",
     )
     whole = metrics.classification_metrics(predict_batch(model, base)).first()["roc_auc"]
     scored = predict_batch(model, replaced.select(*rows.columns, "column", "repeat"))

@@ -124,26 +124,27 @@ def with_icao(rows: DataFrame, iata_column: str, mapping: DataFrame) -> DataFram
     return rows.join(m, F.col(iata_column) == F.col("_iata"), "left").drop("_iata")
 
 
-def build_fact_states(docs: DataFrame, dim_aircraft: DataFrame, dim_airlines: DataFrame) -> DataFrame:
-    """Every observation of every landed snapshot, key (icao24, observed_at), airline resolved.
+def newest_observation(rows: DataFrame) -> DataFrame:
+    """One row per (icao24, observed_at): the same aircraft can sit in several documents of one call.
 
-    The same aircraft can sit in several documents of one call; the row with the
-    newest position is kept, chosen map-side first.
+    The row with the newest position is kept, chosen map-side first.
     """
     w = Window.partitionBy("icao24", "observed_at").orderBy(
         F.desc_nulls_last("time_position"),
         *[F.asc_nulls_last(c) for c in POSITION_COLUMNS if c not in ("icao24", "time_position")],
     )
-    observed = (
-        unify_positions(docs)
-        .withColumnRenamed("updated_at", "observed_at")
-        .drop("created_at")
-        .where(F.col("icao24").isNotNull())
-        .withColumn("_rank", F.row_number().over(w))
-        .where("_rank = 1")
-        .drop("_rank")
-    )
-    return resolve_airline(observed, dim_aircraft, dim_airlines)
+    return rows.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+
+
+def observations(docs: DataFrame) -> DataFrame:
+    """Every observation of the documents, newest per (icao24, observed_at) among them."""
+    rows = unify_positions(docs).withColumnRenamed("updated_at", "observed_at").drop("created_at")
+    return newest_observation(rows.where(F.col("icao24").isNotNull()))
+
+
+def build_fact_states(docs: DataFrame, dim_aircraft: DataFrame, dim_airlines: DataFrame) -> DataFrame:
+    """Every observation of every landed snapshot, key (icao24, observed_at), airline resolved."""
+    return resolve_airline(observations(docs), dim_aircraft, dim_airlines)
 
 
 def stub_aircraft(facts: DataFrame, dim_aircraft: DataFrame) -> DataFrame:

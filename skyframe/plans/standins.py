@@ -106,8 +106,8 @@ def with_views(sql: str) -> str:
     if not needed:
         return sql
     ctes = ",\n".join(f"{v} AS ({VIEWS[v]})" for v in needed)
-    head = re.match(r"\s*WITH\b", sql)
-    return f"WITH {ctes},{sql[head.end():]}" if head else f"WITH {ctes}\n{sql}"
+    head = re.match(r"\s*WITH( RECURSIVE)?\b", sql)
+    return f"{head[0]} {ctes},{sql[head.end():]}" if head else f"WITH {ctes}\n{sql}"
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -18,7 +18,8 @@ from skyframe.plans.position_queries import (
 from skyframe.plans.registry import query
 from skyframe.plans.standins import PAGE_ROWS, view
 from skyframe.session import materialise, new_folder
-from skyframe.sources import reference
+from skyframe.sources import reference, snapshots
+from skyframe.streaming.facts import read_fact_states, stream_fact_states
 
 
 def dims(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
@@ -188,6 +189,21 @@ def build_fact_states(spark, sf_dir):
     return star.build_fact_states(documents(spark, sf_dir), *dims(spark, sf_dir))
 
 
+@query(f"WITH {FACTS} {resolved('facts')}")
+def append_fact_states(spark, sf_dir):
+    """The same history from two landings with a day in common, the second of which reads new files only."""
+    landing, facts, checkpoint = (new_folder(spark, x) for x in ("landing", "facts", "facts-checkpoint"))
+    docs = documents(spark, sf_dir)
+    day = F.to_date("fetched_at")
+    middle = docs.agg(F.date_add(F.min(day), F.floor(F.date_diff(F.max(day), F.min(day)) / 2).cast("int"))).first()[0]
+    for part in (day <= F.lit(middle), day >= F.lit(middle)):
+        for source in (K.POSITIONAL_SOURCE, K.KEYED_SOURCE):
+            mine = docs.where((F.col("source") == source) & part).select("payload", "fetched_at")
+            snapshots.land_snapshots(mine, landing, source, "run", rebalance=True)
+        stream_fact_states(spark, landing, facts, checkpoint).awaitTermination()
+    return read_fact_states(spark, facts, *dims(spark, sf_dir))
+
+
 @query(
     """
     SELECT icao24, registration, operator_icao, false AS is_stub FROM dim_aircraft

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyframe import constants as K
+from skyframe.functions.permutation import FACTOR, PRIME, ROUNDS, round_keys
 from skyframe.operators import delay_models as models
 from skyframe.operators import encoding, metrics
-from skyframe.plans.profile_queries import KEY, flights, split_of
+from skyframe.operators.histogram_trees import HistogramBoosting
+from skyframe.plans.profile_queries import KEY, SPLIT, flights, split_of
 from skyframe.plans.registry import query
 from skyframe.plans.standins import view
 from skyframe.session import materialise, new_folder
@@ -195,12 +197,33 @@ def roc_points(spark, sf_dir):
     return points.select("threshold", F.round("fpr", 9).alias("fpr"), F.round("tpr", 9).alias("tpr"))
 
 
-# What a fitted model answers has no SQL twin, but what must hold of the answers has: the queries
-# below return these facts, one row each, and only the raw measures of a fit go without a twin.
+# What a model fitted here answers has no SQL twin. Scoring, evaluation, importance and the table
+# of scores are therefore checked on a model of stated weights, value by value.
 
+# Weights that binary fractions hold exactly, so that equal scores are equal in any engine.
+STATED = {"Time": 1 / 512, "Length": -1 / 256, "DayOfWeek": 1 / 8, "IsWeekend": -1 / 2}
+INTERCEPT = -3 / 4
 
-# A point of the search grid: all trees at their full depth take too long for a check.
-FOREST_POINT = {"n_estimators": 100, "max_depth": 10}
+
+def stated_model() -> PipelineModel:
+    fixed = models.FixedLogistic(columns=list(STATED), weights=list(STATED.values()), intercept=INTERCEPT)
+    return PipelineModel([encoding.FeatureEngineer(), fixed])
+
+
+def stated_p(**renamed: str) -> str:
+    """SQL for the probability by that model."""
+    of = {c: renamed.get(c, c) for c in STATED}
+    of["IsWeekend"] = f"(CASE WHEN {of['DayOfWeek']} IN (6, 7) THEN 1 ELSE 0 END)"
+    margin = " + ".join(f"{w}e0 * {of[c]}" for c, w in STATED.items())
+    return f"(1e0 / (1e0 + exp(-({INTERCEPT}e0 + {margin}))))"
+
+
+LABEL_SQL = "CASE WHEN p >= 0.5 THEN 'Delayed' ELSE 'On-time' END"
+SCORED_SQL = f"""CAST(p >= 0.5 AS integer) AS predicted_class, {LABEL_SQL} AS predicted_label, round(p, 9) AS probability_delayed"""
+
+
+def rounded(scored: DataFrame) -> DataFrame:
+    return scored.withColumn("probability_delayed", F.round("probability_delayed", 9))
 
 
 def parts(spark, sf_dir) -> dict[str, DataFrame]:
@@ -225,7 +248,7 @@ def fit_logistic(spark, sf_dir):
 
 @query()
 def fit_forest(spark, sf_dir):
-    return _validated(spark, sf_dir, models.FOREST, **FOREST_POINT)
+    return _validated(spark, sf_dir, models.FOREST)
 
 
 @query()
@@ -233,18 +256,6 @@ def fit_boosting(spark, sf_dir):
     return _validated(spark, sf_dir, models.BOOSTING)
 
 
-def facts(scored: DataFrame) -> list:
-    """What must hold of every scored record."""
-    p = F.col("probability_delayed")
-    label = F.when(F.col("predicted_class") == 1, "Delayed").otherwise("On-time")
-    return [
-        p.between(0, 1).alias("p_ok"),
-        (F.col("predicted_class") == (p >= 0.5).cast("int")).alias("class_ok"),
-        (F.col("predicted_label") == label).alias("label_ok"),
-    ]
-
-
-FACTS_SQL = "true AS p_ok, true AS class_ok, true AS label_ok"
 NAMES = ", ".join(f"('{n}')" for n in models.DEFAULTS)
 MEASURES = ("accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc")
 
@@ -252,7 +263,7 @@ MEASURES = ("accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc")
 @query(f"SELECT model, true AS in_range, 1 AS selected FROM (VALUES {NAMES}) m(model)")
 def select_model(spark, sf_dir):
     of = parts(spark, sf_dir)
-    candidates = models.fit_candidates(of["train"], {models.FOREST: FOREST_POINT}, fold_key=KEY)
+    candidates = models.fit_candidates(of["train"], fold_key=KEY)
     best, results = models.select_model(candidates, of["val"])
     top = max(r["roc_auc"] for r in results.values())
     chosen = sum(n == best and r["roc_auc"] == top for n, r in results.items())
@@ -281,28 +292,63 @@ def refit(spark, sf_dir):
     return metrics.classification_metrics(models.predict_batch(model, of["test"]))
 
 
-COLUMNS_SQL = ", ".join(f"('{c}')" for c in ("Flight", *K.FEATURE_COLUMNS))
+SHUFFLED = ("Flight", *K.FEATURE_COLUMNS)
+
+
+def _keys_sql() -> str:
+    rows = [(c, r, *round_keys(c, r, K.SEED)) for c in SHUFFLED for r in range(K.IMPORTANCE_REPEATS)]
+    return ", ".join(f"('{c}', {r}, {', '.join(f'{k}::bigint' for k in keys)})" for c, r, *keys in rows)
+
+
+def _feistel_sql(start: str) -> str:
+    """SQL for one pass over the rounds: the CTE ``start`` has ``column, repeat, source, x`` and the round keys."""
+    step = f"SELECT *, x // (SELECT side FROM size) AS a0, x % (SELECT side FROM size) AS b0 FROM {start}"
+    for i in range(ROUNDS):
+        mixed = f"((b{i} * {FACTOR} + k{i}) % {PRIME})"
+        step = f"SELECT *, b{i} AS a{i + 1}, (a{i} + ({mixed} * {mixed}) % {PRIME}) % (SELECT side FROM size) AS b{i + 1} FROM ({step})"
+    return f'SELECT "column", repeat, source, k0, k1, k2, k3, a{ROUNDS} * (SELECT side FROM size) + b{ROUNDS} AS x FROM ({step})'
+
+
+AUC = """(sum(neg * (cp - pos + pos / 2e0)) / (CAST(sum(pos) AS double) * sum(neg)))"""
+#: Area under the curve by column and repeat, where a shuffle replaces one column, and of the rows as they are.
+IMPORTANCE_SQL = f"""
+    base AS (SELECT *, row_number() OVER (ORDER BY md5(concat(CAST(Flight AS varchar), '|{K.SEED}'))) - 1 AS place
+      FROM split WHERE split = 'test'),
+    size AS (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS bigint) AS side FROM base),
+    keys("column", repeat, k0, k1, k2, k3) AS (VALUES {_keys_sql()}),
+    begun AS (SELECT "column", repeat, place AS source, k0, k1, k2, k3, place AS x FROM base, keys),
+    walk AS ({_feistel_sql("begun")} UNION ALL ({_feistel_sql("(SELECT * FROM walk WHERE x >= (SELECT n FROM size))")})),
+    moved AS (SELECT "column", repeat, b.*, d.Time AS t2, d.Length AS l2, d.DayOfWeek AS d2 FROM walk w
+      JOIN base b ON b.place = w.x JOIN base d ON d.place = w.source WHERE x < (SELECT n FROM size)),
+    chosen AS (SELECT "column", repeat, Class, CASE WHEN "column" = 'Time' THEN t2 ELSE Time END AS Time,
+      CASE WHEN "column" = 'Length' THEN l2 ELSE Length END AS Length,
+      CASE WHEN "column" = 'DayOfWeek' THEN d2 ELSE DayOfWeek END AS DayOfWeek FROM moved
+      UNION ALL SELECT 'none', 0, Class, Time, Length, DayOfWeek FROM base),
+    points AS (SELECT "column", repeat, {stated_p()} AS p, Class FROM chosen),
+    grouped AS (SELECT "column", repeat, p, count(*) FILTER (Class = 1) AS pos, count(*) FILTER (Class = 0) AS neg
+      FROM points GROUP BY ALL),
+    summed AS (SELECT *, sum(pos) OVER (PARTITION BY "column", repeat ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cp
+      FROM grouped),
+    areas AS (SELECT "column", repeat, {AUC} AS auc FROM summed GROUP BY "column", repeat),
+    drops AS (SELECT "column", (SELECT auc FROM areas WHERE "column" = 'none') - avg(auc) AS importance FROM areas
+      WHERE "column" <> 'none' GROUP BY "column")
+"""
 
 
-@query(f'SELECT c AS "column", c = \'Flight\' AS never_used, true AS in_range FROM (VALUES {COLUMNS_SQL}) t(c)')
+@query(f'WITH RECURSIVE {SPLIT}, {IMPORTANCE_SQL} SELECT "column", round(importance, 9) AS importance FROM drops')
 def permutation_importance(spark, sf_dir):
-    of = parts(spark, sf_dir)
-    found = models.permutation_importance(logistic(of["train"]), of["test"], key=KEY)
-    importance = F.col("importance")
-    # The model never sees the flight number, so shuffling it changes nothing; other columns may also come out at 0.
-    unused = (F.col("column") == "Flight") & (F.abs(importance) < 1e-12)
-    return found.select("column", unused.alias("never_used"), importance.between(-1, 1).alias("in_range"))
+    found = models.permutation_importance(stated_model(), parts(spark, sf_dir)["test"], key=KEY)
+    return found.select("column", F.round("importance", 9).alias("importance"))
 
 
-@query(f"SELECT Flight, {FACTS_SQL} FROM flights")
+@query(f"SELECT Flight, {SCORED_SQL} FROM (SELECT Flight, {stated_p()} AS p FROM flights)")
 def predict_batch(spark, sf_dir):
-    scored = models.predict_batch(logistic(parts(spark, sf_dir)["train"]), flights(spark, sf_dir))
-    return scored.select("Flight", *facts(scored))
+    return rounded(models.predict_batch(stated_model(), flights(spark, sf_dir)).select("Flight", *models.PREDICTION_COLUMNS))
 
 
 @query("SELECT Flight, true AS same FROM flights")
 def load_model(spark, sf_dir):
-    """A model read back gives every flight the same probability."""
+    """A fitted model read back gives every flight the same probability."""
     model, path = logistic(parts(spark, sf_dir)["train"]), new_folder(spark, "model")
     store.save_model(model, path)
     rows = flights(spark, sf_dir)
@@ -313,47 +359,102 @@ def load_model(spark, sf_dir):
     return two[0].join(two[1], "Flight").select("Flight", (F.abs(F.col("p0") - F.col("p1")) < 1e-12).alias("same"))
 
 
+MEASURED_SQL = """
+    r AS (SELECT *, sum(pos) OVER w AS cp, sum(neg) OVER w AS cn FROM grouped WHERE "column" = 'none'
+      WINDOW w AS (ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    s AS (SELECT CAST(sum(pos) AS double) AS P, CAST(sum(neg) AS double) AS N,
+      sum(pos) FILTER (p >= 0.5) AS tp, sum(neg) FILTER (p >= 0.5) AS fp,
+      sum(neg * (cp - pos + pos / 2e0)) AS wins, sum(pos * (cp / (cp + cn))) AS steps FROM r),
+    measured AS (SELECT (tp + N - fp) / (P + N) AS accuracy, tp / (tp + fp) AS precision, tp / P AS recall,
+      2 * tp / (P + tp + fp) AS f1, wins / (P * N) AS roc_auc, steps / P AS pr_auc FROM s)
+"""
+
+
 @query(
     f"""
-    SELECT m AS part, true AS in_range FROM (VALUES {", ".join(f"('{m}')" for m in MEASURES)}) a(m)
-    UNION ALL SELECT c, true FROM (VALUES {COLUMNS_SQL}) b(c)
+    WITH RECURSIVE {SPLIT}, {IMPORTANCE_SQL}, {MEASURED_SQL}
+    {" UNION ALL ".join(f"SELECT '{m}' AS part, round({m}, 9) AS value FROM measured" for m in MEASURES)}
+    UNION ALL SELECT "column", round(importance, 9) FROM drops
     """
 )
 def evaluate_saved(spark, sf_dir):
     path = new_folder(spark, "model")
-    store.save_model(logistic(parts(spark, sf_dir)["train"]), path)
+    store.save_model(stated_model(), path)
     found, importance = models.evaluate_saved(path, flights(spark, sf_dir), key=KEY)
-    measured = found.unpivot([], list(MEASURES), "part", "value").select("part", F.col("value").between(0, 1).alias("in_range"))
-    return measured.unionByName(
-        importance.select(F.col("column").alias("part"), F.col("importance").between(-1, 1).alias("in_range"))
-    )
+    measured = found.unpivot([], list(MEASURES), "part", "value")
+    both = measured.unionByName(importance.select(F.col("column").alias("part"), F.col("importance").alias("value")))
+    return both.withColumn("value", F.round("value", 9))
 
 
-@query(f"SELECT 5 AS records, {FACTS_SQL}, true AS actual_ok")
+@query(
+    f"""
+    WITH {SPLIT}, five AS (SELECT *, {stated_p()} AS p FROM split WHERE split = 'test'
+      ORDER BY md5(concat(CAST(Flight AS varchar), '|{K.SEED}')) LIMIT 5)
+    SELECT {", ".join(K.FEATURE_COLUMNS)}, Class AS actual_class, CASE Class WHEN 1 THEN 'Delayed' ELSE 'On-time' END AS actual_label,
+      CAST(p >= 0.5 AS integer) AS predicted_class, {LABEL_SQL} AS predicted_label, round(p, 3) AS probability_delayed FROM five
+    """
+)
 def prediction_vs_actual(spark, sf_dir):
-    of = parts(spark, sf_dir)
-    shown = models.prediction_vs_actual(logistic(of["train"]), of["test"], key=KEY)
-    actual = F.when(F.col("actual_class") == 1, "Delayed").otherwise("On-time") == F.col("actual_label")
-    # Rounded to three places, a probability just under a half may read 0.5.
-    p = F.col("probability_delayed")
-    fits = F.when(p == 0.5, F.lit(True)).otherwise((p > 0.5).cast("int") == F.col("predicted_class"))
-    label = F.when(F.col("predicted_class") == 1, "Delayed").otherwise("On-time") == F.col("predicted_label")
-    return shown.agg(
-        F.count("*").cast("int").alias("records"),
-        F.every(p.between(0, 1)).alias("p_ok"),
-        F.every(fits).alias("class_ok"),
-        F.every(label).alias("label_ok"),
-        F.every(actual).alias("actual_ok"),
-    )
+    return models.prediction_vs_actual(stated_model(), parts(spark, sf_dir)["test"], key=KEY)
 
 
-@query(f"SELECT Flight, run, {FACTS_SQL} FROM flights, (VALUES ('first'), ('second')) r(run)")
+@query(f"SELECT Flight, run, {SCORED_SQL} FROM (SELECT Flight, {stated_p()} AS p FROM flights), (VALUES ('first'), ('second')) r(run)")
 def gold_scores(spark, sf_dir):
     """All flights scored by two runs, appended to one table."""
-    model, path = logistic(parts(spark, sf_dir)["train"]), new_folder(spark, "gold-scores")
+    path = new_folder(spark, "gold-scores")
     for run in ("first", "second"):
-        scored = store.write_scores(models.predict_batch(model, flights(spark, sf_dir)), path, run)
-    return scored.select("Flight", F.col("run_id").alias("run"), *facts(scored))
+        scored = store.write_scores(models.predict_batch(stated_model(), flights(spark, sf_dir)), path, run)
+    return rounded(scored.select("Flight", F.col("run_id").alias("run"), *models.PREDICTION_COLUMNS))
+
+
+#: A boosted tree that SQL can follow: one round, three leaves, two columns of numbers and one of categories.
+SMALL_TREE = {"learningRate": 0.3, "maxIter": 1, "maxLeafNodes": 3, "minSamplesLeaf": 20, "l2": 1.5}
+
+
+def _tree_step(source: str, by: str, best: str) -> str:
+    """SQL for the best split of each group of ``source`` (``{by}, Flight, col, v, g, h``) as ``best``, and its rows that go left."""
+    l2, least = SMALL_TREE["l2"], SMALL_TREE["minSamplesLeaf"]
+    w = f"(PARTITION BY {by}, col ORDER BY k, v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    square = lambda g, h: f"({g}) * ({g}) / ({h} + {l2}e0)"
+    gain = f"{square('gl', 'hl')} + {square('ga - gl', 'ha - hl')} - {square('ga', 'ha')}"
+    return f"""
+    {best}_cells AS (SELECT {by}, col, v, sum(g) AS g, sum(h) AS h, count(*) AS n FROM {source} GROUP BY ALL),
+    {best}_keys AS (SELECT *, CASE WHEN col = 0 THEN g / (h + {l2}e0) ELSE v END AS k FROM {best}_cells),
+    {best}_sums AS (SELECT *, sum(g) OVER {w} AS gl, sum(h) OVER {w} AS hl, sum(n) OVER {w} AS nl,
+      sum(g) OVER (PARTITION BY {by}, col) AS ga, sum(h) OVER (PARTITION BY {by}, col) AS ha, sum(n) OVER (PARTITION BY {by}, col) AS na
+      FROM {best}_keys),
+    {best} AS (SELECT *, {gain} AS gain FROM {best}_sums WHERE nl >= {least} AND na - nl >= {least}
+      ORDER BY round({gain}, 9) DESC, {by}, col, k LIMIT 1),
+    {best}_left AS (SELECT Flight FROM {source} s JOIN {best}_keys c USING ({by}, col, v) JOIN {best} b
+      ON b.col = s.col AND b.{by} = s.{by} WHERE (c.k, c.v) <= (b.k, b.v))"""
+
+
+TREE_SQL = f"""
+    WITH d AS (SELECT Flight, Class, floor(Time / 60) AS hour, CAST(DayOfWeek AS double) AS dow,
+      CAST(dense_rank() OVER (ORDER BY Airline) - 1 AS double) AS airline FROM flights),
+    start AS (SELECT avg(Class) AS p0 FROM d),
+    long AS (SELECT 0 AS node, Flight, p0 - Class AS g, p0 * (1 - p0) AS h, UNNEST([0, 1, 2]) AS col, UNNEST([airline, hour, dow]) AS v FROM d, start),
+    {_tree_step("long", "node", "one")},
+    sides AS (SELECT * REPLACE (CASE WHEN Flight IN (SELECT Flight FROM one_left) THEN 1 ELSE 2 END AS node) FROM long),
+    {_tree_step("sides", "node", "two")},
+    leaves AS (SELECT s.Flight, s.g, s.h, CASE WHEN s.node <> (SELECT node FROM two) THEN 0
+      WHEN s.Flight IN (SELECT Flight FROM two_left) THEN 1 ELSE 2 END AS leaf FROM sides s WHERE col = 0),
+    leaf_values AS (SELECT leaf, -{SMALL_TREE["learningRate"]}e0 * sum(g) / (sum(h) + {SMALL_TREE["l2"]}e0) AS value FROM leaves GROUP BY leaf)
+    SELECT Flight, round(1e0 / (1e0 + exp(-(ln(p0 / (1 - p0)) + value))), 9) AS probability_delayed
+    FROM leaves JOIN leaf_values USING (leaf), start
+"""
+
+
+@query(TREE_SQL)
+def boosted_tree(spark, sf_dir):
+    """Every flight's probability by one leaf-wise tree of three leaves."""
+    rows = flights(spark, sf_dir)
+    coder = encoding.OrdinalEncoder(inputCols=["Airline"], outputCols=["airline_code"]).fit(rows)
+    x = F.array("airline_code", F.floor(F.col("Time") / 60).cast("double"), F.col("DayOfWeek").cast("double"))
+    ready = coder.transform(rows).select("Flight", K.TARGET, array_to_vector(x).alias("features"))
+    model = HistogramBoosting(categorical=[0], **SMALL_TREE).fit(ready)
+    scored = model.transform(ready)
+    return scored.select("Flight", F.round(vector_to_array("probability")[1], 9).alias("probability_delayed"))
 
 
 SIZES_SQL = """

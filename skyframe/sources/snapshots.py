@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,6 +100,9 @@ def land_snapshots(
     """Append payloads to the landing folder; rows whose ``key`` is already stored are skipped.
 
     ``raw`` has a ``payload`` text column, optionally ``fetched_at`` and key columns.
+    Equal payloads are told by the digest that every landed row carries, so stored payloads are
+    not read again; with ``fetched_at`` in the key and in ``raw``, only the days of ``raw`` are
+    read. Null key values are equal to each other, so a row with one lands once.
     ``rebalance`` suits a backfill whose tasks each hold many days: days are brought
     together first, and Spark splits the heavy ones, so the folder gets few, even
     files. Returns the landed rows of this source.
@@ -106,23 +110,59 @@ def land_snapshots(
     spark = raw.sparkSession
     docs = prepare(raw, source, run_id, transform)
     if key:
-        docs = docs.dropDuplicates(list(key))
+        docs = with_digest(docs)
+        names = [DIGEST if c == "payload" else c for c in key]
+        docs = docs.dropDuplicates(names)
         if files.exists(spark, f"{path}/source={source}"):
-            stored = spark.read.parquet(path).where(F.col("source") == source).select(*key)
-            docs = docs.join(stored, list(key), "left_anti")
+            days = days_of(raw) if {"fetched_at"} <= set(key) & set(raw.columns) else None
+            docs = without_stored(docs, stored_keys(spark, path, source, names, days), names)
     if rebalance:
         docs = docs.hint("rebalance", "fetched_date")
     append_batch(docs, path, uuid.uuid4().hex)
     return read_snapshots(spark, path, source)
 
 
+DIGEST = "payload_digest"
+
+
+def with_digest(docs: DataFrame) -> DataFrame:
+    """Add the digest of the stored payload, unless it is there."""
+    return docs if DIGEST in docs.columns else docs.withColumn(DIGEST, F.sha2("payload", 256))
+
+
+def days_of(raw: DataFrame) -> list:
+    """The days on which calls of ``raw`` were made: one value per day reaches the driver."""
+    day = F.to_date(instant("fetched_at", raw.schema["fetched_at"].dataType.simpleString()))
+    return [r[0] for r in raw.select(day.alias("day")).distinct().collect()]
+
+
+def stored_keys(spark: SparkSession, path: str, source: str, names: Sequence[str], days: list | None = None) -> DataFrame:
+    """The named columns of what has landed for a source, on these days if given.
+
+    Rows that landed without a digest get it from their payload.
+    """
+    stored = spark.read.option("mergeSchema", True).parquet(path).where(F.col("source") == source)
+    if days is not None:
+        known = F.col("fetched_date").isin([d for d in days if d is not None]) if any(days) else F.lit(False)
+        stored = stored.where(known | F.col("fetched_date").isNull() if None in days else known)
+    if DIGEST not in stored.columns:
+        stored = with_digest(stored)
+    return stored.select(*names)
+
+
+def without_stored(docs: DataFrame, stored: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows whose key is not stored; nulls are equal to nulls."""
+    renamed = stored.select(*[F.col(c).alias(f"_stored_{c}") for c in names])
+    return docs.join(renamed, reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_stored_{c}")) for c in names]), "left_anti")
+
+
 def append_batch(docs: DataFrame, path: str, batch: str) -> None:
     """Write prepared rows as one batch of the landing folder.
 
     Every batch has folders of its own below its days. Written again under the same name, it
     replaces itself, so a stream may repeat a batch; streams, batches and retention share a folder.
     """
-    named = docs.withColumn("batch", F.lit(f"b-{batch}"))
+    named = with_digest(docs).withColumn("batch", F.lit(f"b-{batch}"))
     writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("source", "fetched_date", "batch").parquet(path)
 
