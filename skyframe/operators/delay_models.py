@@ -236,7 +236,7 @@ def _boosting_aucs(points: list[dict], subset: DataFrame, folds: int, key: Seque
     bins = trees.find_bins(rows, len(rows.first()["x"]), NATIVE, trees.BOOSTING_BINS)
     fits = [
         trees.Fit(p["learning_rate"], p["max_iter"], p["max_leaf_nodes"], p["min_samples_leaf"], p["l2_regularization"], fold)
-        for p in points
+        for p in ({**DEFAULTS[BOOSTING], **point} for point in points)
         for fold in range(folds)
     ]
     blocks = trees.boost(trees.pack_blocks(rows, bins), bins, NATIVE, fits)
