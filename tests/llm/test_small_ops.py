@@ -240,13 +240,15 @@ def test_limits_follow_the_dirt_of_a_source(spark):
 
 def test_limits_move_smoothly_with_the_size_of_a_group(spark):
     rng = random.Random(10)
-    plain = [(i, words(rng, 80, 10**9), "en", "plain", 1) for i in range(400)]
+    # So many that the quantiles of all rows stay where they are.
+    plain = [(i, words(rng, 80, 10**9), "en", "plain", 1) for i in range(2000)]
     found = []
     for n in (10, 99, 100, 101):
         rows = plain + [(i, words(rng, 60, 10**9) + " ###" * 20, "en", "code", 1) for i in range(n)]
         measured = quality.with_measures(spark.createDataFrame(rows, SCHEMA)).drop("text")
         found.append(quality.fences(measured, ["source"]).where("source = 'code'").first()["symbol_share_most"])
-    assert found == sorted(found) and found[3] - found[1] < 0.1 * found[2]
+    # The texts are drawn anew each time, so the limits differ a little by themselves.
+    assert found[0] < min(found[1:]) and max(found[1:]) - min(found[1:]) < 0.1 * found[2]
 
 
 # --- lines ----------------------------------------------------------------------------------
