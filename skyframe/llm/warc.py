@@ -35,6 +35,11 @@ DIRECTORY_KEY = 160
 BLOCKS_HELD = 16
 #: Neighbouring records are fetched together, up to this many bytes.
 READ_BYTES = 4 << 20
+#: Compressed bytes of records, and of index blocks, that one task reads. The rows that name them
+#: are tiny, so the number of tasks is asked for: partitions merged by the size of the rows would
+#: leave all reading to one.
+TASK_BYTES = 8 << 20
+INDEX_TASK_BYTES = 1 << 20
 GZIP_LEVEL = 6
 
 #: Default ports, which a key leaves out.
@@ -276,7 +281,12 @@ def lookup(keys: DataFrame, index: Index, key_col: str = "key") -> DataFrame:
             )
 
     wanted = keys.select(F.col(key_col).alias("key")).where("key IS NOT NULL").distinct()
-    return wanted.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(search, CAPTURE)
+    tasks = _tasks(int(index.lengths.sum()), INDEX_TASK_BYTES)
+    return wanted.repartitionByRange(tasks, "key").sortWithinPartitions("key").mapInArrow(search, CAPTURE)
+
+
+def _tasks(size: int, a_task: int) -> int:
+    return max(1, -(-size // a_task))
 
 
 def read_records(captures: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
@@ -337,7 +347,9 @@ def read_records(captures: DataFrame, folder: str, with_payload: bool = True) ->
         fields.append(("payload", pa.binary()))
         types.append(T.BinaryType())
     schema = pa.schema(fields)
-    ordered = captures.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    places = captures.select("file", "offset", "length")
+    tasks = _tasks(places.agg(F.sum("length")).first()[0] or 0, TASK_BYTES)
+    ordered = places.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return ordered.mapInArrow(read, T.StructType([T.StructField(n, t) for (n, _), t in zip(fields, types, strict=True)]))
 
 

@@ -683,6 +683,21 @@ def test_archives(spark, least, monkeypatch):
         assert as_counter(found, "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to") == pages_by_hand(pages, least)
 
 
+def test_reading_tasks_follow_the_bytes_that_captures_name(spark, monkeypatch):
+    from skyframe.session import materialise, new_folder
+
+    rng = random.Random(5)
+    pages = spark.createDataFrame([(i, f"http://h{i % 7}.example.com/{i}", rng.randbytes(1000).hex()) for i in range(400)], "page_id long, url string, html string")
+    folder = new_folder(spark, "archives")
+    captures = materialise(warc.write_archives(pages, folder), "captures")
+    size = captures.agg({"length": "sum"}).first()[0]
+    for a_task in (20_000, 100_000):
+        monkeypatch.setattr(warc, "TASK_BYTES", a_task)
+        found = warc.read_records(captures, folder, with_payload=False)
+        assert size / a_task * 0.7 <= found.rdd.getNumPartitions() <= size / a_task + 1
+        assert found.count() == 400
+
+
 def test_archives_of_nothing(spark):
     assert warc.archive_and_read(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
