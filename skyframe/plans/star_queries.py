@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyframe import constants as K
-from skyframe.operators import star
+from skyframe.operators import cells, star
 from skyframe.plans.position_queries import (
     HAS_POSITION,
     KEYED,
@@ -282,6 +282,49 @@ def within_radius(spark, sf_dir):
     return near.select("id", "icao24", F.round("distance_nm", 6).alias("distance_nm"))
 
 
+def by_cells(spark, rows: DataFrame) -> DataFrame:
+    """``rows`` as a table in the order of the curve."""
+    path = new_folder(spark, "cells")
+    cells.write_cells(rows, path)
+    return cells.read_cells(spark, path)
+
+
+@query(
+    f"""
+    SELECT id, icao24, round({HAVERSINE}, 6) AS distance_nm FROM positions
+    WHERE {HAS_POSITION} AND {HAVERSINE} <= {K.CIRCLE_RADIUS_NM}
+    """
+)
+def within_radius_stored(spark, sf_dir):
+    """The circle of ``within_radius``, asked of a table in the order of cells."""
+    table = by_cells(spark, view(spark, sf_dir, "positions"))
+    near = cells.within_radius(table, K.CIRCLE_LAT, K.CIRCLE_LON, K.CIRCLE_RADIUS_NM)
+    return near.select("id", "icao24", F.round("distance_nm", 6).alias("distance_nm"))
+
+
+#: Moved so far east, positions about the middle of the box lie on both sides of the date line.
+EASTWARD = 180.0 - (K.WEST + K.EAST) / 2
+MOVED_BOX = (K.SOUTH + 0.5, K.NORTH - 0.5, 179.0, -178.5)
+
+
+@query(
+    f"""
+    WITH moved AS (
+      SELECT id, CAST(latitude AS DOUBLE) AS latitude, CASE WHEN longitude + {EASTWARD}e0 >= 180
+        THEN longitude + {EASTWARD}e0 - 360 ELSE longitude + {EASTWARD}e0 END AS longitude FROM positions)
+    SELECT id, latitude, longitude FROM moved
+    WHERE latitude BETWEEN {MOVED_BOX[0]} AND {MOVED_BOX[1]} AND (longitude >= {MOVED_BOX[2]} OR longitude <= {MOVED_BOX[3]})
+    """
+)
+def box_across_date_line(spark, sf_dir):
+    """A box across the date line, asked of a table in the order of cells."""
+    east = F.col("longitude") + F.lit(EASTWARD)
+    rows = view(spark, sf_dir, "positions").select(
+        "id", F.col("latitude").cast("double").alias("latitude"), F.when(east >= 180, east - 360).otherwise(east).alias("longitude")
+    )
+    return cells.in_box(by_cells(spark, rows), *MOVED_BOX)
+
+
 def stored(spark, sf_dir) -> DataFrame:
     """The flattened feed as a table: payloads are parsed once, and look-ups reach its files as filters."""
     return materialise(wide(spark, sf_dir), "adsb-positions")
