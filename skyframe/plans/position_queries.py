@@ -15,6 +15,7 @@ from skyframe.plans.standins import raw_documents, view
 from skyframe.session import new_folder
 from skyframe.sources import positions as table
 from skyframe.sources import snapshots
+from skyframe.streaming.latest import read_latest, stream_latest
 from skyframe.streaming.landing import stream_land, trim_payload
 from skyframe.streaming.refresh import stream_refresh
 
@@ -300,6 +301,18 @@ def latest_per_aircraft(spark, sf_dir):
     return live.latest_per_aircraft(view(spark, sf_dir, "positions"))
 
 
+@query(f"WITH {LATEST} SELECT * EXCLUDE (rn) FROM latest")
+def stream_latest_per_aircraft(spark, sf_dir):
+    """All positions as a stream of three landings, whose times overlap, so that many rows come late."""
+    rows = view(spark, sf_dir, "positions")
+    path, changes, offsets = (new_folder(spark, n) for n in ("positions", "changes", "offsets"))
+    for part in (0, 1, 2):
+        rows.where(F.pmod(F.hash("id"), F.lit(3)) == part).write.mode("append").parquet(path)
+        landed_rows = spark.readStream.schema(rows.schema).parquet(path)
+        stream_latest(landed_rows, changes, offsets).awaitTermination()
+    return read_latest(spark, changes, rows.schema)
+
+
 @query(
     f"""
     WITH {LATEST}
