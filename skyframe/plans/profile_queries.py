@@ -11,6 +11,7 @@ from skyframe.plans.registry import query
 from skyframe.plans.standins import view
 from skyframe.session import new_folder
 from skyframe.sources import flights as source
+from skyframe.sources import profiles
 
 KEY = ("Flight",)
 
@@ -178,6 +179,23 @@ def describe(spark, sf_dir):
     return described.withColumns({c: F.round(c, 6) for c in ("mean", "std")})
 
 
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count({c}) AS count, count(*) - count({c}) AS nulls, round(avg({c}), 6) AS mean,
+        round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS double) AS min, CAST(max({c}) AS double) AS max FROM flights"""
+        for c in DESCRIBED
+        if c != "DayOfWeek"
+    )
+)
+def merged_profile(spark, sf_dir):
+    """Days profiled one by one and merged; of what is stored, the columns that are exact."""
+    path, rows = new_folder(spark, "profiles"), flights(spark, sf_dir)
+    for part in ("DayOfWeek < 4 OR DayOfWeek IS NULL", "DayOfWeek >= 4"):
+        profiles.add_days(rows.where(part), path, "DayOfWeek", [c for c in DESCRIBED if c != "DayOfWeek"])
+    whole = profiles.merged(profiles.read_days(spark, path))
+    return whole.select("column", "count", "nulls", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min", "max")
+
+
 @query(
     """
     SELECT (SELECT count(*) FROM flights) AS rows, * FROM (VALUES (0, 'Flight', 'bigint'), (1, 'Time', 'double'),
