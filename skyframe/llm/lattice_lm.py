@@ -336,7 +336,7 @@ def score_documents(
         table = np.column_stack([at["n_train"] > 0, np.log10((at["n_train"] + 1) / space), at["logp"]]).astype(float)
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            numbers, rest = [], []
+            numbers, rare_hashes, rare_counts, sizes = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [0]
             for hashes in word_hashes(as_bytes(batch.column(1))):
                 own = hashes.view(np.int64)
                 if len(known):
@@ -346,9 +346,12 @@ def score_documents(
                     place, hit = np.zeros(0, np.int64), np.zeros(len(own), bool)
                 sums = table[place[hit]].sum(axis=0) if len(known) else np.zeros(3)
                 other, n = np.unique(own[~hit], return_counts=True)
-                rest.append([{"hash": h, "n": k} for h, k in zip(other.tolist(), n.tolist(), strict=True)])
+                rare_hashes.append(other)
+                rare_counts.append(n)
+                sizes.append(len(other))
                 numbers.append((len(own) + 1, int(sums[0]) + (ends > 0), sums[1] + end_base, sums[2] + end_logp))
             columns = list(zip(*numbers, strict=True)) if numbers else [()] * 4
+            pairs = pa.StructArray.from_arrays([pa.array(np.concatenate(rare_hashes)), pa.array(np.concatenate(rare_counts))], ["hash", "n"])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -357,7 +360,7 @@ def score_documents(
                     pa.array(columns[1], pa.int64()),
                     pa.array(columns[2], pa.float64()),
                     pa.array(columns[3], pa.float64()),
-                    pa.array(rest, pa.list_(pa.struct([("hash", pa.int64()), ("n", pa.int64())]))),
+                    pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pairs),
                 ],
                 [id_col, "held_out", "n_tokens", "n_known", "base_score", "score", "rest"],
             )
