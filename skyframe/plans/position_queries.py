@@ -15,7 +15,7 @@ from skyframe.plans.standins import raw_documents, view
 from skyframe.session import new_folder
 from skyframe.sources import positions as table
 from skyframe.sources import snapshots
-from skyframe.streaming.landing import stream_land, trim_payload
+from skyframe.streaming.landing import FEED_TRANSFORMS, stream_land, trim_payload
 from skyframe.streaming.latest import read_latest, stream_latest
 from skyframe.streaming.refresh import stream_refresh
 
@@ -41,12 +41,12 @@ def one_per_call(spark, sf_dir) -> DataFrame:
     return ranked.where("_rank = 1").drop("_rank")
 
 
-def landed(spark, docs: DataFrame) -> str:
+def landed(spark, docs: DataFrame, parse: bool = False, transforms: dict | None = None) -> str:
     """Land both feeds into a new folder and return it."""
     path = new_folder(spark, "landing")
     for source in (K.POSITIONAL_SOURCE, K.KEYED_SOURCE):
         mine = docs.where(F.col("source") == source).select("payload", "fetched_at")
-        snapshots.land_snapshots(mine, path, source, RUN, rebalance=True)
+        snapshots.land_snapshots(mine, path, source, RUN, (transforms or {}).get(source), rebalance=True, parse=parse)
     return path
 
 
@@ -138,6 +138,19 @@ def bbox_trim(spark, sf_dir):
     return rows.select("icao24", "latitude", "longitude", "fetched_at")
 
 
+@query(
+    f"""
+    SELECT icao24, CAST(latitude AS REAL) AS latitude, CAST(longitude AS REAL) AS longitude, fetched_at
+    FROM obs WHERE {KEYED} AND {BOX}
+    """
+)
+def bbox_trim_parsed(spark, sf_dir):
+    """Trimmed at landing, where payloads are parsed once, and mapped from the stored fields."""
+    path = landed(spark, documents(spark, sf_dir), parse=True, transforms=FEED_TRANSFORMS)
+    rows = unify.map_keyed(snapshots.read_snapshots(spark, path, K.KEYED_SOURCE, parsed=True))
+    return rows.select("icao24", "latitude", "longitude", "fetched_at")
+
+
 @query(
     f"""
     SELECT fetched_at, count(*) AS ac_total, count(*) FILTER ({BOX}) AS ac_kept
@@ -184,6 +197,18 @@ def unify_positions(spark, sf_dir):
     return unify.unify_positions(documents(spark, sf_dir)).drop("created_at")
 
 
+@query(
+    f"""
+    SELECT {POSITIONAL_ROW}, fetched_at AS updated_at FROM obs WHERE {POSITIONAL}
+    UNION ALL SELECT {KEYED_ROW}, fetched_at FROM obs WHERE {KEYED} AND {HAS_POSITION}
+    """
+)
+def unify_positions_parsed(spark, sf_dir):
+    """Both feeds from the fields that landing stored; no payload is read."""
+    path = landed(spark, documents(spark, sf_dir), parse=True)
+    return unify.unify_positions(snapshots.read_snapshots(spark, path, parsed=True)).drop("created_at")
+
+
 @query(
     """
     SELECT event_id, CASE event_id % 5 WHEN 4 THEN NULL WHEN 2 THEN ts - INTERVAL '2' HOUR ELSE ts END AS fetched_at

@@ -14,6 +14,7 @@ from skyframe.plans.position_queries import (
     POSITIONAL,
     POSITIONAL_ROW,
     documents,
+    landed,
 )
 from skyframe.plans.registry import query
 from skyframe.plans.standins import PAGE_ROWS, view
@@ -255,6 +256,13 @@ def adsb_positions(spark, sf_dir):
     return wide(spark, sf_dir)
 
 
+@query(f"WITH {WIDE} SELECT * FROM wide")
+def adsb_positions_parsed(spark, sf_dir):
+    """The same from the fields that landing stored; no payload is read."""
+    path = landed(spark, documents(spark, sf_dir), parse=True)
+    return star.adsb_positions(snapshots.read_snapshots(spark, path, K.KEYED_SOURCE, parsed=True))
+
+
 @query(
     f"""
     WITH {WIDE} SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (

@@ -13,6 +13,11 @@ BRONZE = T.StructType(
     ]
 )
 
+# The same with the payload parsed at landing.
+BRONZE_PARSED = T.StructType(
+    [*BRONZE.fields, T.StructField("fields", T.VariantType()), T.StructField("has_fields", T.BooleanType())]
+)
+
 # Columns of the position table.
 POSITIONS = T.StructType(
     [

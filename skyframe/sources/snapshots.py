@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from skyframe import constants as K
 from skyframe import schemas
 from skyframe.functions.columns import instant
+from skyframe.operators.unify import with_fields
 from skyframe.sources import files
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -80,9 +81,14 @@ def stamp(docs: DataFrame, source: str, run_id: str) -> DataFrame:
     )
 
 
-def prepare(raw: DataFrame, source: str, run_id: str, transform: Transform | None = None) -> DataFrame:
-    """Everything between a raw payload and the stored row; the same for batch and stream."""
+def prepare(raw: DataFrame, source: str, run_id: str, transform: Transform | None = None, parse: bool = False) -> DataFrame:
+    """Everything between a raw payload and the stored row; the same for batch and stream.
+
+    With ``parse``, rows carry their payload's fields too, and ``transform`` must keep both alike, as trimming does.
+    """
     docs = one_document_per_row(accepted(parse_guard(raw)))
+    if parse:
+        docs = with_fields(docs)
     if transform is not None:
         docs = docs.transform(transform)
     return stamp(docs, source, run_id)
@@ -96,6 +102,7 @@ def land_snapshots(
     transform: Transform | None = None,
     key: Sequence[str] = (),
     rebalance: bool = False,
+    parse: bool = False,
 ) -> DataFrame:
     """Append payloads to the landing folder; rows whose ``key`` is already stored are skipped.
 
@@ -105,10 +112,12 @@ def land_snapshots(
     read. Null key values are equal to each other, so a row with one lands once.
     ``rebalance`` suits a backfill whose tasks each hold many days: days are brought
     together first, and Spark splits the heavy ones, so the folder gets few, even
-    files. Returns the landed rows of this source.
+    files. ``parse`` stores the fields of each payload beside it, as a variant; a payload that is
+    trimmed then is spelled anew, so a folder should keep to one way if ``key`` holds the payload.
+    Returns the landed rows of this source.
     """
     spark = raw.sparkSession
-    docs = prepare(raw, source, run_id, transform)
+    docs = prepare(raw, source, run_id, transform, parse)
     if key:
         docs = with_digest(docs)
         names = [DIGEST if c == "payload" else c for c in key]
@@ -119,7 +128,7 @@ def land_snapshots(
     if rebalance:
         docs = docs.hint("rebalance", "fetched_date")
     append_batch(docs, path, uuid.uuid4().hex)
-    return read_snapshots(spark, path, source)
+    return read_snapshots(spark, path, source, parsed=parse)
 
 
 DIGEST = "payload_digest"
@@ -174,12 +183,15 @@ def read_snapshots(
     newest_first: bool = False,
     now: Column | None = None,
     hours: int | None = None,
+    parsed: bool = False,
 ) -> DataFrame:
     """Landed documents, of one source if named (only its partitions are listed and read).
 
-    With ``hours``, only those still inside that retention window, to the second.
+    With ``hours``, only those still inside that retention window, to the second. With ``parsed``,
+    also their fields; documents that landed without are read as text by what follows.
     """
-    docs = spark.read.schema(schemas.BRONZE).parquet(path).select(*schemas.BRONZE.names)
+    schema = schemas.BRONZE_PARSED if parsed else schemas.BRONZE
+    docs = spark.read.schema(schema).parquet(path).select(*schema.names)
     if source is not None:
         docs = docs.where(F.col("source") == source)
     if hours is not None:

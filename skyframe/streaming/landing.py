@@ -34,17 +34,19 @@ def stream_land(
     trigger: dict | None = None,
     files_per_trigger: int = 1000,
     whole_files: bool = False,
+    parse: bool = False,
 ) -> StreamingQuery:
     """Land files dropped by a collector: a JSON payload per line, or per file if ``whole_files``.
 
     The call time is the file's modification time. A batch is named after the checkpoint and its
     number and replaces itself when it is written again, so a restarted query neither loses nor
-    repeats documents. Several feeds, streams and batch landing may share one ``path``.
+    repeats documents. Several feeds, streams and batch landing may share one ``path``. ``parse``
+    stores the fields of each payload beside it.
     """
     name = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
     def land(batch: DataFrame, number: int) -> None:
-        append_batch(prepare(batch, source, run_id, FEED_TRANSFORMS.get(source)), path, f"{name}-{number}")
+        append_batch(prepare(batch, source, run_id, FEED_TRANSFORMS.get(source), parse), path, f"{name}-{number}")
 
     raw = (
         spark.readStream.format("text")

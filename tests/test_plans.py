@@ -11,6 +11,7 @@ from skyframe.plans.position_queries import documents, landed
 from skyframe.plans.standins import view
 from skyframe.session import materialise
 from skyframe.sources import snapshots
+from skyframe.streaming.landing import trim_payload
 
 
 def plan(df, run=False):
@@ -128,3 +129,16 @@ def test_target_means_are_the_same_without_broadcast(spark, sf_dir, conf):
     wanted = rows()
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     assert rows() == wanted
+
+
+def test_stored_fields_are_read_by_path_and_trimming_parses_once(spark, sf_dir):
+    docs = documents(spark, sf_dir).where(F.col("source") == K.KEYED_SOURCE).select("payload", "fetched_at")
+    prepared = plan(snapshots.prepare(docs, K.KEYED_SOURCE, "run", trim_payload, parse=True))
+    assert prepared.count("tryparsejson") + prepared.count("try_parse_json(") + prepared.count("parseJson(") == 1
+    stored = snapshots.read_snapshots(spark, landed(spark, documents(spark, sf_dir), parse=True), K.KEYED_SOURCE, parsed=True)
+    rows = unify.keyed_aircraft(stored.where("has_fields")).select("a.hex", "now")
+    text = plan(rows)
+    by_path, by_text = text.split("Union")[1].split("FileScan")[1:3]
+    schema = by_path.split("ReadSchema: ")[1].splitlines()[0]
+    assert "payload" not in schema and "EqualTo(has_fields,true)" in by_path and "Not(EqualTo(has_fields,true))" in by_text
+    assert text.split("Union")[1].split("FileScan")[0].count("from_json") == 0

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from skyframe import constants as K
 from skyframe.functions.columns import instant
 from skyframe.operators import unify
+from skyframe.sources import snapshots
 
 T0 = datetime(2024, 1, 1)
 
@@ -174,3 +175,72 @@ def test_unify_reads_each_feed_its_own_way(spark):
     rows = {r["icao24"]: r for r in unify.unify_positions(docs).collect()}
     assert set(rows) == {"a1", "p1"}
     assert rows["a1"]["updated_at"] == T0 and rows["p1"]["created_at"] is not None
+
+
+ODD_KEYED = [
+    {"now": 1704067200000, "ac": [{**BASE, "baro_rate": None, "geom_rate": 3, "seen_pos": 1.5, "flight": " AB1 "}, {**BASE, "geom_rate": 3}]},
+    {"now": 1704067200000.5, "ac": [{"hex": "b", "lat": "50.5", "lon": 8, "alt_baro": "ground", "nav": [1, "x"]}, {"hex": "c"}, {}]},
+    {"ac": [{**BASE, "lat": 1e1, "lon": 9.0}, {**BASE, "lat": True}]},
+    {"now": 5, "ac": {"hex": "a"}},
+    {"now": 5, "ac": None},
+    {"now": 5, "ac": [], "msg": {"deep": [1.5, None]}},
+    {"msg": "none"},
+]
+ODD_TEXTS = ['{"now":1,"ac":[{"hex":"r","lat":50,"lat":51,"lon":9}]}', '{"now":1,"ac":[{"hex":"n","lat":50.5,"lon":9,"gs":NaN}],"a":1}', "[1]", "{}"]
+ODD_STATES = [
+    [["a ", " X ", None, 1, 1704067200, 9.5, 50.25, 1e3, True, None, 90, -1.5, None, None, "7000", False, 0], None, ["short"], []],
+    [],
+    None,
+    {"no": "list"},
+]
+
+
+def odd_documents(spark):
+    rows = [(json.dumps(p), K.KEYED_SOURCE, T0) for p in ODD_KEYED] + [(p, K.KEYED_SOURCE, T0) for p in ODD_TEXTS]
+    rows += [(json.dumps({"states": s}), K.POSITIONAL_SOURCE, T0) for s in ODD_STATES] + [(None, K.KEYED_SOURCE, T0)]
+    return spark.createDataFrame(rows, "payload string, source string, fetched_at timestamp")
+
+
+def same_rows(one, other):
+    assert one.columns == other.columns
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, other.collect()))
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_fields_give_what_texts_give(spark, tmp_path, stored):
+    """A repeated field and NaN have no variant and are read as text; null and missing stay apart."""
+    docs = odd_documents(spark)
+    parsed = unify.with_fields(docs)
+    if stored:
+        parsed.write.parquet(str(tmp_path / "docs"))
+        parsed = spark.read.parquet(str(tmp_path / "docs"))
+    assert parsed.where("NOT has_fields").count() == 3
+    keyed_only = [d.where(F.col("source") == K.KEYED_SOURCE) for d in (docs, parsed)]
+    same_rows(*[unify.unify_positions(d).drop("created_at") for d in (docs, parsed)])
+    same_rows(*[unify.map_keyed(d, metric_rate=True, null_falls_back=True) for d in keyed_only])
+    fields = [unify.keyed_aircraft(d).select("now", "a.hex", F.expr("try_cast(a.lon AS double)"), F.map_keys("a")) for d in keyed_only]
+    same_rows(*[d.withColumn("keys", F.sort_array(d.columns[-1])).drop(d.columns[-1]) for d in fields])
+    same_rows(*[unify.snapshot_faults(d) for d in (docs, parsed)])
+    trimmed = [unify.bbox_trim(d) for d in keyed_only]
+    assert trimmed[1].columns == [*parsed.columns, "ac_total", "ac_kept"]
+    same_rows(*[d.select("ac_total", "ac_kept") for d in trimmed])
+    same_rows(*[unify.map_keyed(d) for d in trimmed])
+    texts = [[json.loads(r[0], parse_constant=str) if r[0] else None for r in d.select("payload").collect()] for d in trimmed]
+    assert sorted(map(repr, map(flat, texts[0]))) == sorted(map(repr, map(flat, texts[1])))
+    # Both columns were trimmed alike.
+    same_rows(unify.map_keyed(trimmed[1]), unify.map_keyed(trimmed[1].drop("fields", "has_fields")))
+
+
+def flat(value):
+    return json.dumps(value, sort_keys=True) if not isinstance(value, float) else repr(value)
+
+
+def test_documents_that_landed_without_fields_are_read_as_text(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    for i, parse in enumerate((True, False)):
+        raw = keyed(spark, {**BASE, "hex": f"h{i}"}).select("payload", "fetched_at")
+        snapshots.land_snapshots(raw, path, K.KEYED_SOURCE, "run", parse=parse)
+    docs = snapshots.read_snapshots(spark, path, parsed=True)
+    assert sorted(map(tuple, docs.select("has_fields").collect()), key=str) == [(None,), (True,)]
+    assert sorted(r["icao24"] for r in unify.unify_positions(docs).collect()) == ["h0", "h1"]
+    assert snapshots.read_snapshots(spark, path).columns == snapshots.schemas.BRONZE.names
