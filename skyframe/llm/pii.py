@@ -95,43 +95,75 @@ ANCHOR = re.compile(r"[0-9@]|(?<![A-Za-z])[Dd][Oo][Tt](?![A-Za-z])")
 #: "at" as a word, and what may follow it: marks and blanks, then words joined by dots and hyphens.
 SPELLED_AT = re.compile(r"(?<![A-Za-z])[Aa][Tt](?![A-Za-z])")
 JOINED = re.compile(r"[\W_]*+([^\W_]++(?:[.-]++[^\W_]++)*+)")
+_AT = r"(?:\s?@\s?|\s?[(\[{]\s?(?:at|@)\s?[)\]}]\s?|\s(?:at|@)\s)"
+_DOT = r"(?:\.|\s?[(\[{]\s?(?:dot|\.)\s?[)\]}]\s?|\sdot\s)"
+#: An address as people write it, with or without spelled parts; only what the field marks is looked up.
+ADDRESS = re.compile(
+    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-][A-Za-z0-9._%+-]*+(?:{_DOT}[A-Za-z0-9_%+-]++)*+{_AT}[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)++", re.I
+)
+REST = re.compile(r"[^\W_]*+(?:[.-]++[^\W_]++)*+")
 #: Tokens on either side of an anchor that are decoded with it.
 REACH = 8
 #: Windows decoded together.
 DECODED = 512
 #: Labelled texts that training takes; a documented bound, the table is meant to be small.
 LABELLED_ROWS = 10_000
-#: Words whose spelling is a feature; all others are known by their shape alone.
-TRIGGERS = frozenset(
-    "at dot mail email e contact write reach phone tel telephone call fax mobile card visa credit number no ip host server address ping from version section year price".split()
-)
+#: A word outside of marks is known by its spelling if at least so many labelled texts hold it.
+WORD_TEXTS = 3
+#: Words that join the parts of a spelled address; they may stand inside a mark.
+JOINTS = ("at", "dot")
+#: Tokens that a number written in groups may hold beside digits, and how far before it a word counts.
+GROUPING = frozenset("()[]{}+-./")
+CUE_REACH = 5
 
 
 @lru_cache(maxsize=1 << 16)
-def shape(token: str) -> tuple[str, str]:
-    """The shape of a token, and a coarser one."""
+def shape(token: str) -> tuple[str, str, str]:
+    """The shape of a token, a coarser one, and its spelling if it is a word."""
     if token.isdecimal():
-        return f"d{min(len(token), 17)}", "d"
+        return f"{'0' if token[0] == '0' and len(token) > 1 else 'd'}{min(len(token), 17)}", "d", ""
     if token.isalpha():
         low = token.lower()
-        if low in TRIGGERS:
-            return low, low if low in ("at", "dot") else "x"
-        return "X" if token.isupper() else "Xx" if token[0].isupper() else "x", "x"
-    return token, token
+        return "X" if token.isupper() else "Xx" if token[0].isupper() else "x", low if low in JOINTS else "x", low
+    return token, token, ""
+
+
+def lexicon(labelled: list[tuple[str, list[Span]]]) -> frozenset[str]:
+    """Words whose spelling is a feature; all others, such as names inside marks, are known by shape alone."""
+    seen: dict[str, int] = {}
+    for text, spans in labelled:
+        tokens = [m for m in TOKEN.finditer(text) if not any(a <= m.start() < b for _, a, b in spans)]
+        for word in {m[0].lower() for m in tokens if m[0].isalpha()}:
+            seen[word] = seen.get(word, 0) + 1
+    return frozenset([w for w, n in seen.items() if n >= WORD_TEXTS]) | frozenset(JOINTS)
 
 
 #: Features of each token.
-WIDTH = 10
+WIDTH = 14
 
 
-def features(text: str, tokens: list[tuple[int, int]]) -> list[list[str]]:
+def features(text: str, tokens: list[tuple[int, int]], words: frozenset[str] = frozenset(JOINTS)) -> list[list[str]]:
+    """What the field sees of each token; ``words`` are known by their spelling."""
     shapes = [shape(text[a:b]) for a, b in tokens]
     gaps = ["" if i and tokens[i - 1][1] == tokens[i][0] else "_" for i in range(len(tokens))] + ["_"]
     # Each neighbour is written with the gap between it and the token before.
-    fine = ["<", "<", *[g + s for g, (s, _) in zip(gaps, shapes, strict=False)], ">", ">", ">"]
-    coarse = ["<", "<", *[g + s for g, (_, s) in zip(gaps, shapes, strict=False)], ">", ">", ">"]
+    fine = ["<", "<", *[g + (w if w in words else s) for g, (s, _, w) in zip(gaps, shapes, strict=False)], ">", ">", ">"]
+    coarse = ["<", "<", *[g + c for g, (_, c, _) in zip(gaps, shapes, strict=False)], ">", ">", ">"]
+    runs, cues = [""] * len(tokens), [""] * len(tokens)
+    i = 0
+    while i < len(tokens):
+        k = i
+        while k < len(tokens) and (shapes[k][1] == "d" or shapes[k][0] in GROUPING):
+            k += 1
+        if k > i and any(s[1] == "d" for s in shapes[i:k]):
+            # The groups of a number as a whole, and the nearest known word before it.
+            runs[i:k] = [" ".join(fine[i + 2 : min(k, i + 24) + 2])] * (k - i)
+            cue = next((w for _, _, w in reversed(shapes[max(0, i - CUE_REACH) : i]) if w in words), "")
+            cues[i:k] = [cue] * (k - i)
+        i = max(k, i + 1)
     out = []
     for j in range(2, len(tokens) + 2):
+        run, cue = runs[j - 2], cues[j - 2]
         out.append(
             [
                 f"0:{fine[j]}",
@@ -144,6 +176,10 @@ def features(text: str, tokens: list[tuple[int, int]]) -> list[list[str]]:
                 f"c3:{coarse[j - 1]} {coarse[j]} {coarse[j + 1]}",
                 f"c+:{coarse[j]} {coarse[j + 1]} {coarse[j + 2]} {coarse[j + 3]}",
                 f"c-:{coarse[j - 2]} {coarse[j - 1]} {coarse[j]}",
+                f"f3:{fine[j - 1]} {fine[j]} {fine[j + 1]}",
+                f"r:{run}",
+                f"w:{cue}",
+                f"wr:{cue} {run}",
             ]
         )
     return out
@@ -156,6 +192,10 @@ class Field:
     index: dict[str, int]
     emit: np.ndarray
     step: np.ndarray
+    words: frozenset[str] = frozenset(JOINTS)
+
+    def features(self, text: str, tokens: list[tuple[int, int]]) -> list[list[str]]:
+        return features(text, tokens, self.words)
 
     def rows(self, found: list[list[str]]) -> np.ndarray:
         """Scores of the labels of each token; features not seen in training weigh nothing."""
@@ -200,15 +240,22 @@ def _forbidden() -> np.ndarray:
     return bad
 
 
-def train(labelled: list[tuple[str, list[Span]]], rounds: int = 300, decay: float = 0.01) -> Field:
+def _log_times(logs: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """Logarithms of rows times a matrix, the rows given as logarithms."""
+    most = logs.max(axis=1, keepdims=True)
+    return most + np.log(np.maximum(np.exp(logs - most) @ steps, 1e-300))
+
+
+def train(labelled: list[tuple[str, list[Span]]], rounds: int = 100, decay: float = 0.01) -> Field:
     """Weights of highest penalised likelihood, by gradient steps over the whole table."""
     index: dict[str, int] = {}
     texts = []
+    words = lexicon(labelled)
     for text, spans in labelled:
         tokens = [m.span() for m in TOKEN.finditer(text)]
         if not tokens:
             continue
-        names = [[index.setdefault(n, len(index)) for n in row] for row in features(text, tokens)]
+        names = [[index.setdefault(n, len(index)) for n in row] for row in features(text, tokens, words)]
         gold = np.zeros(len(tokens), int)
         for kind, a, b in spans:
             inside = [i for i, (x, y) in enumerate(tokens) if x >= a and y <= b]
@@ -229,25 +276,29 @@ def train(labelled: list[tuple[str, list[Span]]], rounds: int = 300, decay: floa
     real = np.arange(longest) < lengths[:, None]
     for round_ in range(1, rounds + 1):
         emit = np.vstack([weights[0], np.zeros((1, size))])
-        scores = emit[table].sum(axis=2)
+        scores = sum(emit[table[:, :, f]] for f in range(WIDTH))
         alpha = np.zeros_like(scores)
         beta = np.zeros_like(scores)
         alpha[:, 0] = scores[:, 0]
+        steps = np.exp(weights[1])
         for t in range(1, longest):
-            way = np.logaddexp.reduce(alpha[:, t - 1, :, None] + weights[1][None], axis=1) + scores[:, t]
+            way = _log_times(alpha[:, t - 1], steps) + scores[:, t]
             alpha[:, t] = np.where(real[:, t, None], way, alpha[:, t - 1])
         for t in range(longest - 2, -1, -1):
-            way = np.logaddexp.reduce(weights[1][None] + (scores[:, t + 1] + beta[:, t + 1])[:, None, :], axis=2)
-            beta[:, t] = np.where(real[:, t + 1, None], way, 0.0)
+            beta[:, t] = np.where(real[:, t + 1, None], _log_times(scores[:, t + 1] + beta[:, t + 1], steps.T), 0.0)
         whole = np.logaddexp.reduce(alpha[:, -1], axis=1)
         share = np.exp(alpha + beta - whole[:, None, None]) * real[:, :, None]
         share[np.arange(len(texts))[:, None], np.arange(longest)[None], gold] -= real
         emit_up = np.zeros((len(index) + 1, size))
-        np.add.at(emit_up, table.ravel(), np.repeat(share.reshape(-1, size), table.shape[2], axis=0))
+        flat = share.reshape(-1, size)
+        for k in range(size):
+            emit_up[:, k] = np.bincount(table.ravel(), np.repeat(flat[:, k], WIDTH), len(index) + 1)
         step_up = np.zeros((size, size))
         for t in range(1, longest):
-            pair = alpha[:, t - 1, :, None] + weights[1][None] + (scores[:, t] + beta[:, t])[:, None, :] - whole[:, None, None]
-            step_up += (np.exp(pair) * real[:, t, None, None]).sum(axis=0)
+            left, right = alpha[:, t - 1], scores[:, t] + beta[:, t]
+            least, most = left.max(axis=1, keepdims=True), right.max(axis=1, keepdims=True)
+            weight = np.exp(least + most - whole[:, None]) * real[:, t, None]
+            step_up += steps * ((np.exp(left - least) * weight).T @ np.exp(right - most))
             np.add.at(step_up, (gold[real[:, t], t - 1], gold[real[:, t], t]), -1.0)
         for w, up, (mean, square) in zip(weights, (emit_up[:-1], step_up), moments, strict=True):
             up = up + decay * np.where(w < -1e3, 0.0, w)
@@ -255,7 +306,7 @@ def train(labelled: list[tuple[str, list[Span]]], rounds: int = 300, decay: floa
             square[:] = 0.99 * square + 0.01 * up * up
             w -= 0.1 * (mean / (1 - 0.9**round_)) / (np.sqrt(square / (1 - 0.99**round_)) + 1e-8)
         weights[1][forbidden] = -1e4
-    return Field(index, weights[0], weights[1])
+    return Field(index, weights[0], weights[1], words)
 
 
 MARKED = re.compile(r"\[\[(\w+)\|(.*?)\]\]")
@@ -331,13 +382,14 @@ def windows(text: str) -> list[list[tuple[int, int]]]:
         if hit:
             if not tokens:
                 tokens = before[-REACH:]
-            until = REACH
+            # Twice the reach: the next anchor may bring its own surroundings.
+            until = 2 * REACH
         if until >= 0 and (tokens or hit):
             tokens.append(m.span())
             until -= 1
             if until < 0:
-                out.append(tokens)
-                tokens, before = [], []
+                out.append(tokens[:-REACH])
+                tokens, before = [], tokens[-REACH:]
                 if k >= len(anchors):
                     break
         else:
@@ -361,6 +413,23 @@ def plausible(kind: str, text: str) -> bool:
     return 9 <= len(digits_of(text)) <= 15
 
 
+def whole_addresses(text: str, spans: list[Span], start: int, end: int) -> list[Span]:
+    """Mail spans of the field, each grown or cut to the written addresses that it meets in ``text[start:end]``.
+
+    So one never ends inside a word, and two addresses are two spans. One that meets none stays.
+    """
+    if not any(k == "email" for k, *_ in spans):
+        return spans
+    while start > 0 and LOCAL.match(text, start - 1):
+        start -= 1
+    written_out = [m.span() for m in ADDRESS.finditer(text, start, end)]
+    out: list[Span] = []
+    for kind, a, b in spans:
+        met = [(kind, x, y) for x, y in written_out if x < b and a < y] if kind == "email" else []
+        out += met or [(kind, a, b)]
+    return list(dict.fromkeys(out))
+
+
 def read_labels(text: str, tokens: list[tuple[int, int]], labels: np.ndarray) -> list[Span]:
     out: list[Span] = []
     for (a, b), label in zip(tokens, labels.tolist(), strict=True):
@@ -369,6 +438,9 @@ def read_labels(text: str, tokens: list[tuple[int, int]], labels: np.ndarray) ->
             out.append((name[2:], a, b))
         elif name[0] == "I" and out:
             out[-1] = (name[2:], out[-1][1], b)
+    if tokens:
+        # The words at the window's ends go on to their next blank.
+        out = whole_addresses(text, out, tokens[0][0], REST.match(text, tokens[-1][1]).end())
     return [s for s in out if plausible(s[0], text[s[1] : s[2]])]
 
 
@@ -378,8 +450,9 @@ def find_personal_data(
     """``id_col, base, added`` per row: arrays of (kind, start, end) in code points, end exclusive.
 
     ``base`` holds what the fixed patterns find, ``added`` the spans of the field that touch none
-    of them. A null text is empty and has none. Rows stay in their tasks; the field (bounded by its
-    labelled table) goes to all.
+    of them. A null text is empty and has none; rows that repeat and null ids are rows like others,
+    other columns are left out, and an empty table gives no rows. Texts are read whole, however long.
+    Rows stay in their tasks; the field (bounded by its labelled table) goes to all.
     """
     shared = docs.sparkSession.sparkContext.broadcast(field)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -397,7 +470,7 @@ def find_personal_data(
                 held.sort(key=lambda h: len(h[2]))
                 for at in range(0, len(held), DECODED):
                     group = held[at : at + DECODED]
-                    labels = model.decode([model.rows(features(t, w)) for _, t, w in group])
+                    labels = model.decode([model.rows(model.features(t, w)) for _, t, w in group])
                     for (i, text, tokens), own in zip(group, labels, strict=True):
                         added[i] += read_labels(text, tokens, own)
                 held.clear()

@@ -1,9 +1,17 @@
-"""The small labelled table that the field for personal data is trained from by default."""
+"""The small labelled table that the field for personal data is trained from by default.
+
+Lines written by hand, then lines drawn by rule: pseudo-words, a cue (or a pseudo-word in its
+place), a value in one of many forms, and as many lines whose digits and dots are nothing personal.
+"""
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import DataFrame, SparkSession
 
+from skyframe.llm.pii import luhn
+
 #: One text a line; a mark holds the kind and what belongs to it.
 MARKED = """
 Please write to [[email|anna.meyer@example.org]] before Friday.
@@ -140,5 +148,147 @@ It weighs 70 kg and is 180 cm tall.
 """.strip().split("\n")
 
 
+#: What stands before and after what is marked, by kind.
+BEFORE = {
+    "email": "write to|contact|mail|email:|e-mail:|reach me at|send it to|my address is|ask|address:|or mail|questions to|the author,".split("|"),
+    "phone": "call|phone|phone:|tel.|tel:|telephone:|mobile:|cell|fax|dial|ring|text|number:|my number is|reach us at|contact:|office:|call us on".split("|"),
+    "ip": "server|the server at|host|ip|ip:|ip address|address|ping|from|gateway|blocked|login from|requests from|connect to|client".split("|"),
+    "card": "card|card:|card number|credit card|visa|mastercard|amex|paid with|charged to|debit card:|my card is|card no.|payment by".split("|"),
+}
+AFTER = "|.|,|, please|for help|today|at any time|and ask| (work)|, thanks|or not at all|soon|in the morning|;|, then wait|was given|)".split("|")
+#: Lines without personal data; # is a digit, @ a pseudo-word.
+CLEAN = """
+on ####-##-## at ##:##:## it began
+order ################ was sent to @
+order no. ######## of ## items
+the total of ############## rows
+isbn ### # ## ###### # is a book
+isbn ###-#-##-######-#
+issn ####-#### in print
+version #.#.# came after #.##
+section #.#.# and section #.##.#
+release #.##.#.#### of the tool
+see section ##.#.#.#.# of the manual
+it cost #,###.## in the year ####
+$ ##.## or ## %
+between ####-#### and ####-####
+the years #### #### #### ####
+table #: ## ## ## ## ## ##
+scores were ###-##, ##-## and ##-##
+lines ### to ### of part #
+the ratio is #.##### to #
+room ##, floor #, building #
+dates such as ##.##.#### and ##/##/####
+it weighs ## kg and is ### cm tall
+population of ###,### or # ### ###
+at ##.####, -##.#### on the map
+the id @##@# and #@##@## are hex
+chapter #, pages ###-###
+zip #####-####
+part ##-####-## of the set
+from ####-##-##T##:##:## on
+ratio ## : ## : ##
+line #### col ## in @
+timeout after ###### ms, code ####
+( # ) first, ( # ) second
+# . # . # of the list
+row ### ### ### of #### #### ####
+figure #.#(#) and eq. (##.#)
+#### @ street, @ #####
+account of ###.###.### units
+she stays at @.com until june
+see @ at @.org for more
+read the @ at www.@.com
+the @ at www.@.co.uk was @
+a @ at @.@.org tells of it
+the @ is at @.@.@ in the @
+it is at @.@.com and was at @.org
+the files are at @.@ on the @
+kept at @.@.net by the @
+found at @.@.@ in the list
+@ was sold at @.com for less
+find @ at www.@.com or in town
+join @ at @.net this week
+the @ at @.@.edu is open
+read more at @.org/@ and tell us
+visit us at www.@.net for news
+the talk is at noon in room ###
+look at the dot on the map
+at the dot of ## we met
+they stayed at home.then it rained
+he works at @.com as a clerk
+more at @.@.edu for all
+the dot product of @ and @
+@ (at ## @) and @ (at ## @)
+""".strip().split("\n")
+
+
+def _word(draw: random.Random) -> str:
+    return "".join(draw.choice("b c d f g h k l m n p r s t v w br st ch tr".split()) + draw.choice("a e i o u ai ee".split()) for _ in range(draw.randint(1, 3))) + draw.choice(["", "", "n", "s", "r"])
+
+
+def _digits(pattern: str, draw: random.Random) -> str:
+    return "".join(draw.choice("123456789" if i and pattern[i - 1] in "(" or not i else "0123456789") if c == "#" else c for i, c in enumerate(pattern))
+
+
+#: How a number is written; # is a digit.
+PHONES = "(###) ###-####|(###) ### ####|(###)###-####|###-###-####|###.###.####|### ### ####|0### ### ####|0### #######|0## #### ####|0## ########|(0##) #### ####|(0##) ####-####|0###/######|0### / ## ## ##|1-800-###-####|1 ### ### ####|1 (###) ###-####|00## ## #### ####|00## ### ######|+# ### ### ####|+## ## #### ####|+## (0) ### ######|0# ## ## ## ##|0#-####-####".split("|")
+CARDS = "#### #### #### ####|####-####-####-####|################|#### ###### #####|####-######-#####|###############|####.####.####.####|#### - #### - #### - ####|####  ####  ####  ####|#### #### #### #".split("|")
+
+
+def value_of(kind: str, draw: random.Random) -> str:
+    """One written value of a kind, most of them in forms that the fixed patterns do not know."""
+    if kind == "phone":
+        return _digits(draw.choice(PHONES), draw)
+    if kind == "card":
+        while True:
+            text = _digits(draw.choice(CARDS), draw)
+            if luhn("".join(c for c in text if c.isdigit())):
+                return text
+    if kind == "ip":
+        joint = draw.choice([".", ".", " . ", "[.]", " dot ", "(.)", " [.] "])
+        return joint.join(str(draw.choice([draw.randint(0, 255), draw.randint(1, 9), 10, 192])) for _ in range(4))
+    spelled = draw.random() < 0.5
+    at = draw.choice([" at ", " (at) ", " [at] ", "(at)", "[at]", " {at} ", " AT "] + ([] if spelled else [" @ ", "@"]))
+    dot = draw.choice([" dot ", " dot ", " (dot) ", " [dot] ", "[dot]", " DOT "]) if spelled else "."
+    if spelled and draw.random() < 0.2:
+        at = draw.choice(["@", " @ "])
+    local = _word(draw)
+    if draw.random() < 0.5:
+        local += (draw.choice([dot, ".", "_", "-"]) if spelled else draw.choice("._-+")) + _word(draw)
+    if draw.random() < 0.15:
+        local += str(draw.randint(1, 99))
+    host = [_word(draw) for _ in range(draw.choice([1, 1, 1, 2]))]
+    return local + at + dot.join([*host, draw.choice("com org net edu de fr co.uk io".split()).replace(".", dot)])
+
+
+def varied(n: int, seed: int = 7, before: dict[str, list[str]] = BEFORE, after: list[str] = AFTER, clean: list[str] = CLEAN) -> list[str]:
+    """``n`` marked lines drawn by rule: kinds in turn, and as many clean lines as marked ones."""
+    draw = random.Random(seed)
+    kinds = list(BEFORE)
+    out = []
+    for i in range(n):
+        lead = " ".join(_word(draw) for _ in range(draw.randint(0, 4)))
+        tail = " ".join(_word(draw) for _ in range(draw.randint(0, 3)))
+        if i % 2:
+            body = "".join(_word(draw) if c == "@" else c for c in _digits(draw.choice(clean), draw))
+        else:
+            kind = kinds[i // 2 % len(kinds)]
+            end = draw.choice(after) if draw.random() < 0.7 else draw.choice(["? ", "! ", " ", " - "]) + _word(draw)
+            # Now and then a word that says nothing, so that the field does not live on cues alone.
+            cue = draw.choice(before[kind]) if draw.random() < 0.5 else _word(draw)
+            body = f"{cue} [[{kind}|{value_of(kind, draw)}]]{' ' * end[:1].isalpha()}{end.rstrip()}"
+            if draw.random() < 0.25:
+                body += f"{draw.choice([' or', ' and', ', or', ';', ','])} [[{kind}|{value_of(kind, draw)}]]"
+        if draw.random() < 0.5:
+            body = body[0].upper() + body[1:]
+        out.append(" ".join(filter(None, [lead, body, tail])))
+    return out
+
+
+#: Lines drawn by rule beside those written by hand.
+DRAWN = 1600
+
+
 def default_labelled(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(line,) for line in MARKED], "marked string")
+    return spark.createDataFrame([(line,) for line in [*MARKED, *varied(DRAWN)]], "marked string")
