@@ -963,6 +963,50 @@ def test_scores(docs, rows, empty, size, monkeypatch):
     assert lattice_lm.score_documents(empty, model, rounds=1).count() == 0
 
 
+def segmentations(word, pieces):
+    """All ways to write a word in pieces."""
+    if not word:
+        yield []
+    for e in range(1, len(word) + 1):
+        if word[:e] in pieces:
+            for rest in segmentations(word[e:], pieces):
+                yield [word[:e], *rest]
+
+
+def test_score_is_the_sum_over_all_segmentations(spark):
+    """Both rounds of re-estimation and the score of each text, with every segmentation written out."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    texts = ["The quick fox", "the the THE", "a b\tc\n\x0bd", "größe été", "", None, "re-run 123 runs", "running the runs", "xqzvk", "  the  ", "fox été 9", "unseen zebra"]
+    texts = [(i, x) for i, x in enumerate(texts * 2)] + [(3, texts[3]), (None, "the fox")]
+    weights = {p: math.exp(w) for p, w in lattice_lm.piece_scores(model)}
+    words = {i: [w for w in (x or "").encode().lower().split()] for i, (_, x) in enumerate(texts)}
+    training = [n for n, (i, _) in enumerate(texts) if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2]
+    assert 0 < len(training) < len(texts)
+    counts = Counter(w for n in training for w in words[n])
+    ends, total = len(training), sum(weights.values())
+    end = 1 / (1 + 3 * max(sum(counts.values()) / ends, 0.01))
+    chance = {p: w / total * (1 - end) for p, w in weights.items()}
+    ways = {w: list(segmentations(b" " + w, weights)) for w in {w for found in words.values() for w in found}}
+
+    def chances(word):
+        return [math.prod(chance[p] for p in way) for way in ways[word]]
+
+    for _ in range(2):
+        drawn = Counter({p: lattice_lm.PRIOR * w / total for p, w in weights.items()})
+        for word, n in counts.items():
+            each = chances(word)
+            for way, c in zip(ways[word], each, strict=True):
+                for p in way:
+                    drawn[p] += n * c / sum(each)
+        whole = sum(drawn.values()) + ends
+        chance, end = {p: n / whole for p, n in drawn.items()}, ends / whole
+    want = sorted((str(i), round(sum(math.log10(sum(chances(w))) for w in words[n]) + math.log10(end), 6)) for n, (i, _) in enumerate(texts))
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    got = sorted((str(r["doc_id"]), round(r["score"], 6)) for r in lattice_lm.score_documents(df, model).collect())
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert all(math.isclose(a[1], b[1], rel_tol=1e-6, abs_tol=2e-6) for a, b in zip(got, want, strict=True)), list(zip(got, want, strict=True))
+
+
 def test_score_does_not_depend_on_the_dictionary(docs, monkeypatch):
     model = public_tokenizers.path("piece_bpe_32k.model")
     found = []
