@@ -15,6 +15,7 @@ import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 import numpy as np
 import pyarrow as pa
@@ -75,8 +76,12 @@ def _open(uri: str):
     return pafs.FileSystem.from_uri(uri)
 
 
-def record_of(page_id, url, payload: bytes, digest: str, refers_to) -> bytes:
-    """One WARC record, uncompressed. A revisit has the HTTP header of the page and no payload."""
+def warc_date(seconds: int) -> str:
+    return datetime.fromtimestamp(seconds, timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
+def record_of(page_id, url, payload: bytes, digest: str, date: int, refers_to=None, refers_url=None, refers_date: int = 0) -> bytes:
+    """One WARC record, uncompressed. A revisit has the HTTP header of the page and no payload, and names what it repeats."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     revisit = refers_to is not None
     body = http if revisit else http + payload
@@ -84,14 +89,19 @@ def record_of(page_id, url, payload: bytes, digest: str, refers_to) -> bytes:
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
         f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
-        "WARC-Date: 1970-01-01T00:00:00Z",
+        f"WARC-Date: {warc_date(date)}",
         f"WARC-Target-URI: {safe(url or '')}",
         f"WARC-Payload-Digest: sha1:{digest}",
         "Content-Type: application/http;msgtype=response",
         f"Content-Length: {len(body)}",
     ]
     if revisit:
-        lines += [f"WARC-Refers-To: <urn:page:{refers_to}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
+        lines += [
+            f"WARC-Refers-To: <urn:page:{refers_to}>",
+            f"WARC-Refers-To-Target-URI: {safe(refers_url or '')}",
+            f"WARC-Refers-To-Date: {warc_date(refers_date)}",
+            "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
+        ]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
 
 
@@ -127,29 +137,36 @@ def write_archives(
     id_col: str = "page_id",
     url_col: str = "url",
     payload_col: str = "html",
+    date_col: str | None = None,
 ) -> DataFrame:
     """Write a record per row into archives below ``folder``; a row per capture says where it is.
 
     Of records with equal payloads of ``least_bytes`` or more, that with the smallest id is a
     response and the others are revisits of it. A null payload is empty; a null id is never the
     one referred to while another exists; rows that repeat the smallest id are all responses.
+    A record's date is ``date_col`` (a timestamp), or the time of writing where that is not named or null.
     A task that is run again writes files of its own, and only those of the finished run are named.
     """
     payload = F.coalesce(F.col(payload_col), F.lit(""))
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"))
+    date = F.current_timestamp() if date_col is None else F.coalesce(F.col(date_col), F.current_timestamp())
+    rows = pages.select(
+        F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"), F.unix_seconds(date).alias("date")
+    )
     rows = rows.withColumn("sha1", F.sha1(F.encode("payload", "utf-8")))
     shared = F.octet_length("payload") >= least_bytes
-    first = rows.where(shared).groupBy("sha1").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    known = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url", "date"))
+    first = rows.where(shared).groupBy("sha1").agg(F.min(known).alias("f"), F.count("*").alias("n")).where("n > 1")
+    first = first.select("sha1", F.col("f.page_id").alias("first"), F.col("f.url").alias("first_url"), F.col("f.date").alias("first_date"))
     other = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")) & shared
-    ready = rows.join(first.select("sha1", "first"), "sha1", "left").select(
-        "page_id", "url", "payload", F.when(other, F.col("first")).alias("refers_to")
+    ready = rows.join(first, "sha1", "left").select(
+        "page_id", "url", "payload", "date", *[F.when(other, F.col(c)).alias(c) for c in ("first", "first_url", "first_date")]
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, root = _open(folder)
         out, name, at = None, "", 0
         for batch in batches:
-            ids, urls, refers = (batch.column(i).to_pylist() for i in (0, 1, 3))
+            ids, urls, dates, *refers = (batch.column(i).to_pylist() for i in (0, 1, 3, 4, 5, 6))
             found = []
             for i, data in enumerate(as_bytes(batch.column(2))):
                 if out is None or at >= ARCHIVE_BYTES:
@@ -158,7 +175,7 @@ def write_archives(
                     name, at = f"{uuid.uuid4().hex}.warc.gz", 0
                     out = filesystem.open_output_stream(f"{root}/{name}", compression=None)
                 pack = zlib.compressobj(GZIP_LEVEL, zlib.DEFLATED, 31)
-                record = pack.compress(record_of(ids[i], urls[i], data, base32_sha1(data), refers[i])) + pack.flush()
+                record = pack.compress(record_of(ids[i], urls[i], data, base32_sha1(data), dates[i], *[r[i] for r in refers])) + pack.flush()
                 out.write(record)
                 found.append((capture_key(urls[i], ids[i]), ids[i], name, at, len(record)))
                 at += len(record)
@@ -365,7 +382,13 @@ def capture_keys(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
 
 def archive_and_read(pages: DataFrame, with_payload: bool = False, **columns: str) -> DataFrame:
-    """Write ``pages`` to archives, index them, and read every page back through the index."""
+    """Write ``pages`` to archives, index them, and read every page back through the index: the columns of ``read_records``.
+
+    A row per row of ``pages``. A null payload is empty and a null URL an empty one; rows of equal
+    id and URL are each written and read; what null and repeated ids refer to, see
+    ``write_archives``. Payloads are held whole, however long. Columns that ``columns`` does not
+    name are ignored; an empty table gives no rows.
+    """
     spark = pages.sparkSession
     archives, blocks = new_folder(spark, "archives"), new_folder(spark, "index")
     index = build_index(write_archives(pages, archives, **columns), blocks)

@@ -698,6 +698,29 @@ def test_reading_tasks_follow_the_bytes_that_captures_name(spark, monkeypatch):
         assert found.count() == 400
 
 
+def test_records_name_what_they_repeat(spark):
+    from datetime import datetime
+
+    from skyframe.session import new_folder
+
+    pages = [(2, "http://b.example/x y", "same", datetime(2021, 3, 4, 5, 6, 7)), (1, "http://a.example/", "same", datetime(2020, 1, 2)), (None, "http://n.example/", "same", datetime(2019, 1, 1)), (3, None, "other", None)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string, at timestamp")
+    folder = new_folder(spark, "archives")
+    captures = warc.write_archives(df, folder, date_col="at").collect()
+    found = {}
+    for c in captures:
+        with open(f"{folder.removeprefix('file:')}/{c['file']}", "rb") as f:
+            f.seek(c["offset"])
+            record = warc.parse_record(zlib.decompress(f.read(c["length"]), 31))
+        found[c["page_id"]] = record
+    names = ["WARC-Date", "WARC-Refers-To", "WARC-Refers-To-Target-URI", "WARC-Refers-To-Date"]
+    first = ["<urn:page:1>", "http://a.example/", "2020-01-02T00:00:00Z"]
+    assert [found[2].get(n) for n in names] == ["2021-03-04T05:06:07Z", *first]
+    assert [found[None].get(n) for n in names] == ["2019-01-01T00:00:00Z", *first]
+    assert [found[1].get(n) for n in names] == ["2020-01-02T00:00:00Z", None, None, None]
+    assert found[3]["WARC-Date"][:2] == "20" and warc.write_archives(df, new_folder(spark, "archives")).count() == 4
+
+
 def test_archives_of_nothing(spark):
     assert warc.archive_and_read(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
