@@ -276,7 +276,8 @@ def contamination(
 
     A window is ``window`` consecutive words of an item, or the whole of a shorter item. Spans
     are (first word, word after the last), merged where they overlap or touch. A null text has no
-    words and no hits; a null item id is called ``None``; an empty test set hits nothing.
+    words and no hits; a null item id is called ``None``; an empty test set hits nothing, and without
+    documents there are no rows. Rows that repeat are judged alike, and items that repeat an id count once.
     Columns of ``docs`` with the added names are replaced. Rows stay in their tasks. A test set of
     up to ``BLOCK_BYTES`` takes one pass; of a larger one, each pass but the last is written.
     """

@@ -311,7 +311,8 @@ def score_documents(
     the empty string. Words are runs of characters other than blank and ``\\t`` to ``\\r``, A-Z taken
     as a-z; each text has one end more, and a null or empty text nothing else. ``base_score`` is the
     add-one word model, ``score`` the subword lattice; both are log10 probabilities of the whole
-    text. Rows that repeat are counted and scored as often as they occur.
+    text. Rows that repeat are counted and scored as often as they occur; other columns are ignored;
+    an empty table gives no rows. Texts are read whole, in parts if long.
     """
     scores = piece_scores(model)
     words = materialise(count_words(docs, id_col, text_col), "word-counts")

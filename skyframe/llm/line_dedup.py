@@ -78,7 +78,7 @@ def remove_spread_lines(
     ``min_sites`` distinct sites. The document with the smallest id keeps it, so no text is lost
     altogether. Other lines and their order stay. A null text stays null; rows that repeat an id
     are told apart by their text; a null id comes after all others. Columns named ``n_lines`` or
-    ``n_removed`` are replaced.
+    ``n_removed`` are replaced, and an empty table gives no rows.
     """
     carried = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     places = materialise(line_places(docs, id_col, text_col, site_col), "line-places")

@@ -259,8 +259,8 @@ def near_duplicates(
     documents are linked if their sets of ``shingle``-word runs share at least ``share`` percent;
     the component is the smallest id reachable over links. A null or empty text has no set and no
     links. Rows that repeat an id are one document with the links of all its texts. A null id is
-    left alone: its component is null. Other columns are ignored. Bands and the agreement asked of
-    signatures follow from ``share``; under 8 percent it is refused.
+    left alone: its component is null. Other columns are ignored; an empty table gives no rows.
+    Bands and the agreement asked of signatures follow from ``share``; under 8 percent it is refused.
     """
     rows = materialise(sketches(docs, shingle, id_col, text_col, rows_for(share)), "sketches")
     known = rows.where("n_shingles > 0 AND id IS NOT NULL")

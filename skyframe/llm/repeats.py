@@ -378,7 +378,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     smaller id, or before it in the same one. All strings are judged on the input. A null text is
     empty; a text of under 100 bytes stays whole. A null id comes first. Rows that repeat an id
     count as one document whose texts start together, so they remove nothing from each other at
-    equal places. Other columns are ignored.
+    equal places. Other columns are ignored; an empty table gives no rows.
     """
     spans = (
         repeated_spans(docs, id_col, text_col)
