@@ -1,6 +1,7 @@
 """Five stages that turn raw documents into packed training sequences.
 
-Each stage reads what its predecessor kept, from a written table.
+Each stage reads what its predecessor kept, from a written table. All stages take nulls in any
+column, repeated rows, columns of any name and an empty table, which stays empty.
 """
 
 from __future__ import annotations
@@ -21,12 +22,18 @@ PACK_FILES = (
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that pass the base rules and the thresholds of their language and source."""
+    """Rows that pass the base rules and the thresholds of their language and source.
+
+    A null or empty text fails; null languages and sources form groups of their own.
+    """
     return quality.quality_verdicts(docs).where("kept").select(*docs.columns)
 
 
 def line_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows, without lines that stand on many sites; ``n_chars`` follows the text."""
+    """All rows, without lines that stand on many sites; ``n_chars`` follows the text.
+
+    A null text stays null, and a row whose lines all go stays with an empty text.
+    """
     cleaned = line_dedup.remove_spread_lines(docs).select(*docs.columns)
     if "n_chars" not in docs.columns:
         return cleaned
@@ -34,18 +41,21 @@ def line_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group linked by 0.8 of their five-word shingles: that with the smallest id."""
+    """One row of each group linked by 0.8 of their five-word shingles: that with the smallest id.
+
+    Texts without words are linked with nothing; of rows with equal id and text one stays.
+    """
     return near_dedup.drop_near_duplicates(docs, shingle=5, share=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows of which less than one word in twenty lies in a benchmark passage."""
+    """Rows of which less than one word in twenty lies in a benchmark passage; those without words stay."""
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
     return found.where(~decontaminate.contaminated()).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents, packed into sequences of 1,024 ids."""
+    """Token pieces of all documents, packed into sequences of 1,024 ids; a null text is empty and has its end id."""
     return packing.pack_documents(docs, PACK_FILES, 1024)
 
 
