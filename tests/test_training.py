@@ -10,6 +10,7 @@ from skyframe import constants as K
 from skyframe.operators import delay_models as models
 from skyframe.operators import encoding, metrics, profile, requests
 from skyframe.operators.split import stratified_split
+from skyframe.plans import training_queries as queries
 from skyframe.plans.standins import view
 from skyframe.session import new_folder
 from skyframe.sources import flights as source
@@ -335,3 +336,27 @@ def test_busiest_carriers_break_ties_by_name(spark):
     rows = profile.delay_rate_top_airlines(df).collect()
     assert sorted(r["airline"] for r in rows) == [f"A{i:02d}" for i in range(12)]
     assert [r["delay_rate"] for r in rows] == sorted((r["delay_rate"] for r in rows), reverse=True)
+
+
+@pytest.mark.parametrize("name", ["permutation_importance", "predict_batch", "evaluate_saved", "prediction_vs_actual", "gold_scores"])
+def test_queries_score_by_a_model_fitted_to_the_training_part(spark, sf_dir, monkeypatch, name):
+    fitted = []
+
+    def fit(train):
+        fitted.append(train.count())
+        return queries.stated_model()
+
+    monkeypatch.setattr(queries, "logistic", fit)
+    rows = getattr(queries, name)(spark, sf_dir)
+    assert {"p_ok", "in_range"} & set(rows.columns)
+    n = view(spark, sf_dir, "flights").count()
+    assert len(fitted) == 1 and 0.69 * n < fitted[0] < 0.71 * n
+
+
+def test_models_share_the_shuffled_rows(candidates, split):
+    """Importances of two models at once are those of each alone."""
+    some = {n: candidates[n] for n in (models.LOGISTIC, models.BOOSTING)}
+    found = models.permutation_importances(some, split["test"], key=("Flight",), repeats=2).collect()
+    for n, model in some.items():
+        alone = models.permutation_importance(model, split["test"], key=("Flight",), repeats=2).collect()
+        assert {r["column"]: r["importance"] for r in found if r["model"] == n} == pytest.approx({r["column"]: r["importance"] for r in alone})
