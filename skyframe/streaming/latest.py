@@ -1,12 +1,13 @@
 """The newest row per aircraft, followed over all that lands, by keyed state that expires.
 
-State is one pair of numbers per (icao24, callsign). Each cycle appends the rows that became
-newest, and a mark for each key that nothing was heard of for the time to live, so neither a cycle
+State is one pair of numbers per (icao24, callsign), kept for a bucket of keys together, as a call of
+a Python function costs as much as hundreds of keys. Each cycle appends the rows that became newest, and a mark for each key that nothing was heard of for the time to live, so neither a cycle
 nor a reader of it ever goes over the whole history of positions.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from datetime import timedelta
 
@@ -28,6 +29,8 @@ CHANGE = "icao24 string, callsign string, major long, minor long, row string"
 AS_TEXT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 NULL_IS_NEWEST, NULL_IS_OLDEST = (1 << 63) - 1, -(1 << 63)
 KEEP = timedelta(hours=K.RETENTION_HOURS)
+#: Buckets that keys are dealt to by hash; fixed, as the state of a checkpoint is kept by them.
+BUCKETS = 1024
 
 
 def _newest_of_batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -49,35 +52,38 @@ def newest_changes(rows: DataFrame, keep: timedelta = KEEP) -> DataFrame:
         F.coalesce(F.col("time_position").cast("long"), F.lit(NULL_IS_NEWEST)).alias("major"),
         F.coalesce(F.col("id").cast("long"), F.lit(NULL_IS_OLDEST)).alias("minor"),
         F.to_json(F.struct(*rows.columns), AS_TEXT).alias("row"),
+        F.pmod(F.xxhash64(*KEY), F.lit(BUCKETS)).alias("bucket"),
     )
 
-    def settle(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        def change(major: int | None, minor: int | None, row: str | None) -> pd.DataFrame:
-            names = [k if isinstance(k, str) else None for k in key]
-            columns = zip([*KEY, *ORDER, "row"], [*names, major, minor, row], strict=True)
-            # Nullable whole numbers: a double would round the largest.
-            return pd.DataFrame({c: pd.Series([v], dtype="Int64" if c in ORDER else "object") for c, v in columns})
-
-        if state.hasTimedOut:
+    def settle(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now = state.getCurrentProcessingTimeMs()
+        # Of each key its place in the order and the time from which it is forgotten.
+        held: dict[tuple, tuple] = pickle.loads(state.get[0]) if state.exists else {}
+        changes: dict[tuple, tuple] = {}
+        for frame in () if state.hasTimedOut else frames:
+            for icao24, callsign, major, minor, row in zip(*[frame[c].tolist() for c in [*KEY, *ORDER, "row"]], strict=True):
+                key = tuple(k if isinstance(k, str) else None for k in (icao24, callsign))
+                place = held[key][0] if key in held else None
+                if place is None or (major, minor) > place:
+                    place = major, minor
+                    changes[key] = major, minor, row
+                held[key] = place, now + wait
+        for key in [k for k, (_, until) in held.items() if until < now]:
+            del held[key]
+            changes[key] = None, None, None
+        if held:
+            state.update((pickle.dumps(held, 5),))
+            state.setTimeoutDuration(max(1, min(until for _, until in held.values()) - now))
+        elif state.exists:
             state.remove()
-            yield change(None, None, None)
-            return
-        held, best, row = state.get if state.exists else None, None, None
-        for frame in frames:
-            top = frame.sort_values(ORDER).iloc[-1]
-            place = int(top["major"]), int(top["minor"])
-            if best is None or place > best:
-                best, row = place, top["row"]
-        changed = best is not None and (held is None or best > tuple(held))
-        if changed:
-            state.update(best)
-        state.setTimeoutDuration(wait)
-        if changed:
-            yield change(*best, row)
+        if changes:
+            columns = zip([*KEY, *ORDER, "row"], zip(*[(*k, *v) for k, v in changes.items()], strict=True), strict=True)
+            # Nullable whole numbers: a double would round the largest.
+            yield pd.DataFrame({c: pd.Series(v, dtype="Int64" if c in ORDER else "object") for c, v in columns})
 
     reduced = packed.mapInPandas(_newest_of_batches, packed.schema)
-    return reduced.groupBy(*KEY).applyInPandasWithState(
-        settle, CHANGE, "major long, minor long", "update", GroupStateTimeout.ProcessingTimeTimeout
+    return reduced.groupBy("bucket").applyInPandasWithState(
+        settle, CHANGE, "keys binary", "update", GroupStateTimeout.ProcessingTimeTimeout
     )
 
 

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 
 from skyframe.operators import live
 from skyframe.session import new_folder
+from skyframe.streaming import latest
 from skyframe.streaming.latest import compact_latest, read_latest, stream_latest
 
 SCHEMA = "id long, icao24 string, callsign string, time_position long, latitude float, on_ground boolean, updated_at timestamp"
@@ -69,3 +70,24 @@ def test_a_silent_key_expires_and_may_come_back(spark):
     land(spark, path, [row(3, "old", "A", 5)])
     cycle(spark, path, out, offsets, keep=timedelta(hours=1))
     assert [r["time_position"] for r in read_latest(spark, out, schema).where("icao24 = 'old'").collect()] == [5]
+
+
+def test_keys_share_calls_and_expire_by_themselves(spark, monkeypatch):
+    """State is kept by bucket, not by key: of keys in one bucket, only a silent one is forgotten."""
+    monkeypatch.setattr(latest, "BUCKETS", 1)
+    path, out, offsets = (new_folder(spark, n) for n in ("rows", "changes", "offsets"))
+    schema = spark.createDataFrame([], SCHEMA).schema
+
+    def step(rows):
+        land(spark, path, rows)
+        stream = stream_latest(spark.readStream.schema(SCHEMA).parquet(path), out, offsets, keep=timedelta(seconds=3))
+        stream.awaitTermination()
+        assert stream.lastProgress["stateOperators"][0]["numRowsTotal"] == 1
+        return {(r["icao24"], r["callsign"]): r["id"] for r in read_latest(spark, out, schema).collect()}
+
+    keys = [(f"k{i}", None if i % 2 else "") for i in range(40)]
+    assert step([row(i, *k) for i, k in enumerate(keys)]) == {k: i for i, k in enumerate(keys)}
+    time.sleep(4)
+    # Two keys are heard of again before the others expire, one with an older row.
+    want = {keys[3]: 103, keys[4]: 4, ("new", "X"): 7}
+    assert step([row(103, *keys[3]), row(104, *keys[4], at=0), row(7, "new")]) == want
