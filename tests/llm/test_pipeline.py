@@ -42,7 +42,7 @@ def sf_dir(spark, tables, tmp_path_factory):
 
 
 def quality_by_hand(rows):
-    """Base rules, then the quartile fences over all rows: every group here is small."""
+    """Base rules, then limits beyond the quantiles of language and source, blended with those of all rows."""
     seen = [(r, measures(r[1])) for r in rows]
 
     def shares(r, m):
@@ -51,10 +51,15 @@ def quality_by_hand(rows):
 
     good = [(r, shares(r, m)) for r, m in seen if not m[5]]
     kept = good
-    for name, margin in quality.MARGINS.items():
-        low, high = np.quantile([s[name] for _, s in good], [0.25, 0.75], method="inverted_cdf")
-        slack = quality.REACH * (high - low) + margin
-        kept = [(r, s) for r, s in kept if low - slack <= s[name] <= high + slack]
+    for name, (*ends, margin) in quality.RULES.items():
+        quantiles = lambda rows: np.quantile([s[name] for _, s in rows], ends, method="inverted_cdf")  # noqa: B023, E731
+        limits = {}
+        for group in {r[2:4] for r, _ in good}:
+            own = [(r, s) for r, s in good if r[2:4] == group]
+            low, high = (len(own) * quantiles(own) + quality.PRIOR * quantiles(good)) / (len(own) + quality.PRIOR)
+            slack = quality.REACH * (high - low) + margin
+            limits[group] = low - slack if name == "word_length" else 0, high + slack
+        kept = [(r, s) for r, s in kept if limits[r[2:4]][0] <= s[name] <= limits[r[2:4]][1]]
     return [r for r, _ in kept]
 
 
