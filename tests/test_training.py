@@ -360,3 +360,18 @@ def test_models_share_the_shuffled_rows(candidates, split):
     for n, model in some.items():
         alone = models.permutation_importance(model, split["test"], key=("Flight",), repeats=2).collect()
         assert {r["column"]: r["importance"] for r in found if r["model"] == n} == pytest.approx({r["column"]: r["importance"] for r in alone})
+
+
+def test_models_are_measured_in_one_pass(spark, monkeypatch):
+    """Several models share one ranking, and get the metrics that each gets alone."""
+    rows = spark.range(60).selectExpr("id AS Flight", "id % 7 AS DayOfWeek", "CAST(id * 11 % 31 AS double) AS Time", "CAST(id % 5 AS double) AS Length", "'a' AS Airline", "'b' AS AirportFrom", "'c' AS AirportTo", "CAST(id % 3 = 0 AS int) AS Class")
+    saved = {"one": models.FixedLogistic(columns=["Time"], weights=[0.2], intercept=-3.0), "two": models.FixedLogistic(columns=["Length"], weights=[-0.5], intercept=1.0)}
+    alone = {n: metrics.classification_metrics(models.predict_batch(m, rows)).first().asDict() for n, m in saved.items()}
+    calls, measure = [], metrics.classification_metrics
+    monkeypatch.setattr(metrics, "classification_metrics", lambda *a, **k: calls.append(k) or measure(*a, **k))
+    found = models.measured_by(saved, rows)
+    assert len(calls) == 1
+    for n, values in alone.items():
+        assert {c: round(found[n][c], 12) for c in values} == {c: round(v, 12) for c, v in values.items()}
+    nothing = models.measured_by(saved, rows.where("Flight < 0"))
+    assert nothing["two"]["roc_auc"] is None and nothing["two"]["precision"] == 0
