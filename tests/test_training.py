@@ -1,5 +1,6 @@
 """Loading, validation, encoders and models."""
 
+import threading
 from datetime import datetime
 
 import numpy as np
@@ -375,3 +376,12 @@ def test_models_are_measured_in_one_pass(spark, monkeypatch):
         assert {c: round(found[n][c], 12) for c in values} == {c: round(v, 12) for c, v in values.items()}
     nothing = models.measured_by(saved, rows.where("Flight < 0"))
     assert nothing["two"]["roc_auc"] is None and nothing["two"]["precision"] == 0
+
+
+def test_candidates_are_fitted_side_by_side(monkeypatch):
+    """Each fit waits until all have begun, and the candidates keep their order."""
+    begun = threading.Barrier(len(models.DEFAULTS), timeout=20)
+    monkeypatch.setattr(models, "fit", lambda name, *_, **params: (begun.wait() >= 0, name, params))
+    found = models.fit_candidates(None, {models.FOREST: {"n_estimators": 3}})
+    assert list(found) == list(models.DEFAULTS)
+    assert [f[1] for f in found.values()] == list(found) and found[models.FOREST][2] == {"n_estimators": 3}
